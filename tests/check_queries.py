@@ -19,6 +19,7 @@ def main() -> int:
     folder = f"/root/testdata/sf{sf}"
     spark = build_session("check", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = compare.oracle(folder)
