@@ -94,13 +94,13 @@ _MEASURES = f"""
     {divide("sum(CAST(sales_amount AS DECIMAL(18,2))) * 100", 'count(DISTINCT order_id)', 2, 2)} avg_order_value"""
 _MONTH = "d.year, d.month_num, d.month_name, d.quarter"
 
-MONTHLY_SQL = with_ctes(("fact_sales", "dim_date"), f"""
+MONTHLY_BODY = f"""
     SELECT {_MONTH}, region_name, country, {_MEASURES}
     FROM fact_sales f JOIN dim_date d ON f.date_key = d.date_key
-    GROUP BY ALL""")
+    GROUP BY ALL"""
 
 
-@query(MONTHLY_SQL)
+@query(with_ctes(("fact_sales", "dim_date"), MONTHLY_BODY))
 def mv_monthly_revenue_by_region(t: Tables) -> DataFrame:
     return marts.monthly_revenue(sales(t), star.dim_date(t.spark), customers(t))
 
