@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "__rank"
+_TIE = "__tie"
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
@@ -21,9 +22,15 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """One row of each key: ``order`` first, then every other column, so that ties never decide."""
-    rest = [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in keys]
-    return top_per_key(df, keys, [*order, *rest] or [F.lit(1)], 1)
+    """One row of each key, the same one in every run.
+
+    Rows that ``order`` leaves equal are told apart by a hash over all columns.
+    The hash alone is shuffled and sorted, so columns that a caller does not
+    use are still pruned, and callers that use different columns get the same
+    row.
+    """
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return top_per_key(df.withColumn(_TIE, tie), keys, [*order, F.col(_TIE)], 1).drop(_TIE)
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str) -> DataFrame:

@@ -10,11 +10,12 @@ from __future__ import annotations
 import csv
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 from typing import Literal
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,7 @@ from tidemark.plans.entities import RESCUED, Entity
 
 # Fixed value: how a region shows in a path.
 REGION_IN_PATH = r"(?i)region\s*(\d+)"
-HEADER_READERS = 16
+SPLIT_BYTES = str(128 * 1024 * 1024)
 
 Evolution = Literal["add", "rescue"]
 
@@ -33,23 +34,40 @@ def escaped(path: str) -> str:
     return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
 
 
+def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a split that starts its file; nothing more of the split is read."""
+    for batch in batches:
+        if batch.num_rows:
+            if batch.column("start")[0].as_py() == 0:
+                yield batch.slice(0, 1)
+            return
+
+
 def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
-    """Paths by their first line.
+    """Paths by the first line of the file, from one job for all files.
 
-    One small job for each file, several at a time; only first lines reach the
-    driver. The stream's limit of files for each batch bounds the list.
+    A session of its own gives every split a task of its own and small Arrow
+    batches, so a task stops after a few lines. Paths and first lines reach the
+    driver; the stream's limit of files for each batch bounds them.
     """
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.openCostInBytes", SPLIT_BYTES)
+    session.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    lines = session.read.text([escaped(p) for p in paths]).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        "value",
+    )
+    groups: dict[str, list[str]] = defaultdict(list)
+    for row in lines.mapInArrow(_first_rows, "path string, start long, value string").collect():
+        groups[row.value.lstrip("\ufeff").rstrip("\r")].append(plain_path(row.path))
+    return {header: sorted(group) for header, group in sorted(groups.items())}
 
-    def first_line(path: str) -> str | None:
-        row = spark.read.text(escaped(path)).first()
-        return None if row is None else row["value"].lstrip("\ufeff").rstrip("\r")
 
-    groups: dict[str, list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        for path, line in zip(paths, pool.map(first_line, paths), strict=True):
-            if line is not None:
-                groups[line].append(path)
-    return dict(groups)
+def plain_path(uri: str) -> str:
+    """A path as Spark reads it from the percent-encoded form in the file metadata."""
+    return unquote(uri)
 
 
 def column_names(header: str, entity: Entity) -> list[str]:

@@ -13,7 +13,7 @@ from tidemark.sources.landing import READERS, Evolution, rescue
 # The listing fields of the binary file source; file contents are not read,
 # because only the path is selected.
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
-MAX_FILES = 1000
+MAX_FILES = 10_000
 
 
 def new_files(spark: SparkSession, landing: str, entity: Entity, max_files: int = MAX_FILES) -> DataFrame:

@@ -14,7 +14,7 @@ from tidemark.workload.registry import query
 AS_OF = "2017-01-01"
 
 
-def sales(t: Tables) -> DataFrame:
+def all_sales(t: Tables) -> DataFrame:
     return star.fact_sales(
         inputs.tidy_transactions(t), inputs.tidy_orders(t), inputs.tidy_customers(t)
     )
@@ -77,7 +77,7 @@ FACT_RETURNS_SQL = with_ctes(("fact_returns",), "SELECT * FROM fact_returns")
 
 @query(FACT_SALES_SQL)
 def fact_sales(t: Tables) -> DataFrame:
-    return local_stamps(sales(t))
+    return local_stamps(all_sales(t))
 
 
 @query(FACT_RETURNS_SQL)
@@ -102,7 +102,7 @@ MONTHLY_BODY = f"""
 
 @query(with_ctes(("fact_sales", "dim_date"), MONTHLY_BODY))
 def mv_monthly_revenue_by_region(t: Tables) -> DataFrame:
-    return marts.monthly_revenue(sales(t), star.dim_date(t.spark), customers(t))
+    return marts.monthly_revenue(all_sales(t), star.dim_date(t.spark), customers(t))
 
 
 @query(with_ctes(("fact_sales", "dim_date"), f"""
@@ -113,7 +113,7 @@ def mv_monthly_revenue_by_region(t: Tables) -> DataFrame:
     GROUP BY ALL"""))
 def mv_monthly_revenue_by_region_literal(t: Tables) -> DataFrame:
     return marts.monthly_revenue_by_region_table(
-        sales(t), star.dim_date(t.spark), star.dim_region(inputs.tidy_customers(t))
+        all_sales(t), star.dim_date(t.spark), star.dim_region(inputs.tidy_customers(t))
     )
 
 
@@ -150,7 +150,7 @@ VENDOR_RATE_CTE = f"""
 
 @query(with_ctes(("fact_sales", "fact_returns", "vendors"), f", {VENDOR_RATE_CTE} SELECT * FROM vendor_rate"))
 def mv_vendor_return_rate(t: Tables) -> DataFrame:
-    return marts.vendor_return_rate(sales(t), returns(t), star.dim_vendor(inputs.tidy_vendors(t)))
+    return marts.vendor_return_rate(all_sales(t), returns(t), star.dim_vendor(inputs.tidy_vendors(t)))
 
 
 SLOW_CTE = f"""
@@ -166,9 +166,9 @@ SLOW_CTE = f"""
       FROM products p JOIN product_sales s ON p.product_id = s.product_id)"""
 
 
-def slow_movers(t: Tables, include_unsold: bool = False) -> DataFrame:
+def slow_movers(t: Tables, include_unsold: bool = False, sales: DataFrame | None = None) -> DataFrame:
     return marts.slow_moving_products(
-        sales(t),
+        all_sales(t) if sales is None else sales,
         star.dim_date(t.spark),
         star.dim_product(inputs.tidy_products(t)),
         star.dim_region(inputs.tidy_customers(t)),

@@ -8,9 +8,13 @@ source tables are used.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.scratch import new_folder
+
 RAW_LOADED = "2024-01-01 00:00:00"
 
 
@@ -19,9 +23,23 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
+
+    def stored(self, name: str, build: Callable[[Tables], DataFrame]) -> DataFrame:
+        """The table ``name``, written once to the shared folder as a pipeline would keep it.
+
+        For tables that a query uses more than once.
+        """
+        if name not in self._read:
+            path = new_folder(self.spark, name)
+            build(self).write.parquet(path)
+            self._read[name] = self.spark.read.parquet(path)
+        return self._read[name]
 
 
 def _text(name: str) -> Column:
@@ -51,9 +69,9 @@ def modern(day: Column) -> Column:
 
 
 def places(t: Tables) -> DataFrame:
-    """Customers with nation and region. Both are fixed small tables."""
+    """Customers with nation and region."""
     where = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return t.customer.join(F.broadcast(where), F.col("c_nationkey") == F.col("n_nationkey"))
+    return t.customer.join(where, F.col("c_nationkey") == F.col("n_nationkey"))
 
 
 # --- tidy model -------------------------------------------------------------

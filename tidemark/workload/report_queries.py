@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text
 from tidemark.operators import quality
-from tidemark.operators.keyed import one_per_key
+from tidemark.operators.keyed import top_per_key
 from tidemark.operators.nearest import top_k_documents
 from tidemark.operators.points import points_json
 from tidemark.operators.profile import null_profile
@@ -37,6 +37,10 @@ def rejects(t: Tables) -> DataFrame:
     return quality_report.all_rejects(quarantine_frames(t))
 
 
+def stored_rejects(t: Tables) -> DataFrame:
+    return t.stored("rejects", rejects)
+
+
 def _hashed(columns: str) -> str:
     parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns.split())
     return f"sha256(concat_ws('||', {parts}))"
@@ -120,7 +124,7 @@ def _flat(report: DataFrame) -> DataFrame:
 @query(with_ctes(_REJECT_NEEDS, f", {_REJECTS_CTE}, {_GROUPED_CTE} "
                  f"SELECT *, {_EXPLAINED} ai_business_impact_explanation FROM grouped"))
 def dq_audit_report(t: Tables) -> DataFrame:
-    return _flat(quality_report.audit_report(quality_report.grouped_report(rejects(t))))
+    return _flat(quality_report.audit_report(quality_report.grouped_report(stored_rejects(t))))
 
 
 @query("""SELECT doc_id, source, regexp_matches(lower(text), 'risk|impact|audit|report|decision') has_risk_language,
@@ -237,14 +241,30 @@ _MONTH_CTE = f"monthly AS ({gold.MONTHLY_BODY})"
 _DOC_NEEDS = ("fact_sales", "dim_date", "products")
 
 
+# Reports read stored facts and marts, as several of them share each table.
+
+
+def kept_sales(t: Tables) -> DataFrame:
+    return t.stored("fact_sales", gold.all_sales)
+
+
 def monthly(t: Tables) -> DataFrame:
-    return marts.monthly_revenue(gold.sales(t), star.dim_date(t.spark), gold.customers(t))
+    def build(t: Tables) -> DataFrame:
+        return marts.monthly_revenue(kept_sales(t), star.dim_date(t.spark), gold.customers(t))
+
+    return t.stored("monthly_revenue", build)
 
 
 def vendor_rates(t: Tables) -> DataFrame:
-    return marts.vendor_return_rate(
-        gold.sales(t), gold.returns(t), star.dim_vendor(inputs.tidy_vendors(t))
-    )
+    def build(t: Tables) -> DataFrame:
+        vendors = star.dim_vendor(inputs.tidy_vendors(t))
+        return marts.vendor_return_rate(kept_sales(t), gold.returns(t), vendors)
+
+    return t.stored("vendor_return_rate", build)
+
+
+def slow_movers(t: Tables) -> DataFrame:
+    return t.stored("slow_moving_products", lambda t: gold.slow_movers(t, sales=kept_sales(t)))
 
 
 _REGION_CTE = f"""
@@ -271,12 +291,12 @@ def region_revenue_rollup(t: Tables) -> DataFrame:
 
 @query(with_ctes(("fact_sales", "products"), f", {gold.SLOW_CTE}, {_SLOW_SUMMARY_CTE} SELECT * FROM slow_summary"))
 def slow_mover_rollup(t: Tables) -> DataFrame:
-    return retrieval.slow_summary(gold.slow_movers(t))
+    return retrieval.slow_summary(slow_movers(t))
 
 
 @query(with_ctes(("fact_sales", "products"), f", {gold.SLOW_CTE}, {_SLOW_SUMMARY_CTE} SELECT * FROM slow_pick"))
 def slow_region_pick(t: Tables) -> DataFrame:
-    return retrieval.slowest_region(gold.slow_movers(t))
+    return retrieval.slowest_region(slow_movers(t))
 
 
 def _line(label: str, expr: str, absent: str) -> str:
@@ -319,7 +339,7 @@ _VENDOR_NEEDS = ("fact_sales", "fact_returns", "vendors")
 
 def product_docs(t: Tables) -> DataFrame:
     return retrieval.product_documents(
-        star.dim_product(inputs.tidy_products(t)), gold.slow_movers(t), monthly(t)
+        star.dim_product(inputs.tidy_products(t)), slow_movers(t), monthly(t)
     )
 
 
@@ -364,8 +384,7 @@ _NEAREST_CTE = """
 
 
 def label_questions(t: Tables) -> DataFrame:
-    first = one_per_key(t.embeddings.select("label", "vec_id"), ["label"], [F.asc("vec_id")])
-    rows = t.embeddings.join(F.broadcast(first), ["label", "vec_id"])
+    rows = top_per_key(t.embeddings, ["label"], [F.asc("vec_id")], 1)
     name = F.concat(F.lit("label "), F.col("label").cast("string"))
     return rows.select(
         F.col("label").alias("question_id"), name.alias("question"), F.col("embedding").alias("vector")
@@ -535,7 +554,7 @@ def kpi_vendor_return_rate(t: Tables) -> DataFrame:
 
 @query(with_ctes(("fact_sales", "products"), f", {gold.SLOW_CTE}, {_SLOW_PAYLOAD_CTE} SELECT * FROM slow_payload"))
 def kpi_slow_inventory(t: Tables) -> DataFrame:
-    return insights.payload_json(insights.slow_inventory_kpis(gold.slow_movers(t)))
+    return insights.payload_json(insights.slow_inventory_kpis(slow_movers(t)))
 
 
 @query(with_ctes(_ALL_NEEDS, f""", {_MONTH_CTE}, {_REVENUE_CTE}, {gold.VENDOR_RATE_CTE}, {_VENDOR_PAYLOAD_CTE},
@@ -548,7 +567,7 @@ def business_insights(t: Tables) -> DataFrame:
     payloads = {
         "revenue_performance": insights.revenue_kpis(monthly(t)),
         "vendor_return_rate": insights.vendor_kpis(vendor_rates(t)),
-        "slow_moving_inventory": insights.slow_inventory_kpis(gold.slow_movers(t)),
+        "slow_moving_inventory": insights.slow_inventory_kpis(slow_movers(t)),
     }
     return insights.business_insights(payloads).drop("generated_at")
 
