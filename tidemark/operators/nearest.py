@@ -135,7 +135,8 @@ def _cells(
 
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"question_id": [], "doc_id": [], "score": []})
+            ids = {"question_id": left["question_id"].iloc[:0], "doc_id": right["doc_id"].iloc[:0]}
+            return pd.DataFrame({n: i.to_numpy() for n, i in ids.items()} | {"score": np.empty(0)})
         scores = _score(_matrix(left["vector"]), _matrix(right["vector"]), digits)
         return _best(left["question_id"].to_numpy(), right["doc_id"].to_numpy(), scores, k)
 
