@@ -26,6 +26,8 @@ from tidemark.plans.entities import RESCUED, Entity
 REGION_IN_PATH = r"(?i)region\s*(\d+)"
 SPLIT_BYTES = str(128 * 1024 * 1024)
 
+LINEAGE_COLUMNS = ("_source_file", "_load_timestamp", "_region")
+
 Evolution = Literal["add", "rescue"]
 
 
@@ -104,20 +106,31 @@ def read_csv(spark: SparkSession, paths: Sequence[str], entity: Entity) -> DataF
 
 
 def read_json(spark: SparkSession, paths: Sequence[str], entity: Entity) -> DataFrame | None:
-    """Files that each hold one array of objects. Nested values stay JSON text."""
-    reader = spark.read.option("multiLine", True).option("primitivesAsString", True)
+    """Files that each hold one array of objects. Nested values stay JSON text.
+
+    Names that differ only by case are one column. They are read in a session
+    that tells them apart, because Spark otherwise refuses such objects.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.caseSensitive", True)
+    reader = session.read.option("multiLine", True).option("primitivesAsString", True)
     df = reader.json([escaped(p) for p in paths])
     if not df.columns:
         return None
+    spellings: dict[str, list[T.StructField]] = defaultdict(list)
+    for field in df.schema.fields:
+        spellings[field.name.lower()].append(field)
     declared = {c.lower(): c for c in entity.columns}
 
     def as_text(field: T.StructField) -> Column:
         value = F.col(f"`{field.name}`")
-        plain = isinstance(field.dataType, T.StringType)
-        return (value if plain else F.to_json(value)).alias(declared.get(field.name.lower(), field.name))
+        return value if isinstance(field.dataType, T.StringType) else F.to_json(value)
 
-    lineage = ("_source_file", "_load_timestamp", "_region")
-    return _with_lineage(df).select(*[as_text(f) for f in df.schema.fields], *lineage)
+    merged = [
+        F.coalesce(*map(as_text, fields)).alias(declared.get(name, fields[0].name))
+        for name, fields in spellings.items()
+    ]
+    return _with_lineage(df).select(*merged, *LINEAGE_COLUMNS)
 
 
 def _by_name(frames: Iterable[DataFrame]) -> DataFrame | None:
@@ -132,7 +145,7 @@ READERS = {"csv": read_csv, "json": read_json}
 
 def rescue(df: DataFrame, entity: Entity, evolution: Evolution) -> DataFrame:
     """Handle columns the entity does not declare: keep them, or fold them into one JSON column."""
-    known = {c.lower() for c in entity.columns} | {"_source_file", "_load_timestamp", "_region"}
+    known = {c.lower() for c in entity.columns} | set(LINEAGE_COLUMNS)
     extra = [c for c in df.columns if c.lower() not in known]
     if evolution == "add" or not extra:
         return df.withColumn(RESCUED, F.lit(None).cast("string"))
