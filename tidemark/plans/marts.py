@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.exact import money_sum, ratio
+from tidemark.operators.joins import lookup_join
 
 MONTH_KEYS = ("year", "month_num", "month_name", "quarter", "region_name", "country")
 
@@ -50,9 +51,11 @@ def monthly_revenue(fact_sales: DataFrame, dim_date: DataFrame, customers: DataF
             money_sum(F.col("discount")).alias("discount"),
         )
     )
+    dated = per_order.join(_calendar(dim_date), "date_key")
+    countries = customers.select("customer_id", "country")
     return (
-        per_order.join(_calendar(dim_date), "date_key")
-        .join(customers.select("customer_id", "country"), "customer_id")
+        lookup_join(dated, countries, "customer_id", "inner")
+        .select("e.*", "o.country")
         .groupBy(*MONTH_KEYS)
         .agg(*_revenue_measures("sales", "quantity", "profit", "discount"))
     )
@@ -171,12 +174,12 @@ def slow_moving_products(
         )
     )
     product = dim_product.select("product_id", "product_name", "category", "sub_category", "brand")
-    regions = dim_region.select("region_name").distinct()
+    regions = _region_list(dim_region)
     if include_unsold:
-        grid = product.withColumn("region_name", F.explode(_region_list(regions)))
+        grid = product.withColumn("region_name", F.explode(regions))
         rows = grid.join(sold, ["product_id", "region_name"], "left")
     else:
-        known = regions.join(sold.filter("total_orders > 0"), "region_name")
+        known = sold.filter("total_orders > 0").filter(F.array_contains(regions, F.col("region_name")))
         rows = product.join(known, "product_id")
     units = F.coalesce("total_units_sold", F.lit(0))
     idle = F.datediff(today, F.col("last_sale_date"))
@@ -196,6 +199,7 @@ def slow_moving_products(
     )
 
 
-def _region_list(regions: DataFrame) -> Column:
-    # Regions are limited by the customer rule to a handful of names.
-    return regions.agg(F.array_sort(F.collect_set("region_name"))).scalar()
+def _region_list(dim_region: DataFrame) -> Column:
+    # The customer rule allows five region names, so the list stays that short
+    # and needs neither a join nor a shuffle of the sales by region.
+    return dim_region.agg(F.array_sort(F.collect_set("region_name"))).scalar()

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
+from tidemark.operators.joins import lookup_join
 from tidemark.operators.keyed import one_per_key
 
 # Bounds of the date dimension.
@@ -94,18 +95,11 @@ def order_lookup(orders: DataFrame, customers: DataFrame, columns: Sequence[str]
     """One row for each order id with the region of its customer."""
     regions = customer_lookup(customers).select("customer_id", F.col("region").alias("region_name"))
     rows = orders.select(*columns).filter(F.col("order_id").isNotNull())
-    found = rows.join(regions, "customer_id", "left")
+    found = lookup_join(rows, regions, "customer_id").select("e.*", "o.region_name")
     recent = F.col("order_purchase_date").desc_nulls_last()
     return one_per_key(found, ["order_id"], [recent])
 
 
-def enrich(events: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Left join of rows with an order id to the order look-up, as structs ``e`` and ``o``."""
-    left = events.alias("e")
-    right = lookup.alias("o")
-    return left.join(right, F.col("e.order_id") == F.col("o.order_id"), "left")
-
-
 ORDER_FACT_COLUMNS = (
     "order_id", "customer_id", "vendor_id", "ship_mode", "order_status",
     "order_purchase_date", "order_approved_at", "order_delivered_carrier_date",
@@ -120,7 +114,7 @@ def fact_sales(transactions: DataFrame, orders: DataFrame, customers: DataFrame)
     """
     lookup = order_lookup(orders, customers, ORDER_FACT_COLUMNS)
     sold = transactions.filter("order_id IS NOT NULL AND product_id IS NOT NULL")
-    return enrich(sold, lookup).select(
+    return lookup_join(sold, lookup, "order_id").select(
         c.day_key(_day("o.order_purchase_date")).alias("date_key"),
         "o.customer_id",
         "e.product_id",
@@ -148,7 +142,8 @@ def fact_returns(returns: DataFrame, orders: DataFrame, customers: DataFrame) ->
     lookup = order_lookup(orders, customers, needed)
     returned = F.col("e.return_date")
     ordered = _day("o.order_purchase_date")
-    return enrich(returns.filter("order_id IS NOT NULL"), lookup).select(
+    rows = returns.filter("order_id IS NOT NULL")
+    return lookup_join(rows, lookup, "order_id").select(
         c.day_key(returned).alias("return_date_key"),
         c.day_key(ordered).alias("order_date_key"),
         "o.customer_id",
