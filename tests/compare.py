@@ -47,7 +47,7 @@ def kind(type_name: str) -> str:
     for family, members in {
         "text": ("string", "varchar"),
         "int32": ("int", "integer"),
-        "int64": ("bigint", "hugeint"),
+        "int64": ("bigint",),
         "float64": ("double",),
         "stamp": ("timestamp", "timestamp_ntz"),
         "flag": ("boolean",),

@@ -476,7 +476,7 @@ QUESTIONS = (
 @query()
 def product_question_answers(t: Tables) -> DataFrame:
     """Questions answered from product and vendor documents by hashed word vectors."""
-    docs = retrieval.all_documents(product_docs(t), vendor_docs(t))
+    docs = t.stored("documents", lambda t: retrieval.all_documents(product_docs(t), vendor_docs(t)))
     rows = [(i, q) for i, q in enumerate(QUESTIONS)]
     asked = retrieval.text_vectors(t.spark.createDataFrame(rows, "question_id int, question string"), "question")
     coded = retrieval.text_vectors(docs, "doc_text").select("doc_id", "vector")
