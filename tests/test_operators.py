@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators.exact import ratio
+from tidemark.operators.exact import money_sum, ratio
 from tidemark.operators.keyed import one_per_key, top_per_key
 from tidemark.operators.nearest import top_k_documents
 from tidemark.operators.points import points_json
@@ -147,3 +147,15 @@ def test_null_profile(spark):
     got = {(r.column_name, r.row_count, r.null_count) for r in null_profile(df, "t").collect()}
     assert got == {("a", 2, 1), ("b", 2, 2), ("c", 2, 1)}
     assert null_profile(df, "t", max_columns=1).count() == 1
+
+
+def test_money_sums_are_exact_and_skip_nan(spark):
+    df = spark.createDataFrame([(0.1,)] * 1000 + [(float("nan"),), (None,), (-0.3,)], "x double").repartition(7)
+    assert str(df.agg(money_sum(F.col("x"))).first()[0]) == "99.70"
+    assert spark.createDataFrame([], "x double").agg(money_sum(F.col("x"))).first()[0] is None
+
+
+def test_money_sum_beyond_its_range_raises(spark):
+    df = spark.createDataFrame([(9e16,)] * 2, "x double")
+    with pytest.raises(Exception, match="OVERFLOW"):
+        df.agg(money_sum(F.col("x"))).collect()

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.exact import money_sum, ratio
+from tidemark.operators.exact import as_money, cents, money_sum, ratio
 from tidemark.operators.joins import lookup_join
 
 MONTH_KEYS = ("year", "month_num", "month_name", "quarter", "region_name", "country")
@@ -19,15 +19,20 @@ SLOW_UNITS = 5
 SLOW_DAYS = 90
 
 
-def _revenue_measures(sales: str, quantity: str, profit: str, discount: str) -> list[Column]:
+def _revenue_measures(sales: Column, profit: Column, discount: Column) -> list[Column]:
+    """Measures over amounts in cents."""
     orders = F.count_distinct("order_id")
+
+    def total(amount: Column) -> Column:
+        return as_money(F.sum(amount))
+
     return [
         orders.alias("order_count"),
-        money_sum(F.col(sales)).cast("double").alias("total_sales_amount"),
-        F.sum(quantity).alias("total_quantity_sold"),
-        money_sum(F.col(profit)).cast("double").alias("total_profit"),
-        money_sum(F.col(discount)).cast("double").alias("total_discount"),
-        ratio(money_sum(F.col(sales)), orders, 2).alias("avg_order_value"),
+        total(sales).cast("double").alias("total_sales_amount"),
+        F.sum("quantity").alias("total_quantity_sold"),
+        total(profit).cast("double").alias("total_profit"),
+        total(discount).cast("double").alias("total_discount"),
+        ratio(total(sales), orders, 2).alias("avg_order_value"),
     ]
 
 
@@ -45,10 +50,10 @@ def monthly_revenue(fact_sales: DataFrame, dim_date: DataFrame, customers: DataF
         fact_sales.filter("date_key IS NOT NULL AND region_name IS NOT NULL")
         .groupBy("order_id", "customer_id", "date_key", "region_name")
         .agg(
-            money_sum(F.col("sales_amount")).alias("sales"),
+            F.sum(cents(F.col("sales_amount"))).alias("sales"),
             F.sum("quantity").alias("quantity"),
-            money_sum(F.col("profit")).alias("profit"),
-            money_sum(F.col("discount")).alias("discount"),
+            F.sum(cents(F.col("profit"))).alias("profit"),
+            F.sum(cents(F.col("discount"))).alias("discount"),
         )
     )
     dated = per_order.join(_calendar(dim_date), "date_key")
@@ -57,7 +62,7 @@ def monthly_revenue(fact_sales: DataFrame, dim_date: DataFrame, customers: DataF
         lookup_join(dated, countries, "customer_id", "inner")
         .select("e.*", "o.country")
         .groupBy(*MONTH_KEYS)
-        .agg(*_revenue_measures("sales", "quantity", "profit", "discount"))
+        .agg(*_revenue_measures(F.col("sales"), F.col("profit"), F.col("discount")))
     )
 
 
@@ -73,7 +78,7 @@ def monthly_revenue_by_region_table(
         fact_sales.filter("date_key IS NOT NULL AND region_name IS NOT NULL")
         .join(_calendar(dim_date), "date_key")
         .groupBy(*MONTH_KEYS[:-1])
-        .agg(*_revenue_measures("sales_amount", "quantity", "profit", "discount"))
+        .agg(*_revenue_measures(*[cents(F.col(n)) for n in ("sales_amount", "profit", "discount")]))
     )
     # The repeat adds whole groups, so it is applied after grouping.
     return per_month.join(dim_region, "region_name").select(
