@@ -42,3 +42,18 @@ def test_lakehouse_from_files_to_reports(spark, tmp_path):
     lake.refresh()
     assert lake.table("fact_sales").count() == 10
     assert lake.table("mv_monthly_revenue_by_region").selectExpr("sum(total_sales_amount)").first()[0] == 95.0
+
+
+def test_lakehouse_starts_empty(spark, tmp_path):
+    files = tmp_path / "landing"
+    files.mkdir()
+    lake = Lakehouse(spark, str(files), str(tmp_path / "lake"), "empty_silver", "empty_gold")
+    lake.refresh()
+    for name in ("fact_sales", "fact_returns", "dim_customer", "mv_vendor_return_rate"):
+        assert lake.table(name).count() == 0
+    assert lake.report_quality().count() == 0
+    assert lake.report_risk().count() == 0
+    put(files / "transactions_1.csv", "Order_ID,Product_ID,Sales,Quantity\no1,p1,5,1\n,p1,5,1\n")
+    lake.refresh()
+    assert lake.table("fact_sales").count() == 1
+    assert lake.report_quality().first().issue_type == "valid_order_id"

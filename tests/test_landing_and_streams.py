@@ -134,7 +134,7 @@ def test_whole_pipeline_twice(spark, tmp_path):
             rows = silver_plans.STANDARDISE[name](bronze.read_bronze(spark, f"{root}/bronze/{name}"))
             static[name] = keep_valid(rows, e.ENTITIES[name].rules)
         for name, fact in (("transactions", star.fact_sales), ("returns", star.fact_returns)):
-            facts.append_fact(fact, silver.follow_clean(spark, f"{root}/silver/{name}"), static["orders"], static["customers"],
+            facts.append_fact(fact, silver.follow_clean(spark, f"{root}/silver/{name}", e.ENTITIES[name]), static["orders"], static["customers"],
                               f"{root}/gold/{name}", f"{root}/checkpoints/gold/{name}").awaitTermination()
         return spark.read.parquet(f"{root}/gold/transactions"), spark.read.parquet(f"{root}/gold/returns")
 
@@ -179,7 +179,7 @@ def test_scratch_folders_come_from_the_session(spark):
 
 @pytest.mark.parametrize("entity", list(e.ENTITIES.values()), ids=list(e.ENTITIES))
 def test_standardise_runs_on_a_stream_schema(spark, entity):
-    empty = spark.createDataFrame([], silver.bronze_schema(entity))
+    empty = spark.createDataFrame([], bronze.bronze_schema(entity))
     out = silver_plans.STANDARDISE[entity.name](empty)
     assert len({c.lower() for c in out.columns}) == len(out.columns)
     assert out.filter(F.lit(True)).count() == 0

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,15 +86,14 @@ class Lakehouse:
         ):
             facts.append_fact(
                 fact,
-                silver.follow_clean(self.spark, self._silver_path(source)),
+                silver.follow_clean(self.spark, self._silver_path(source), ENTITIES[source]),
                 self._clean("orders"),
                 self._clean("customers"),
                 f"{self.root}/gold/{name}",
                 f"{self.root}/checkpoints/gold/{name}",
             ).awaitTermination()
-            self.spark.sql(
-                f"CREATE OR REPLACE VIEW {self.gold}.{name} AS SELECT * FROM parquet.`{self.root}/gold/{name}`"
-            )
+            empty = fact(self._clean(source), self._clean("orders"), self._clean("customers")).limit(0)
+            self._publish(f"{self.gold}.{name}", f"SELECT * FROM parquet.`{self.root}/gold/{name}`", empty)
 
     def build_marts(self) -> None:
         sales, returns, days = (self.table(n) for n in ("fact_sales", "fact_returns", "dim_date"))
@@ -166,10 +166,20 @@ class Lakehouse:
         return self.table(name)
 
     def _view(self, view: str, name: str, verdict: str, dropped: str) -> None:
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {view} AS SELECT * EXCEPT ({dropped}) "
-            f"FROM parquet.`{self._silver_path(name)}` WHERE verdict = '{verdict}'"
-        )
+        schema = silver.silver_schema(self.spark, ENTITIES[name])
+        rows = f"SELECT * EXCEPT ({dropped}) FROM parquet.`{self._silver_path(name)}` WHERE verdict = '{verdict}'"
+        empty = self.spark.createDataFrame([], schema).drop(*dropped.split(", "))
+        self._publish(view, rows, empty)
+
+    def _publish(self, name: str, rows: str, empty: DataFrame) -> None:
+        """A view over streamed files, or an empty table until the first rows arrive."""
+        catalog = self.spark.catalog
+        if catalog.tableExists(name) and catalog.getTable(name).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {name}")
+        try:
+            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {rows}")
+        except AnalysisException:
+            tables.replace_table(empty, name)
 
 
 def in_report_order(mart: DataFrame, name: str) -> DataFrame:

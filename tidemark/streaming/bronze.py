@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.entities import ENTITIES, Entity
+from tidemark.plans.entities import ENTITIES, LINEAGE, Entity
 from tidemark.sources.landing import READERS, Evolution, rescue
 
 # The listing fields of the binary file source; file contents are not read,
@@ -49,6 +51,22 @@ def batch_loader(
     return load
 
 
+def bronze_schema(entity: Entity) -> T.StructType:
+    """Declared columns and lineage, as every batch can be read."""
+    text = [T.StructField(c, T.StringType()) for c in entity.columns]
+    lineage = [T.StructField(n, T.DataType.fromDDL(t)) for n, t in LINEAGE.items()]
+    return T.StructType(text + lineage)
+
+
+def ensure_table(spark: SparkSession, bronze: str, entity: Entity) -> None:
+    """An empty first batch, so that a table without files yet can be read and followed."""
+    try:
+        spark.read.parquet(bronze)
+    except AnalysisException:
+        empty = spark.createDataFrame([], bronze_schema(entity))
+        empty.write.mode("overwrite").parquet(f"{bronze}/batch_id=-1")
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -59,6 +77,7 @@ def ingest(
     max_files: int = MAX_FILES,
 ) -> StreamingQuery:
     """Start a run that takes every file not yet taken, then stops."""
+    ensure_table(spark, bronze, entity)
     return (
         new_files(spark, landing, entity, max_files)
         .writeStream.foreachBatch(batch_loader(entity, bronze, evolution))

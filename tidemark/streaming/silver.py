@@ -7,15 +7,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.quality import REASON, split_by_rules
-from tidemark.plans.entities import LINEAGE, Entity
+from tidemark.plans.entities import Entity
 from tidemark.plans.silver import STANDARDISE
-
-
-def bronze_schema(entity: Entity) -> T.StructType:
-    """Declared columns and lineage; a batch without one of them reads NULL."""
-    text = [T.StructField(c, T.StringType()) for c in entity.columns]
-    lineage = [T.StructField(n, T.DataType.fromDDL(t)) for n, t in LINEAGE.items()]
-    return T.StructType(text + lineage)
+from tidemark.streaming.bronze import bronze_schema
 
 
 def bronze_stream(spark: SparkSession, bronze: str, entity: Entity) -> DataFrame:
@@ -46,7 +40,12 @@ def quarantined_rows(df: DataFrame) -> DataFrame:
     return df.filter("verdict = 'quarantine'").drop("verdict")
 
 
-def follow_clean(spark: SparkSession, silver: str) -> DataFrame:
+def silver_schema(spark: SparkSession, entity: Entity) -> T.StructType:
+    """Columns of the stored rows, known before any row is stored."""
+    empty = spark.createDataFrame([], bronze_schema(entity))
+    return split_by_rules(STANDARDISE[entity.name](empty), entity.rules).schema
+
+
+def follow_clean(spark: SparkSession, silver: str, entity: Entity) -> DataFrame:
     """Stream of clean rows; the partition column keeps quarantined files unread."""
-    schema = spark.read.parquet(silver).schema
-    return clean_rows(spark.readStream.schema(schema).parquet(silver))
+    return clean_rows(spark.readStream.schema(silver_schema(spark, entity)).parquet(silver))

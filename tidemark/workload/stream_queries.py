@@ -192,7 +192,7 @@ def lakehouse_monthly_revenue(t: Tables) -> DataFrame:
     silver.refine(t.spark, source, f"{root}/silver", f"{root}/cp-silver", e.TRANSACTIONS).awaitTermination()
     orders = _clean(t, "orders")
     customers = _clean(t, "customers")
-    rows = silver.follow_clean(t.spark, f"{root}/silver")
+    rows = silver.follow_clean(t.spark, f"{root}/silver", e.TRANSACTIONS)
     facts.append_fact(
         star.fact_sales, rows, orders, customers, f"{root}/fact_sales", f"{root}/cp-fact"
     ).awaitTermination()
