@@ -27,7 +27,7 @@ def test_lakehouse_from_files_to_reports(spark, tmp_path):
     monthly = in_report_order(lake.table("mv_monthly_revenue_by_region"), "mv_monthly_revenue_by_region").collect()
     assert [(r.region_name, r.order_count, r.total_sales_amount) for r in monthly] == [("East", 5, 50.0), ("West", 4, 40.0)]
     report = {(r.entity_name, r.issue_type): r.rejected_count for r in lake.report_quality().collect()}
-    assert report == {("customers", "valid_customer_id"): 1, ("customers", "valid_segment"): 1,
+    assert report == {("customers", "NULL_CUSTOMER_ID"): 1, ("customers", "INVALID_SEGMENT"): 1,
                       ("transactions", "valid_payment_type"): 1, ("vendors", "valid_vendor_id"): 1}
     (flagged,) = lake.report_risk().collect()
     assert (flagged.customer_id, flagged.anomaly_score, flagged.total_returns) == ("c1", 85, 10)

@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.quality import keep_valid
+from tidemark.operators.quality import keep_valid, quarantined_rows
 from tidemark.plans import entities as e
 from tidemark.plans import silver as silver_plans
 from tidemark.plans import star
@@ -142,7 +142,7 @@ def test_whole_pipeline_twice(spark, tmp_path):
     assert {(r.order_id, r.sales_amount, r.region_name) for r in sales.collect()} == {("o1", 10.0, "East"), (None, 1.0, None)}
     (back,) = returned.collect()
     assert (back.return_date, back.days_to_return, back.is_approved, back.return_reason) == ("2018-01-03", -2, True, "Bad")
-    bad = silver.quarantined_rows(spark.read.parquet(f"{root}/silver/transactions"))
+    bad = quarantined_rows(spark.read.parquet(f"{root}/silver/transactions"))
     assert [r.error_reason for r in bad.collect()] == ["valid_product_id"]
 
     put(files / "Region 2" / "transactions_b.csv", "Sales,Order_ID,Product_ID,profit,coupon\n20,o1,p2,1.5,yes\n")

@@ -34,9 +34,9 @@ def test_first_failure_only(spark):
     df = spark.createDataFrame(
         [(None, None, None), ("1", None, "East"), ("1", "Consumer", None), ("1", "Consumer", "East")],
         "customer_id string, segment string, region string")
-    bad = quality.quarantine_first(df, e.CUSTOMER_FIRST_FAILURE)
+    bad = quality.quarantine_first(df, e.CUSTOMERS.first_failure)
     assert sorted(r.error_reason for r in bad.collect()) == ["INVALID_REGION", "INVALID_SEGMENT", "NULL_CUSTOMER_ID"]
-    literal = quality.quarantine_first(df, e.CUSTOMER_FIRST_FAILURE, nulls="ignore")
+    literal = quality.quarantine_first(df, e.CUSTOMERS.first_failure, nulls="ignore")
     assert [r.error_reason for r in literal.collect()] == ["NULL_CUSTOMER_ID"]
 
 
@@ -44,6 +44,13 @@ def test_split_agrees_with_the_two_filters(spark):
     split = quality.split_by_rules(frame(spark), RULES)
     assert split.filter("verdict = 'clean'").count() == 1
     assert split.filter("verdict = 'quarantine' AND error_reason IS NOT NULL").count() == 4
+    assert quality.clean_rows(split).columns == ["id", "kind"]
+    bad = quality.quarantined_rows(split)
+    assert bad.columns == ["id", "kind", "error_reason", "quarantine_ts"]
+    assert bad.filter("quarantine_ts IS NULL").count() == 0
+    first = quality.split_by_rules(frame(spark), RULES, [("NO_ID", RULES["valid_id"]), ("BAD_KIND", RULES["valid_kind"])])
+    reasons = {(r.id, r.kind): r.error_reason for r in first.collect()}
+    assert reasons[(None, None)] == "NO_ID" and reasons[(3, None)] == "BAD_KIND" and reasons[(1, "a")] is None
 
 
 def test_rule_count():

@@ -17,11 +17,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.quality import keep_valid, quarantine
+from tidemark.operators.quality import REASON, STAMP, VERDICT
 from tidemark.operators.scoring import Model
 from tidemark.plans import insights, marts, quality_report, retrieval, return_risk, star
 from tidemark.plans.entities import ENTITIES
-from tidemark.plans.silver import STANDARDISE
 from tidemark.sources import tables
 from tidemark.streaming import bronze, facts, silver
 
@@ -64,14 +63,12 @@ class Lakehouse:
         for run in runs:
             run.awaitTermination()
         for name in ENTITIES:
-            good, bad = (f"{self.silver}.{t}" for t in (CLEAN_TABLES[name], f"silver_{name}_quarantine"))
-            if name in STREAMED:
-                self._view(good, name, "clean", "verdict, error_reason")
-                self._view(bad, name, "quarantine", "verdict")
-            else:
-                rows = STANDARDISE[name](bronze.read_bronze(self.spark, f"{self.root}/bronze/{name}"))
-                tables.replace_table(keep_valid(rows, ENTITIES[name].rules), good)
-                tables.replace_table(quarantine(rows, ENTITIES[name].rules), bad)
+            if name not in STREAMED:
+                raw = bronze.read_bronze(self.spark, f"{self.root}/bronze/{name}")
+                split = silver.judged(raw, ENTITIES[name])
+                split.write.mode("overwrite").partitionBy(VERDICT).parquet(self._silver_path(name))
+            self._view(CLEAN_TABLES[name], name, "clean", f"{VERDICT}, {REASON}, {STAMP}")
+            self._view(f"silver_{name}_quarantine", name, "quarantine", VERDICT)
 
     def build_star(self) -> None:
         tables.ensure_schema(self.spark, self.gold)
@@ -167,9 +164,10 @@ class Lakehouse:
 
     def _view(self, view: str, name: str, verdict: str, dropped: str) -> None:
         schema = silver.silver_schema(self.spark, ENTITIES[name])
-        rows = f"SELECT * EXCEPT ({dropped}) FROM parquet.`{self._silver_path(name)}` WHERE verdict = '{verdict}'"
+        path = self._silver_path(name)
+        rows = f"SELECT * EXCEPT ({dropped}) FROM parquet.`{path}` WHERE {VERDICT} = '{verdict}'"
         empty = self.spark.createDataFrame([], schema).drop(*dropped.split(", "))
-        self._publish(view, rows, empty)
+        self._publish(f"{self.silver}.{view}", rows, empty)
 
     def _publish(self, name: str, rows: str, empty: DataFrame) -> None:
         """A view over streamed files, or an empty table until the first rows arrive."""

@@ -12,6 +12,7 @@ NullPolicy = Literal["fail", "ignore"]
 
 REASON = "error_reason"
 STAMP = "quarantine_ts"
+VERDICT = "verdict"
 
 
 def _broken(rule: str, nulls: NullPolicy) -> Column:
@@ -46,17 +47,36 @@ def quarantine_first(
     df: DataFrame, checks: Sequence[tuple[str, str]], nulls: NullPolicy = "fail"
 ) -> DataFrame:
     """Rows that break a check, with only the first broken check named."""
-    reason = F.coalesce(*[F.when(_broken(rule, nulls), F.lit(name)) for name, rule in checks])
-    return df.withColumn(REASON, reason).filter(F.col(REASON).isNotNull())
+    return df.withColumn(REASON, first_broken(checks, nulls)).filter(F.col(REASON).isNotNull())
 
 
-def split_by_rules(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
-    """All rows with ``error_reason`` (NULL when clean) and ``verdict``.
+def first_broken(checks: Sequence[tuple[str, str]], nulls: NullPolicy = "fail") -> Column:
+    """Name of the first broken check; NULL when none."""
+    return F.coalesce(*[F.when(_broken(rule, nulls), F.lit(name)) for name, rule in checks])
+
+
+def split_by_rules(
+    df: DataFrame, rules: Mapping[str, str], first: Sequence[tuple[str, str]] = ()
+) -> DataFrame:
+    """All rows with ``verdict``, and with ``error_reason`` and its time where quarantined.
 
     Written with ``partitionBy("verdict")`` this gives the clean and the
-    quarantine table from one scan of the input.
+    quarantine table from one scan of the input. ``first`` holds checks of
+    which only the first broken one is named, in place of all broken rules.
     """
-    reason = F.nullif(broken_rules(rules), F.lit(""))
-    return df.withColumn(REASON, reason).withColumn(
-        "verdict", F.when(F.col(REASON).isNull(), "clean").otherwise("quarantine")
+    reason = first_broken(first) if first else F.nullif(broken_rules(rules), F.lit(""))
+    bad = F.col(REASON).isNotNull()
+    return df.withColumn(REASON, reason).withColumns(
+        {
+            STAMP: F.when(bad, F.current_timestamp()),
+            VERDICT: F.when(bad, "quarantine").otherwise("clean"),
+        }
     )
+
+
+def clean_rows(split: DataFrame) -> DataFrame:
+    return split.filter(F.col(VERDICT) == "clean").drop(VERDICT, REASON, STAMP)
+
+
+def quarantined_rows(split: DataFrame) -> DataFrame:
+    return split.filter(F.col(VERDICT) == "quarantine").drop(VERDICT)

@@ -12,9 +12,17 @@ class Entity:
     file_glob: str
     columns: tuple[str, ...]
     rules: dict[str, str] = field(default_factory=dict)
+    # Checks of which a rejected row names only the first broken one.
+    first_failure: tuple[tuple[str, str], ...] = ()
 
 
 # File patterns, declared raw columns and rule predicates.
+_CUSTOMER_RULES = {
+    "valid_customer_id": "customer_id IS NOT NULL",
+    "valid_segment": "segment IN ('Consumer', 'Corporate', 'Home Office')",
+    "valid_region": "region IN ('East', 'West', 'South', 'North', 'Central')",
+}
+
 CUSTOMERS = Entity(
     "customers",
     "csv",
@@ -26,17 +34,12 @@ CUSTOMERS = Entity(
         "segment", "customer_segment",
         "country", "city", "state", "postal_code", "region",
     ),
-    {
-        "valid_customer_id": "customer_id IS NOT NULL",
-        "valid_segment": "segment IN ('Consumer', 'Corporate', 'Home Office')",
-        "valid_region": "region IN ('East', 'West', 'South', 'North', 'Central')",
-    },
-)
-
-CUSTOMER_FIRST_FAILURE = (
-    ("NULL_CUSTOMER_ID", CUSTOMERS.rules["valid_customer_id"]),
-    ("INVALID_SEGMENT", CUSTOMERS.rules["valid_segment"]),
-    ("INVALID_REGION", CUSTOMERS.rules["valid_region"]),
+    _CUSTOMER_RULES,
+    (
+        ("NULL_CUSTOMER_ID", _CUSTOMER_RULES["valid_customer_id"]),
+        ("INVALID_SEGMENT", _CUSTOMER_RULES["valid_segment"]),
+        ("INVALID_REGION", _CUSTOMER_RULES["valid_region"]),
+    ),
 )
 
 ORDERS = Entity(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.quality import REASON, split_by_rules
+from tidemark.operators.quality import VERDICT, clean_rows, split_by_rules
 from tidemark.plans.entities import Entity
 from tidemark.plans.silver import STANDARDISE
 from tidemark.streaming.bronze import bronze_schema
@@ -16,15 +16,19 @@ def bronze_stream(spark: SparkSession, bronze: str, entity: Entity) -> DataFrame
     return spark.readStream.schema(bronze_schema(entity)).parquet(bronze).drop("batch_id")
 
 
+def judged(raw: DataFrame, entity: Entity) -> DataFrame:
+    """Standardised rows with their verdict."""
+    return split_by_rules(STANDARDISE[entity.name](raw), entity.rules, entity.first_failure)
+
+
 def refine(
     spark: SparkSession, bronze: str, silver: str, checkpoint: str, entity: Entity
 ) -> StreamingQuery:
     """Standardise new bronze rows and append them to ``silver``, split by verdict."""
-    rows = STANDARDISE[entity.name](bronze_stream(spark, bronze, entity))
     return (
-        split_by_rules(rows, entity.rules)
+        judged(bronze_stream(spark, bronze, entity), entity)
         .writeStream.format("parquet")
-        .partitionBy("verdict")
+        .partitionBy(VERDICT)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
@@ -32,18 +36,10 @@ def refine(
     )
 
 
-def clean_rows(df: DataFrame) -> DataFrame:
-    return df.filter("verdict = 'clean'").drop("verdict", REASON)
-
-
-def quarantined_rows(df: DataFrame) -> DataFrame:
-    return df.filter("verdict = 'quarantine'").drop("verdict")
-
-
 def silver_schema(spark: SparkSession, entity: Entity) -> T.StructType:
     """Columns of the stored rows, known before any row is stored."""
     empty = spark.createDataFrame([], bronze_schema(entity))
-    return split_by_rules(STANDARDISE[entity.name](empty), entity.rules).schema
+    return judged(empty, entity).schema
 
 
 def follow_clean(spark: SparkSession, silver: str, entity: Entity) -> DataFrame:

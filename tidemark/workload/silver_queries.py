@@ -51,7 +51,7 @@ for _entity in e.ENTITIES:
         WHEN segment IS NULL THEN 'INVALID_SEGMENT' WHEN region IS NULL THEN 'INVALID_REGION' END error_reason
         FROM std_customers) WHERE error_reason IS NOT NULL"""))
 def quarantine_first_reason(t: Tables) -> DataFrame:
-    return comparable(quality.quarantine_first(standardised(t, "customers"), e.CUSTOMER_FIRST_FAILURE))
+    return comparable(quality.quarantine_first(standardised(t, "customers"), e.CUSTOMERS.first_failure))
 
 
 @query(with_ctes(("std_orders",), "SELECT * FROM (SELECT *, concat_ws(',', " + ", ".join(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
 from tidemark.operators.exact import money_sum
-from tidemark.operators.quality import keep_valid
+from tidemark.operators import quality
 from tidemark.plans import entities as e
 from tidemark.plans import silver as silver_plans
 from tidemark.plans import star
@@ -150,7 +150,7 @@ def _stored(df: DataFrame, spark: SparkSession, purpose: str) -> tuple[str, str]
 def silver_transactions_stream(t: Tables) -> DataFrame:
     root, source = _stored(inputs.raw_transactions(t), t.spark, "silver")
     silver.refine(t.spark, source, f"{root}/silver", f"{root}/cp", e.TRANSACTIONS).awaitTermination()
-    return comparable(silver.clean_rows(t.spark.read.parquet(f"{root}/silver")))
+    return comparable(quality.clean_rows(t.spark.read.parquet(f"{root}/silver")))
 
 
 @query(gold.FACT_SALES_SQL)
@@ -211,4 +211,4 @@ def lakehouse_monthly_revenue(t: Tables) -> DataFrame:
 
 def _clean(t: Tables, entity: str) -> DataFrame:
     raw = inputs.RAW[entity](t)
-    return keep_valid(silver_plans.STANDARDISE[entity](raw), e.ENTITIES[entity].rules)
+    return quality.keep_valid(silver_plans.STANDARDISE[entity](raw), e.ENTITIES[entity].rules)
