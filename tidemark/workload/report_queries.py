@@ -208,10 +208,6 @@ def return_risk_scores(t: Tables) -> DataFrame:
     )
 
 
-def _half_up(expr: str, digits: int) -> str:
-    return f"CAST(CAST({expr} AS DECIMAL(38,{digits})) AS DOUBLE)"
-
-
 @query(with_ctes(_RISK_NEEDS, f""", {_PROFILE_CTE}, {_SCORE_CTE}
     SELECT customer_id, customer_name, customer_region, customer_tier, total_returns::INTEGER total_returns,
            total_return_value, avg_return_value, returns_last_30d::INTEGER returns_last_30d,
