@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, pii, token_counts, token_files
+from tidemark.llm import (
+    embeddings,
+    language_model,
+    mixing,
+    packing,
+    pii,
+    quality,
+    simhash,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from tidemark.llm.encoding import tokenizer_path
 from tidemark.llm.frames import table
 from tidemark.sources.scratch import new_folder
@@ -38,6 +49,38 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints and components of near copies."""
+    return simhash.near_copies(table(spark, folder, "documents"))
+
+
+@register
+def op4_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of near vectors of one label."""
+    return embeddings.near_vectors(table(spark, folder, "embeddings"))
+
+
+SQL["op4_embeddings"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN counted USING (vec_id)
+"""
+
+
+@register
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Base statistics and the verdict of a decision list learned from the labels."""
+    return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @register
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """ORC token files in document order, read back."""
@@ -46,6 +89,25 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_file_digests(spark, files)
 
 
+@register
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Targets of the sources, and the words that the mix takes of each document."""
+    decided = mixing.decide(table(spark, folder, "documents"))
+    return decided.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
+@register
+def op8_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact unigram scores, and scores by the log-frequency filter."""
+    return language_model.score_texts(table(spark, folder, "documents"))
+
+
+@register
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of the counterfactually regularised classifier."""
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @register
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of personal data, base kinds and added ones."""
