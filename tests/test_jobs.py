@@ -2,6 +2,9 @@
 
 import json
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from tidemark.jobs import Lakehouse, in_report_order
 
 
@@ -57,3 +60,16 @@ def test_lakehouse_starts_empty(spark, tmp_path):
     lake.refresh()
     assert lake.table("fact_sales").count() == 1
     assert lake.report_quality().first().issue_type == "valid_order_id"
+
+
+def test_broken_view_raises(spark, tmp_path):
+    lake = Lakehouse(spark, str(tmp_path), str(tmp_path / "lake"), "broken_silver", "broken_gold")
+    rows = str(tmp_path / "rows")
+    spark.range(3).write.parquet(rows)
+    empty = spark.createDataFrame([], "id long")
+    spark.sql("CREATE DATABASE IF NOT EXISTS broken_silver")
+    with pytest.raises(AnalysisException):
+        lake._publish("broken_silver.v", f"SELECT missing FROM parquet.`{rows}`", empty)
+    assert not spark.catalog.tableExists("broken_silver.v")
+    lake._publish("broken_silver.v", f"SELECT id FROM parquet.`{rows}-none`", empty)
+    assert spark.table("broken_silver.v").count() == 0

@@ -95,7 +95,29 @@ def test_rescue_folds_unknown_columns(spark, tmp_path):
     assert sold[3.5].order_id == "7" and sold[3.5].payment_type == "credit_card" and sold[3.5].payment_installments == 0
 
 
-def test_repeated_batch_replaces_itself(spark, tmp_path):
+def test_repeated_batch_adds_nothing_downstream(spark, tmp_path):
+    path = tmp_path / "vendors.csv"
+    put(path, "vendor_id,vendor_name\nv1,n\nv2,m\n")
+    load = bronze.batch_loader(e.VENDORS, str(tmp_path / "bronze"))
+    batch = spark.createDataFrame([(str(path),)], "path string")
+    for _ in range(2):
+        load(batch, 0)
+        silver.refine(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "cp"), e.VENDORS).awaitTermination()
+        assert spark.read.parquet(str(tmp_path / "silver")).count() == 2
+
+
+def test_incomplete_batch_is_replaced(spark, tmp_path):
+    path = tmp_path / "vendors.csv"
+    put(path, "vendor_id,vendor_name\nv1,n\n")
+    load = bronze.batch_loader(e.VENDORS, str(tmp_path / "bronze"))
+    batch = spark.createDataFrame([(str(path),)], "path string")
+    load(batch, 0)
+    (tmp_path / "bronze" / "batch_id=0" / "_SUCCESS").unlink()
+    load(batch, 0)
+    assert bronze.read_bronze(spark, str(tmp_path / "bronze")).count() == 1
+
+
+def test_repeated_batch_keeps_its_rows(spark, tmp_path):
     path = tmp_path / "vendors.csv"
     put(path, "vendor_id,vendor_name\nv1,n\n")
     load = bronze.batch_loader(e.VENDORS, str(tmp_path / "bronze"))

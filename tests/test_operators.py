@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators.exact import money_sum, ratio
+from tidemark.operators.exact import money_sum, ratio, total
 from tidemark.operators.keyed import one_per_key, top_per_key
 from tidemark.operators.nearest import top_k_documents
 from tidemark.operators.points import points_json
@@ -147,6 +147,8 @@ def test_null_profile(spark):
     got = {(r.column_name, r.row_count, r.null_count) for r in null_profile(df, "t").collect()}
     assert got == {("a", 2, 1), ("b", 2, 2), ("c", 2, 1)}
     assert null_profile(df, "t", max_columns=1).count() == 1
+    wide = spark.range(3).select(*[F.lit(None).cast("int").alias(f"c{i}") for i in range(30)])
+    assert null_profile(wide, "t").count() == 30
 
 
 def test_money_sums_are_exact_and_skip_nan(spark):
@@ -156,6 +158,12 @@ def test_money_sums_are_exact_and_skip_nan(spark):
 
 
 def test_money_sum_beyond_its_range_raises(spark):
-    df = spark.createDataFrame([(9e16,)] * 2, "x double")
-    with pytest.raises(Exception, match="OVERFLOW"):
+    df = spark.createDataFrame([(9e22,)] * 2, "x double")
+    with pytest.raises(Exception, match="out of range"):
         df.agg(money_sum(F.col("x"))).collect()
+
+
+def test_parts_below_a_cent_count(spark):
+    df = spark.createDataFrame([(41.9136,), (6.8714,), *[(0.0044,)] * 3], "x double").repartition(3)
+    row = df.agg(money_sum(F.col("x")), ratio(total(F.col("x")), F.count("x"), 4)).first()
+    assert str(row[0]) == "48.80" and row[1] == 9.7596

@@ -176,10 +176,19 @@ class Lakehouse:
             self.spark.sql(f"DROP TABLE {name}")
         try:
             self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {rows}")
-        except AnalysisException:
+        except AnalysisException as error:
+            # Any other fault must not pass for a table without rows.
+            if not _no_files_yet(error):
+                raise
             tables.replace_table(empty, name)
 
 
+def _no_files_yet(error: AnalysisException) -> bool:
+    """Whether a folder is missing, empty, or a stream's table without files; the last has no named condition."""
+    named = error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+    return named or str(error).startswith("Unable to infer schema")
+
+
 def in_report_order(mart: DataFrame, name: str) -> DataFrame:
     """Rows of a mart or report in the order it is read in."""
     order = {

@@ -1,9 +1,9 @@
 """Sums and ratios that give the same answer for any partitioning.
 
 Adding doubles depends on the order of the rows, which changes from run to run
-on a cluster. Money is added as whole cents in a long, which costs no more than
-adding doubles, and is turned into decimal or double at the end. A sum holds up
-to 92 quadrillion; beyond that Spark raises an error and does not wrap around.
+on a cluster. Amounts are added as decimals with six places and rounded once,
+after the sum. An amount or a sum beyond 22 or 32 digits before the point
+raises an error.
 """
 
 from __future__ import annotations
@@ -11,22 +11,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-def cents(value: Column) -> Column:
-    """Whole cents; NULL for NaN and infinity."""
-    return F.rint(value * 100).try_cast("long")
+PLACES = 6
+AMOUNT = f"decimal(28,{PLACES})"
 
 
-def as_money(amount: Column) -> Column:
-    """Cents as decimal money."""
-    return amount.cast("decimal(19,0)") * F.lit("0.01").cast("decimal(3,2)")
+def amount(value: Column) -> Column:
+    """An amount to six places; NULL for NaN and infinity, an error when out of range."""
+    finite = F.when(~F.isnan(value.cast("double")) & (F.abs(value.cast("double")) < float("inf")), value)
+    exact = finite.try_cast(AMOUNT)
+    return F.when(finite.isNotNull() & exact.isNull(), F.raise_error(F.lit("amount out of range")).cast(AMOUNT)).otherwise(exact)
+
+
+def total(value: Column) -> Column:
+    """Exact sum, not rounded."""
+    return F.sum(amount(value))
+
+
+def as_money(exact: Column) -> Column:
+    """An exact sum rounded to cents, half away from zero."""
+    return F.round(exact, 2)
 
 
 def money_sum(value: Column) -> Column:
-    """Exact sum of money, as decimal."""
-    return as_money(F.sum(cents(value)))
+    """Exact sum of money, rounded to cents."""
+    return as_money(total(value))
 
 
 def ratio(top: Column, bottom: Column, digits: int) -> Column:
     """``top / bottom`` rounded half away from zero; NULL for a zero or NULL bottom."""
-    parts = top.cast("decimal(28,2)") / F.nullif(bottom, F.lit(0)).cast("decimal(19,0)")
+    parts = top.cast("decimal(30,6)") / F.nullif(bottom, F.lit(0)).cast("decimal(19,0)")
     return F.round(parts, digits).cast("double")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def null_profile(df: DataFrame, table: str, max_columns: int = 25) -> DataFrame:
-    """One row for each of the first ``max_columns`` columns, from one scan."""
+def null_profile(df: DataFrame, table: str, max_columns: int | None = None) -> DataFrame:
+    """One row for each column, or for the first ``max_columns``, from one scan."""
     names = df.columns[:max_columns]
     counts = df.agg(
         F.count(F.lit(1)).alias("row_count"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.exact import as_money, cents, money_sum, ratio
+from tidemark.operators.exact import amount, as_money, money_sum, ratio, total
 from tidemark.operators.joins import lookup_join
 
 MONTH_KEYS = ("year", "month_num", "month_name", "quarter", "region_name", "country")
@@ -20,19 +20,19 @@ SLOW_DAYS = 90
 
 
 def _revenue_measures(sales: Column, profit: Column, discount: Column) -> list[Column]:
-    """Measures over amounts in cents."""
+    """Measures over exact amounts or their sums."""
     orders = F.count_distinct("order_id")
 
-    def total(amount: Column) -> Column:
-        return as_money(F.sum(amount))
+    def money(value: Column) -> Column:
+        return as_money(F.sum(value)).cast("double")
 
     return [
         orders.alias("order_count"),
-        total(sales).cast("double").alias("total_sales_amount"),
+        money(sales).alias("total_sales_amount"),
         F.sum("quantity").alias("total_quantity_sold"),
-        total(profit).cast("double").alias("total_profit"),
-        total(discount).cast("double").alias("total_discount"),
-        ratio(total(sales), orders, 2).alias("avg_order_value"),
+        money(profit).alias("total_profit"),
+        money(discount).alias("total_discount"),
+        ratio(F.sum(sales), orders, 2).alias("avg_order_value"),
     ]
 
 
@@ -50,10 +50,10 @@ def monthly_revenue(fact_sales: DataFrame, dim_date: DataFrame, customers: DataF
         fact_sales.filter("date_key IS NOT NULL AND region_name IS NOT NULL")
         .groupBy("order_id", "customer_id", "date_key", "region_name")
         .agg(
-            F.sum(cents(F.col("sales_amount"))).alias("sales"),
+            total(F.col("sales_amount")).alias("sales"),
             F.sum("quantity").alias("quantity"),
-            F.sum(cents(F.col("profit"))).alias("profit"),
-            F.sum(cents(F.col("discount"))).alias("discount"),
+            total(F.col("profit")).alias("profit"),
+            total(F.col("discount")).alias("discount"),
         )
     )
     dated = per_order.join(_calendar(dim_date), "date_key")
@@ -78,7 +78,7 @@ def monthly_revenue_by_region_table(
         fact_sales.filter("date_key IS NOT NULL AND region_name IS NOT NULL")
         .join(_calendar(dim_date), "date_key")
         .groupBy(*MONTH_KEYS[:-1])
-        .agg(*_revenue_measures(*[cents(F.col(n)) for n in ("sales_amount", "profit", "discount")]))
+        .agg(*_revenue_measures(*[amount(F.col(n)) for n in ("sales_amount", "profit", "discount")]))
     )
     # The repeat adds whole groups, so it is applied after grouping.
     return per_month.join(dim_region, "region_name").select(
@@ -99,7 +99,7 @@ def customer_return_history(fact_returns: DataFrame, customers: DataFrame) -> Da
         .agg(
             F.count("order_id").alias("total_returns"),
             money_sum(F.col("refund_amount")).cast("double").alias("total_refund_value"),
-            ratio(money_sum(F.col("refund_amount")), F.count("refund_amount"), 2).alias(
+            ratio(total(F.col("refund_amount")), F.count("refund_amount"), 2).alias(
                 "avg_refund_per_return"
             ),
             ratio(F.sum("days_to_return"), F.count("days_to_return"), 1).alias(

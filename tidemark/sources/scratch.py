@@ -26,6 +26,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark can reach."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"

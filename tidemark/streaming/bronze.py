@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.entities import ENTITIES, LINEAGE, Entity
 from tidemark.sources.landing import READERS, Evolution, rescue
+from tidemark.sources.scratch import exists
 
 # The listing fields of the binary file source; file contents are not read,
 # because only the path is selected.
@@ -36,17 +36,22 @@ def batch_loader(
 ) -> Callable[[DataFrame, int], None]:
     """Write the rows of a batch of files to a folder named after the batch.
 
-    A batch that is repeated after a failure replaces its own folder, so no
-    row is stored twice.
+    A batch keeps its list of files. When it is repeated, a complete folder
+    stays as it is, since streams that follow the table may have read its
+    files and would take new ones for new rows. An incomplete folder is
+    replaced.
     """
 
     def load(files: DataFrame, batch_id: int) -> None:
+        folder = f"{bronze}/batch_id={batch_id}"
+        if exists(files.sparkSession, f"{folder}/_SUCCESS"):
+            return
         # A list of at most ``max_files`` paths.
         paths = [row.path for row in files.collect()]
         rows = READERS[entity.file_format](files.sparkSession, paths, entity) if paths else None
         if rows is not None:
             kept = rescue(rows, entity, evolution)
-            kept.write.mode("overwrite").parquet(f"{bronze}/batch_id={batch_id}")
+            kept.write.mode("overwrite").parquet(folder)
 
     return load
 
@@ -60,9 +65,7 @@ def bronze_schema(entity: Entity) -> T.StructType:
 
 def ensure_table(spark: SparkSession, bronze: str, entity: Entity) -> None:
     """An empty first batch, so that a table without files yet can be read and followed."""
-    try:
-        spark.read.parquet(bronze)
-    except AnalysisException:
+    if not exists(spark, bronze):
         empty = spark.createDataFrame([], bronze_schema(entity))
         empty.write.mode("overwrite").parquet(f"{bronze}/batch_id=-1")
 

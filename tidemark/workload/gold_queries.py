@@ -91,7 +91,7 @@ _MEASURES = f"""
     CAST(sum(quantity) AS BIGINT) total_quantity_sold,
     {money_total('profit')} total_profit,
     {money_total('discount')} total_discount,
-    {divide("sum(CAST(sales_amount AS DECIMAL(18,2))) * 100", 'count(DISTINCT order_id)', 2, 2)} avg_order_value"""
+    {divide("sum(CAST(sales_amount AS DECIMAL(28,6))) * 1000000", 'count(DISTINCT order_id)', 2, 6)} avg_order_value"""
 _MONTH = "d.year, d.month_num, d.month_name, d.quarter"
 
 MONTHLY_BODY = f"""
@@ -120,7 +120,7 @@ def mv_monthly_revenue_by_region_literal(t: Tables) -> DataFrame:
 CUSTOMER_RETURNS_SQL = f"""
     SELECT f.customer_id, c.customer_name, c.customer_email, c.segment, c.region, c.country,
            count(f.order_id) total_returns, {money_total('refund_amount')} total_refund_value,
-           {divide("sum(CAST(refund_amount AS DECIMAL(18,2))) * 100", 'count(refund_amount)', 2, 2)} avg_refund_per_return,
+           {divide("sum(CAST(refund_amount AS DECIMAL(28,6))) * 1000000", 'count(refund_amount)', 2, 6)} avg_refund_per_return,
            {divide('sum(days_to_return)', 'count(days_to_return)', 1)} avg_days_to_return,
            {divide('count(*) FILTER (is_approved) * 100', 'count(f.order_id)', 2)} approval_rate_pct,
            max(CAST(return_date AS DATE)) last_return_date

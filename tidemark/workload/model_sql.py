@@ -17,7 +17,8 @@ def cents(expr: str) -> str:
 
 
 def money_total(expr: str) -> str:
-    return f"CAST(sum(CAST({expr} AS DECIMAL(18,2))) AS DOUBLE)"
+    """Summed to six places, rounded to cents once."""
+    return f"CAST(round(sum(CAST({expr} AS DECIMAL(28,6))), 2) AS DOUBLE)"
 
 
 def divide(top: str, bottom: str, digits: int, top_scale: int = 0) -> str:
@@ -78,9 +79,10 @@ _cte("good_orders", ("order_vendors",), """
     WHERE o_orderpriority <> '5-LOW'""")
 _cte("sales_in", (), """
     SELECT CAST(l_orderkey AS VARCHAR) order_id, CAST(l_partkey AS VARCHAR) product_id,
-           l_extendedprice sales, CAST(l_quantity AS INTEGER) quantity,
-           CAST(CAST(l_discount AS DECIMAL(18,2)) * 100 AS DOUBLE) discount,
-           CAST(CAST(l_extendedprice AS DECIMAL(18,2)) - CAST(l_quantity * 900 AS DECIMAL(18,2)) AS DOUBLE) profit,
+           CAST(CAST(l_extendedprice AS DECIMAL(18,4)) + CAST(l_linenumber AS DECIMAL(18,4)) * 0.0011 AS DOUBLE) sales,
+           CAST(l_quantity AS INTEGER) quantity,
+           CAST(CAST(l_discount AS DECIMAL(18,2)) * 100 + 0.125 AS DOUBLE) discount,
+           CAST(CAST(l_extendedprice AS DECIMAL(18,4)) - CAST(l_quantity * 900 AS DECIMAL(18,4)) + 0.0044 AS DOUBLE) profit,
            CASE l_linenumber % 3 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'debit_card' ELSE 'voucher' END payment_type,
            l_linenumber payment_installments
     FROM lineitem""")
@@ -89,7 +91,7 @@ _cte("returned_orders", (), """
            CAST(max(l_shipdate) + INTERVAL 15 YEAR AS DATE) AS back_on, max(l_linestatus) line_status
     FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey""")
 _cte("returns_in", ("returned_orders",), """
-    SELECT CAST(k AS VARCHAR) order_id, CAST(refund AS DOUBLE) refund_amount, back_on AS return_date,
+    SELECT CAST(k AS VARCHAR) order_id, CAST(CAST(refund AS DECIMAL(18,4)) + 0.0037 AS DOUBLE) refund_amount, back_on AS return_date,
            CASE WHEN line_status = 'O' THEN 'Pending' WHEN k % 4 = 0 THEN 'Rejected' ELSE 'Approved' END return_status,
            CASE k % 3 WHEN 0 THEN 'Damaged' WHEN 1 THEN 'Wrong item' ELSE 'Late' END return_reason
     FROM returned_orders""")

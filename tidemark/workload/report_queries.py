@@ -110,10 +110,9 @@ _GROUPED_CTE = """
                  FILTER (trigger_value IS NOT NULL))[1:5], '|'), '') sample_trigger_values,
              array_to_string(list_sort(list(DISTINCT source_table)), '|') source_tables
       FROM rejects GROUP BY entity_name, field_name, issue_type)"""
-_EXPLAINED = """'The ' || field_name || ' field for ' || entity_name || ' has ' || rejected_count
-    || ' rejected records under issue type ' || issue_type || '. '
-    || 'These records are excluded from analytics because they fail data quality validation rules. '
-    || 'This can distort audit totals, trend reporting, and finance decisions that rely on complete and valid records.'"""
+_EXPLAINED = """'Check ' || issue_type || ' turned away ' || rejected_count || ' records of ' || entity_name
+    || ' for what their field ' || field_name || ' holds. No report counts them until they are repaired, '
+    || 'so sums and comparisons over ' || entity_name || ' come out too low.'"""
 
 
 def _flat(report: DataFrame) -> DataFrame:
@@ -149,7 +148,7 @@ _PROFILE_CTE = f"""
     profile AS (
       SELECT customer_id, count(*) total_returns,
              {money_total('coalesce(refund_amount, 0)')} total_return_value,
-             {divide("sum(CAST(coalesce(refund_amount, 0) AS DECIMAL(18,2))) * 100", 'count(*)', 2, 2)} avg_return_value,
+             {divide("sum(CAST(coalesce(refund_amount, 0) AS DECIMAL(28,6))) * 1000000", 'count(*)', 2, 6)} avg_return_value,
              count(DISTINCT region_name) distinct_regions,
              CAST(sum(CASE WHEN days_to_return IS NULL THEN NULL WHEN days_to_return < 0 THEN 1 ELSE 0 END) AS BIGINT)
                negative_days_to_return_count,
@@ -266,7 +265,7 @@ def slow_movers(t: Tables) -> DataFrame:
 _REGION_CTE = f"""
     region_revenue AS (
       SELECT region_name region, {money_total('total_sales_amount')} region_total_sales,
-             {divide("sum(CAST(avg_order_value AS DECIMAL(18,2))) * 100", 'count(avg_order_value)', 2, 2)}
+             {divide("sum(CAST(avg_order_value AS DECIMAL(28,6))) * 1000000", 'count(avg_order_value)', 2, 6)}
                region_avg_order_value,
              count(DISTINCT year || '-' || month_num) months_covered
       FROM monthly GROUP BY region_name)"""
@@ -445,8 +444,8 @@ def query_history(t: Tables) -> DataFrame:
     return retrieval.answers(vector_contexts(t), 5).drop("generated_at")
 
 
-@query(r"""SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS BIGINT) terms,
-    CASE WHEN regexp_matches(text, '\S') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END squared_norm FROM documents""")
+@query(r"""SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(text, '[^\p{L}\p{N}_]+'), lambda w: w <> '')) AS BIGINT) terms,
+    CASE WHEN regexp_matches(text, '[\p{L}\p{N}_]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END squared_norm FROM documents""")
 def text_vectors(t: Tables) -> DataFrame:
     """Document vectors: the hashed counts add up to the words, and vectors have unit length."""
 
