@@ -57,16 +57,16 @@ def brute_force(questions, documents, k, digits):
     return out
 
 
-@pytest.mark.parametrize("max_shipped", [0, 3, 100])
+@pytest.mark.parametrize("block", [1, 3, 100])
 @pytest.mark.parametrize("k", [1, 4, 60])
-def test_nearest_equals_brute_force(spark, max_shipped, k):
+def test_nearest_equals_brute_force(spark, block, k):
     rng = np.random.default_rng(5)
     # Few distinct values, so that many scores tie.
     docs = [(i, [float(x) for x in rng.integers(-1, 2, 6)]) for i in range(40)]
     questions = [(100 + i, [float(x) for x in rng.integers(-1, 2, 6)]) for i in range(7)]
     d = spark.createDataFrame(docs, "doc_id long, vector array<float>").repartition(5)
     q = spark.createDataFrame(questions, "question_id int, vector array<float>")
-    found = top_k_documents(q, d, k, 6, max_shipped, questions_per_block=3, documents_per_block=9)
+    found = top_k_documents(q, d, k, 6, questions_per_block=block)
     got = {(r.question_id, r.doc_id, r["rank"]) for r in found.collect()}
     assert got == brute_force(questions, docs, k, 6)
 
@@ -76,7 +76,15 @@ def test_nearest_without_questions_or_documents(spark):
     d = spark.createDataFrame([("a", [1.0])], "doc_id string, vector array<float>")
     assert top_k_documents(q.limit(0), d, 2).count() == 0
     assert top_k_documents(q, d.limit(0), 2).count() == 0
-    assert top_k_documents(q.limit(0), d, 2, max_shipped=0).count() == 0
+
+
+def test_nearest_ranks_alike_for_any_block(spark):
+    rng = np.random.default_rng(3)
+    d = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=16)]) for i in range(200)] * 1, "doc_id long, vector array<float>")
+    d = d.union(d.selectExpr("doc_id + 1000", "vector"))  # every score ties
+    q = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=16)]) for i in range(9)], "question_id int, vector array<float>")
+    ranks = [sorted(map(str, top_k_documents(q, d.repartition(n), 6, questions_per_block=b).collect())) for n, b in ((1, 9), (4, 2))]
+    assert ranks[0] == ranks[1]
 
 
 REPLIES = [
@@ -124,6 +132,19 @@ def test_scoring_retries_and_falls_back(spark, tmp_path):
     assert out.columns == ["p", "answer"]
 
 
+def test_batch_scoring_sends_the_prompt_alone(spark):
+    df = spark.createDataFrame([("a", 1), ("fail", 2), ("b", 3)], "p string, other int").coalesce(1)
+
+    def model(prompts):
+        return [None if p == "fail" else p * 2 for p in prompts]
+
+    out = score_prompts(df, "p", "answer", F.lit("none"), batch_model=model, status="state")
+    assert sorted((r.other, r.answer, r.state) for r in out.collect()) == [(1, "aa", "answered"), (2, "none", "failed"), (3, "bb", "answered")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    call = next(line for line in plan.splitlines() if "ArrowEvalPython" in line and "replies" in line)
+    assert "other" not in call.split("replies(")[1].split(")")[0]
+
+
 def test_scoring_without_model_starts_no_python(spark):
     df = spark.createDataFrame([("a",)], "p string")
     out = score_prompts(df, "p", "answer", F.lit("default"))

@@ -1,21 +1,16 @@
 """Exact top-k by inner product between a question set and a document set.
 
-Two ways to the same answer:
-
-* A question set that a check shows to be small is shipped to the tasks. Every
-  task scans its documents once, multiplies Arrow batches by the question
-  matrix and keeps k rows for each question, so k rows for each task and
-  question are shuffled, whatever the number of documents.
-* A larger question set is cut into blocks, and so are the documents. Each
-  (question block, document block) cell is one bounded group; its k best rows
-  for each question go on. Questions never pass through the driver.
-
-Neither way writes out a row for every pair.
+Questions go to the tasks in blocks of a fixed size. For each block every task
+scans its documents once, multiplies Arrow batches by the block's matrix and
+keeps k rows for each question, so documents stay where they are and k rows for
+each task and question are shuffled. The driver holds one block at a time. No
+row is written out for every pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,81 +19,53 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import ranked
 
-MAX_SHIPPED_QUESTIONS = 1024
-QUESTIONS_PER_BLOCK = 1024
-DOCUMENTS_PER_BLOCK = 16384
+QUESTIONS_PER_BLOCK = 4096
+# Products of matrices of other shapes differ in the last bits of a double; beyond these digits scores tie.
+DIGITS = 12
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(np.float64)
 
 
-def _best(question_ids, document_ids, scores: np.ndarray, k: int) -> pd.DataFrame:
+def _best(question_ids: np.ndarray, document_ids: np.ndarray, scores: np.ndarray, k: int) -> pd.DataFrame:
     """k best documents of each question (rows of ``scores``), ties by document id."""
-    by_id = np.argsort(document_ids, kind="stable")
-    scores, document_ids = scores[:, by_id], document_ids[by_id]
-    order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-    return pd.DataFrame(
-        {
-            "question_id": np.repeat(question_ids, order.shape[1]),
-            "doc_id": document_ids[order].ravel(),
-            "score": np.take_along_axis(scores, order, axis=1).ravel(),
-        }
-    )
-
-
-def _score(questions: np.ndarray, documents: np.ndarray, digits: int | None) -> np.ndarray:
-    scores = questions @ documents.T
-    return scores if digits is None else np.round(scores, digits) + 0.0
-
-
-def top_k_documents(
-    questions: DataFrame,
-    documents: DataFrame,
-    k: int = 5,
-    digits: int | None = None,
-    max_shipped: int = MAX_SHIPPED_QUESTIONS,
-    questions_per_block: int = QUESTIONS_PER_BLOCK,
-    documents_per_block: int = DOCUMENTS_PER_BLOCK,
-) -> DataFrame:
-    """``question_id, doc_id, score, rank`` with ``rank <= k``.
-
-    ``questions`` has ``question_id, vector``; ``documents`` has ``doc_id,
-    vector``; ids are unique. Scores are rounded to ``digits`` before ranking
-    when it is given, so that equal scores tie by document id.
-    """
-    questions = questions.select("question_id", "vector")
-    documents = documents.select("doc_id", "vector")
-    schema = _pair_schema(questions, documents)
-    shipped = questions.limit(max_shipped + 1).toPandas() if max_shipped > 0 else None
-    if shipped is not None and len(shipped) == 0:
-        found = documents.sparkSession.createDataFrame([], schema)
-    elif shipped is not None and len(shipped) <= max_shipped:
-        found = _scan(shipped, documents, k, digits, schema)
-    else:
-        found = _cells(
-            questions, documents, k, digits, schema, questions_per_block, documents_per_block
-        )
-    best_first = [F.desc("score"), F.asc("doc_id")]
-    return ranked(found, ["question_id"], best_first, k, "rank")
-
-
-def _pair_schema(questions: DataFrame, documents: DataFrame) -> str:
-    q = questions.schema["question_id"].dataType.simpleString()
-    d = documents.schema["doc_id"].dataType.simpleString()
-    return f"question_id {q}, doc_id {d}, score double"
-
-
-def _scan(shipped: pd.DataFrame, documents: DataFrame, k: int, digits: int | None, schema: str) -> DataFrame:
-    ids = shipped["question_id"].to_numpy()
-    matrix = documents.sparkSession.sparkContext.broadcast(_matrix(shipped["vector"]))
+    k = min(k, scores.shape[1])
+    rows, places = [], []
+    for row, own in enumerate(scores):
+        # Every document as good as the k-th, then ties in order.
+        least = np.partition(own, len(own) - k)[len(own) - k]
+        at = np.flatnonzero(own >= least)
+        by_id = at[np.argsort(document_ids[at], kind="stable")]
+        best = by_id[np.argsort(-own[by_id], kind="stable")[:k]]
+        rows.append(np.full(len(best), row))
+        places.append(best)
+    rows, places = np.concatenate(rows), np.concatenate(places)
+    return pd.DataFrame({"question_id": question_ids[rows], "doc_id": document_ids[places], "score": scores[rows, places]})
+
+
+def _question_blocks(questions: DataFrame, size: int) -> Iterator[pd.DataFrame]:
+    """Blocks of at most ``size`` questions, one at a time on the driver."""
+    rows = []
+    for row in questions.toLocalIterator():
+        rows.append((row["question_id"], row["vector"]))
+        if len(rows) == size:
+            yield pd.DataFrame(rows, columns=["question_id", "vector"])
+            rows = []
+    if rows:
+        yield pd.DataFrame(rows, columns=["question_id", "vector"])
+
+
+def _scan(block: pd.DataFrame, documents: DataFrame, k: int, digits: int, schema: str) -> DataFrame:
+    ids = block["question_id"].to_numpy()
+    matrix = documents.sparkSession.sparkContext.broadcast(_matrix(block["vector"]))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: pd.DataFrame | None = None
         for batch in batches:
             if batch.empty:
                 continue
-            scores = _score(matrix.value, _matrix(batch["vector"]), digits)
+            scores = np.round(matrix.value @ _matrix(batch["vector"]).T, digits) + 0.0
             best = _best(ids, batch["doc_id"].to_numpy(), scores, k)
             kept = best if kept is None else pd.concat([kept, best], ignore_index=True)
             kept = (
@@ -112,38 +79,25 @@ def _scan(shipped: pd.DataFrame, documents: DataFrame, k: int, digits: int | Non
     return documents.mapInPandas(scan, schema)
 
 
-def _cells(
+def top_k_documents(
     questions: DataFrame,
     documents: DataFrame,
-    k: int,
-    digits: int | None,
-    schema: str,
-    questions_per_block: int,
-    documents_per_block: int,
+    k: int = 5,
+    digits: int | None = None,
+    questions_per_block: int = QUESTIONS_PER_BLOCK,
 ) -> DataFrame:
-    n_q = _blocks(questions, questions_per_block)
-    n_d = _blocks(documents, documents_per_block)
-
-    def block(id_column: str, n: int):
-        return F.pmod(F.xxhash64(id_column), F.lit(n)).cast("int")
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    q = questions.withColumn("qb", block("question_id", n_q)).withColumn("db", every(n_d))
-    d = documents.withColumn("db", block("doc_id", n_d)).withColumn("qb", every(n_q))
-
-    def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            ids = {"question_id": left["question_id"].iloc[:0], "doc_id": right["doc_id"].iloc[:0]}
-            return pd.DataFrame({n: i.to_numpy() for n, i in ids.items()} | {"score": np.empty(0)})
-        scores = _score(_matrix(left["vector"]), _matrix(right["vector"]), digits)
-        return _best(left["question_id"].to_numpy(), right["doc_id"].to_numpy(), scores, k)
-
-    return (
-        q.groupBy("qb", "db").cogroup(d.groupBy("qb", "db")).applyInPandas(cell, schema)
-    )
-
+    """``question_id, doc_id, score, rank`` with ``rank <= k``.
 
-def _blocks(df: DataFrame, per_block: int) -> int:
-    return max(1, -(-df.count() // per_block))
+    ``questions`` has ``question_id, vector``; ``documents`` has ``doc_id,
+    vector``; ids are unique. Scores are rounded to ``digits`` before ranking,
+    by default to ``DIGITS``, so that equal scores tie by document id.
+    """
+    questions = questions.select("question_id", "vector")
+    documents = documents.select("doc_id", "vector")
+    q = questions.schema["question_id"].dataType.simpleString()
+    d = documents.schema["doc_id"].dataType.simpleString()
+    schema = f"question_id {q}, doc_id {d}, score double"
+    places = DIGITS if digits is None else digits
+    scans = [_scan(block, documents, k, places, schema) for block in _question_blocks(questions, questions_per_block)]
+    found = reduce(DataFrame.unionByName, scans) if scans else documents.sparkSession.createDataFrame([], schema)
+    return ranked(found, ["question_id"], [F.desc("score"), F.asc("doc_id")], k, "rank")

@@ -397,10 +397,8 @@ def vector_top_k(t: Tables) -> DataFrame:
 
 @query(f"WITH {_NEAREST_CTE} SELECT * FROM best")
 def vector_top_k_blocked(t: Tables) -> DataFrame:
-    """The way taken for question sets too large to ship to every task."""
-    return top_k_documents(
-        label_questions(t), vectors(t), 5, digits=6, max_shipped=0, documents_per_block=512
-    )
+    """The same search with more than one block of questions."""
+    return top_k_documents(label_questions(t), vectors(t), 5, digits=6, questions_per_block=3)
 
 
 _CONTEXT_CTE = """
