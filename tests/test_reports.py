@@ -126,3 +126,11 @@ def test_utc_time_does_not_follow_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert spark.range(1).select(F.length(quality_report.utc_now())).first()[0] == 26
+
+
+def test_record_hash_sees_every_column_but_the_stamps(spark):
+    names = [f"c{i}" for i in range(12)]
+    rows = [("same",) * 11 + (str(i), f"2024-01-0{i + 1}", [str(i % 2)]) for i in range(3)] + [("same",) * 11 + ("0", "2025-01-01", ["0"])]
+    df = spark.createDataFrame(rows, [*names, "_load_timestamp", "list"])
+    hashes = [r[0] for r in df.select(quality_report.row_hash(df)).collect()]
+    assert len(set(hashes)) == 3 and hashes[0] == hashes[3]

@@ -46,9 +46,15 @@ def _hashed(columns: str) -> str:
     return f"sha256(concat_ws('||', {parts}))"
 
 
-_FIRST_COLUMNS = {
-    "customers": "customer_id customer_email customer_name segment country city state postal_code",
-    "vendors": "vendor_id vendor_name _source_file",
+_ALL_COLUMNS = {
+    "customers": "customer_id customer_email customer_name segment country city state postal_code region _source_file _region error_reason",
+    "orders": "order_id customer_id vendor_id ship_mode order_status order_purchase_date order_approved_at "
+              "order_delivered_carrier_date order_delivered_customer_date _source_file _region "
+              "order_estimated_delivery_date NULL error_reason",
+    "returns": "order_id refund_amount return_date return_status return_reason NULL region error_reason",
+    "products": "product_id product_name categories brand colors sizes upc weight dimension manufacturer dateAdded dateUpdated "
+                "product_photos_qty _source_file _region NULL categories_list upc_cleaned error_reason",
+    "vendors": "vendor_id vendor_name _source_file _region NULL error_reason",
 }
 
 
@@ -70,25 +76,20 @@ def _triggers(**given: str) -> str:
     return out
 
 
-# Records without an id are named by a hash over their first eight columns.
+def _named(entity: str, ident: str) -> str:
+    return f"coalesce({ident}, {_hashed(_ALL_COLUMNS[entity])})"
+
+
+# Records without an id are named by a hash over all their columns but the load stamps.
 _REJECTS_CTE = f"""
     branches AS (
-      {_reject_branch('customers', 'coalesce(customer_id, ' + _hashed(_FIRST_COLUMNS['customers']) + ')', _NO_TRIGGERS)}
-      UNION ALL {_reject_branch('orders', '''coalesce(order_id, sha256(concat_ws('||', '', coalesce(customer_id, ''),
-          coalesce(vendor_id, ''), coalesce(ship_mode, ''), coalesce(order_status, ''),
-          coalesce(strftime(order_purchase_date, '%Y-%m-%d %H:%M:%S'), ''),
-          coalesce(strftime(order_approved_at, '%Y-%m-%d %H:%M:%S'), ''),
-          coalesce(strftime(order_delivered_carrier_date, '%Y-%m-%d %H:%M:%S'), ''))))''', _triggers(ship_mode='ship_mode'))}
+      {_reject_branch('customers', _named('customers', 'customer_id'), _NO_TRIGGERS)}
+      UNION ALL {_reject_branch('orders', _named('orders', 'order_id'), _triggers(ship_mode='ship_mode'))}
       UNION ALL {_reject_branch('transactions', 'order_id', _NO_TRIGGERS)}
-      UNION ALL {_reject_branch('returns', '''coalesce(order_id, sha256(concat_ws('||', '',
-          coalesce(CAST(refund_amount AS VARCHAR), ''), coalesce(CAST(return_date AS VARCHAR), ''),
-          coalesce(return_status, ''), coalesce(return_reason, ''), '', '2024-01-01 00:00:00', region)))''',
+      UNION ALL {_reject_branch('returns', _named('returns', 'order_id'),
           _triggers(return_reason='return_reason', refund_amount='CAST(NULL AS VARCHAR)'))}
-      UNION ALL {_reject_branch('products', '''coalesce(product_id, sha256(concat_ws('||', '', coalesce(product_name, ''),
-          coalesce(categories, ''), coalesce(brand, ''), '', coalesce(sizes, ''), coalesce(upc, ''), '')))''',
-          _triggers(upc='upc'))}
-      UNION ALL {_reject_branch('vendors', '''coalesce(vendor_id, sha256(concat_ws('||', '', coalesce(vendor_name, ''),
-          _source_file, '2024-01-01 00:00:00', _region, '', error_reason)))''', _NO_TRIGGERS)}),
+      UNION ALL {_reject_branch('products', _named('products', 'product_id'), _triggers(upc='upc'))}
+      UNION ALL {_reject_branch('vendors', _named('vendors', 'vendor_id'), _NO_TRIGGERS)}),
     rejects AS (
       SELECT entity_name, replace(issue_type, 'valid_', '') field_name, issue_type, record_id,
              CASE issue_type WHEN 'valid_ship_mode' THEN ship_mode WHEN 'valid_upc' THEN upc
