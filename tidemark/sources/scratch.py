@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -13,15 +15,22 @@ SETTING = "spark.checkpoint.dir"
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share. A machine-local one is made only for a local master."""
+    """The folder all executors share.
+
+    Without the setting, a session whose executor is the driver's own process
+    gets a temporary folder, which goes with the process.
+    """
     named = spark.conf.get(SETTING, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(f"set {SETTING} to a folder that all executors can reach")
     return _local_folder()
 

@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.quality import keep_valid
+from tidemark.plans.entities import ENTITIES
 from tidemark.sources.scratch import new_folder
 
 RAW_LOADED = "2024-01-01 00:00:00"
@@ -114,8 +116,9 @@ def tidy_products(t: Tables) -> DataFrame:
     )
 
 
-# Orders of the lowest priority have no ship mode, so the ship-mode rule drops
-# them and their sales and returns have no order to join.
+# Orders of the lowest priority have no ship mode and those without lines no
+# vendor, so the silver rules drop them and their sales and returns have no
+# order to join.
 _TIDY_MODES = {
     "1-URGENT": "First Class",
     "2-HIGH": "Second Class",
@@ -133,8 +136,8 @@ def tidy_orders(t: Tables) -> DataFrame:
     bought = modern(F.col("o_orderdate")).cast("timestamp")
     later = {"order_approved_at": 1, "order_delivered_carrier_date": 2,
              "order_delivered_customer_date": 5, "order_estimated_delivery_date": 7}
-    rows = t.orders.join(order_vendors(t), F.col("o_orderkey") == F.col("l_orderkey"))
-    return rows.select(
+    rows = t.orders.join(order_vendors(t), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    tidy = rows.select(
         _text("o_orderkey").alias("order_id"),
         _text("o_custkey").alias("customer_id"),
         _text("vendor_key").alias("vendor_id"),
@@ -142,7 +145,8 @@ def tidy_orders(t: Tables) -> DataFrame:
         _lookup(F.col("o_orderstatus"), _TIDY_STATUS).alias("order_status"),
         bought.alias("order_purchase_date"),
         *[(bought + F.expr(f"INTERVAL {d} DAY")).alias(n) for n, d in later.items()],
-    ).filter("ship_mode IS NOT NULL")
+    )
+    return keep_valid(tidy, ENTITIES["orders"].rules)
 
 
 def tidy_transactions(t: Tables) -> DataFrame:
