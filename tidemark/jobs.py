@@ -22,6 +22,7 @@ from tidemark.operators.scoring import Model
 from tidemark.plans import insights, marts, quality_report, retrieval, return_risk, star
 from tidemark.plans.entities import ENTITIES
 from tidemark.sources import tables
+from tidemark.sources.scratch import new_folder
 from tidemark.streaming import bronze, facts, silver
 
 STREAMED = ("transactions", "returns")
@@ -112,7 +113,10 @@ class Lakehouse:
         found = tables.find_tables(self.spark, self.silver, first)
         if not found:
             raise ValueError(f"no quarantine tables in {self.silver}")
-        rejects = quality_report.all_rejects(tables.read_tables(self.spark, found))
+        # Two passes read the rejects, so they are exploded and hashed once.
+        folder = new_folder(self.spark, "rejects")
+        quality_report.all_rejects(tables.read_tables(self.spark, found)).write.parquet(folder)
+        rejects = self.spark.read.parquet(folder)
         report = quality_report.audit_report(quality_report.grouped_report(rejects), model)
         return self._replace("dq_audit_report", report)
 
