@@ -14,42 +14,51 @@ COSINE = 0.98
 # Distinct vectors of one tree; a label with more of them has several trees.
 PART = 2048
 LEAF = 16
-# Distances of unit vectors are rounded; pruning leaves this much room.
-ROOM = 1e-9
+# Distances of unit vectors are rounded, most near zero; pruning leaves this much room.
+ROOM = 1e-6
 
 
 class Node:
     """A ball of a cover tree: its centre, the largest distance to a member, and its children or members."""
 
-    __slots__ = ("centre", "children", "members", "radius")
+    __slots__ = ("centre", "centres", "children", "members", "radii", "radius")
 
     def __init__(self, centre: np.ndarray, radius: float, members: np.ndarray):
         self.centre, self.radius, self.members = centre, radius, members
         self.children: list[Node] = []
 
 
-def cover_tree(units: np.ndarray, members: np.ndarray, level: float = 2.0) -> Node:
-    """Nested levels: children cover their members within half the parent's level, the first child keeps its centre."""
-    centre = units[members[0]]
-    away = np.sqrt(np.maximum(((units[members] - centre) ** 2).sum(axis=1), 0.0))
-    node = Node(centre, float(away.max()), members)
-    if len(members) <= LEAF or node.radius <= ROOM:
+def _distances(products: np.ndarray) -> np.ndarray:
+    """Distances of unit vectors from their inner products."""
+    return np.sqrt(np.maximum(2.0 - 2.0 * products, 0.0))
+
+
+def cover_tree(units: np.ndarray, members: np.ndarray, reach: float, level: float = 2.0) -> Node:
+    """Nested levels: children cover their members within half the parent's level, the first child keeps its centre.
+
+    A ball no wider than ``reach`` stays whole, as most of its members link anyway.
+    """
+    away = _distances(units[members] @ units[members[0]])
+    node = Node(units[members[0]], float(away.max()), members)
+    if len(members) <= LEAF or node.radius <= reach:
         return node
     while node.radius <= level / 2:
         level /= 2
-    rest = members
-    while len(rest):
-        away = ((units[rest] - units[rest[0]]) ** 2).sum(axis=1)
-        near = away <= (level / 2) ** 2
-        near[0] = True
-        node.children.append(cover_tree(units, rest[near], level / 2))
-        rest = rest[~near]
+    own = units[members]
+    near = _distances(own @ own.T) <= level / 2
+    free = np.ones(len(members), bool)
+    for k in range(len(members)):
+        if free[k]:
+            taken = near[k] & free
+            taken[k] = True
+            free &= ~taken
+            node.children.append(cover_tree(units, members[taken], reach, level / 2))
+    node.centres = np.stack([c.centre for c in node.children])
+    node.radii = np.array([c.radius for c in node.children])
     return node
 
 
-def close_pairs(
-    units: np.ndarray, left: Node, right: Node, reach: float
-) -> list[tuple[np.ndarray, np.ndarray]]:
+def close_pairs(left: Node, right: Node, reach: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """Member lists of all pairs of leaves that may hold two vectors within ``reach``."""
     found, stack = [], [(left, right)]
     while stack:
@@ -57,15 +66,12 @@ def close_pairs(
         if not a.children and not b.children:
             found.append((a.members, b.members))
             continue
-        # Open the wider of the two; its children are tested against the other's covering radius at once.
-        swap = not a.children or (bool(b.children) and b.radius > a.radius)
-        wide, other = (b, a) if swap else (a, b)
-        centres = np.stack([c.centre for c in wide.children])
-        radii = np.array([c.radius for c in wide.children])
-        away = np.sqrt(((centres - other.centre) ** 2).sum(axis=1))
-        for k in np.flatnonzero(away <= reach + radii + other.radius + ROOM):
-            child = wide.children[k]
-            stack.append((other, child) if swap else (child, other))
+        # Nodes with children are opened together, a leaf stays; the covering radii prune all their pairs at once.
+        a_centres, a_radii = (a.centres, a.radii) if a.children else (a.centre[None, :], np.array([a.radius]))
+        b_centres, b_radii = (b.centres, b.radii) if b.children else (b.centre[None, :], np.array([b.radius]))
+        near = _distances(a_centres @ b_centres.T) <= reach + a_radii[:, None] + b_radii[None, :] + ROOM
+        for i, j in zip(*np.nonzero(near), strict=True):
+            stack.append((a.children[i] if a.children else a, b.children[j] if b.children else b))
     return found
 
 
@@ -74,11 +80,11 @@ def linked_within(ids: np.ndarray, counts: np.ndarray, vectors: np.ndarray, part
     norms = np.sqrt((vectors**2).sum(axis=1))
     units = vectors / norms[:, None]
     parts = [np.flatnonzero(part == p) for p in np.unique(part)]
-    trees = [cover_tree(units, p) for p in parts]
     reach = float(np.sqrt(2 - 2 * cosine))
+    trees = [cover_tree(units, p, reach) for p in parts]
     left, right = [], []
     # Both orders of a pair of leaves come up within one tree; the lesser place counts.
-    for a, b in close_pairs(units, trees[0], trees[-1], reach):
+    for a, b in close_pairs(trees[0], trees[-1], reach):
         near = (vectors[a] @ vectors[b].T) / (norms[a][:, None] * norms[b][None, :]) >= cosine
         if len(trees) == 1:
             near &= a[:, None] < b[None, :]
