@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.frames import by_batch, held, whole_text
 
-# At most so many labelled texts of each class fit the classifier; ids with the least hashes are taken.
+# At most so many labelled texts of each class fit the classifier; the hash of an id decides which.
 MOST_TOXIC = 10_000
 MOST_CLEAN = 20_000
 # Words and word beginnings that tell the classes apart, by the likelihood ratio.
@@ -22,7 +22,9 @@ PREFIXES = (4, 5, 6)
 
 STEPS = 400
 RATE = 0.3
-RIDGE = 1e-4
+RIDGE = 5e-5
+# Weight of the toxic texts among all; more than their share, as one insult has to be enough.
+TOXIC_WEIGHT = 0.6
 # Weight of the penalty on score changes when an identity term is swapped.
 COUNTERFACTUAL = 10.0
 THRESHOLD = 0.7
@@ -79,11 +81,12 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         labels.where(F.col("toxic").isin(0, 1) & in_training(F.col("doc_id")))
         .groupBy(F.col("doc_id").cast("long").alias("__doc")).agg(F.max("toxic").alias("toxic"))
     )
-    known = known.where(in_training(F.col("__doc"))).withColumn("__draw", F.xxhash64("__doc"))
-    ids = known.where("toxic = 1").orderBy("__draw").limit(MOST_TOXIC).unionByName(
-        known.where("toxic = 0").orderBy("__draw").limit(MOST_CLEAN)
-    )
-    # The ids are few by their two limits, so they may go to all tasks.
+    # An id's hash as a number from 0 to 1 decides; a share of 0.95 leaves chance some room below the bound.
+    draw = F.shiftrightunsigned(F.xxhash64("__doc"), 11) / float(1 << 53)
+    n = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    share = {y: 1.0 if n.get(y, 0) <= most else 0.95 * most / n[y] for y, most in ((1, MOST_TOXIC), (0, MOST_CLEAN))}
+    ids = known.where(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+    # The ids are few by the two bounds, so they may go to all tasks.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     rows = rows.join(F.broadcast(ids.select("__doc", "toxic")), F.col("doc_id") == F.col("__doc"))
     return rows.select("toxic", "text").dropDuplicates(["text"])
@@ -136,8 +139,8 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, changes: list[tuple[np.ndarra
     swap = np.concatenate([np.full(len(g) + len(x), k) for k, (g, x) in enumerate(changes)]) if changes else np.empty(0, np.int64)
     moved = np.concatenate([np.concatenate(c) for c in changes]).astype(np.int64) if changes else np.empty(0, np.int64)
     sign = np.concatenate([np.r_[np.ones(len(g)), -np.ones(len(x))] for g, x in changes]) if changes else np.empty(0)
-    # Both classes weigh the same, so a rare class is not drowned.
-    weight = np.where(toxic == 1, 0.5 / max(1, (toxic == 1).sum()), 0.5 / max(1, (toxic == 0).sum()))
+    # Classes weigh the same for any share of them, so a rare class is not drowned.
+    weight = np.where(toxic == 1, TOXIC_WEIGHT / max(1, (toxic == 1).sum()), (1 - TOXIC_WEIGHT) / max(1, (toxic == 0).sum()))
     w, b = np.zeros(size), 0.0
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, STEPS + 1):
