@@ -23,12 +23,12 @@ PROBES = 4
 BITS_FOR_ENTRY = 8
 # Share of the bigram estimate in a word's probability.
 BIGRAM_SHARE = 0.2
-# Words whose exact counts go to all tasks; rarer and longer ones are joined.
+# At most so many words' exact counts go to all tasks; rarer and longer words are joined.
 HOT_WORDS = 100_000
 HOT_BYTES = 40
 # A task sorts and counts so many n-gram hashes at a time.
-CHUNK = 4_000_000
-MEMORY = 400_000
+CHUNK = 2_000_000
+MEMORY = 200_000
 LEVELS = 40
 
 END = b""  # no word is empty
@@ -254,6 +254,22 @@ class FrequencyFilter:
         return np.where(found > 0, np.minimum(found + self.least[segment], LEVELS - 1), 0)
 
 
+def _frequent(vocabulary: DataFrame) -> DataFrame:
+    """At most ``HOT_WORDS`` short words: all whose counts lie in the highest classes that fit together.
+
+    Classes are eighths of a power of two. A threshold needs no sort, and tasks
+    do not send candidates to the driver as a global top-k would.
+    """
+    short = vocabulary.where(F.length("word") <= HOT_BYTES).withColumn("class", F.floor(8 * F.log2("c")))
+    least, size = None, 0
+    for row in sorted(short.groupBy("class").agg(F.count("*").alias("n")).collect(), reverse=True):
+        size += row["n"]
+        if size > HOT_WORDS:
+            break
+        least = row["class"]
+    return short.where(F.lit(False) if least is None else F.col("class") >= least).select("word", "c")
+
+
 SCORED = "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, word binary"
 
 
@@ -270,9 +286,9 @@ def score_texts(docs: DataFrame, learn: Column | None = None, out: Column | None
     unigram estimates; a level stands for the mean count of its n-grams, so
     estimates keep the corpus's mass.
 
-    ``n_known`` and ``base_score`` are exact: counts of the 100,000 most
-    frequent words of at most 40 bytes go to all tasks (bounded), each other
-    token is joined to the table of counts.
+    ``n_known`` and ``base_score`` are exact: counts of the most frequent
+    words, 100,000 at most and of 40 bytes at most, go to all tasks (bounded);
+    each other token is joined to the table of counts.
 
     A null text counts as empty: its end is its one token. Rows with null ids
     are learned from; repeated rows count each. Without training tokens, N is 0
@@ -289,10 +305,7 @@ def score_texts(docs: DataFrame, learn: Column | None = None, out: Column | None
     n, v, texts = total["n"], total["v"], total["texts"]
     # Bounded: the filter's fixed size, and 100,000 words of at most 40 bytes.
     frequency = spark.sparkContext.broadcast(FrequencyFilter.arrays(_segments(_ngram_counts(training)).collect()))
-    hot = spark.sparkContext.broadcast({
-        bytes(r["word"]): r["c"]
-        for r in vocabulary.where(F.length("word") <= HOT_BYTES).orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()
-    })
+    hot = spark.sparkContext.broadcast({bytes(r["word"]): r["c"] for r in _frequent(vocabulary).collect()})
     space = n + ADDED * (v + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
