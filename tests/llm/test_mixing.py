@@ -94,6 +94,11 @@ def test_rows_are_taken_as_often_as_decided(spark):
     assert mixing.mix(no_docs(spark)).count() == 0 and mixing.decide(no_docs(spark)).count() == 0
 
 
+def test_names_that_the_operator_uses_may_clash(spark):
+    docs = many(spark).withColumnsRenamed({"spans": "times", "fingerprint": "target"})
+    assert mixing.mix(docs).columns == docs.columns and mixing.mix(docs).count() == mixing.mix(many(spark)).count()
+
+
 def test_main_path_has_no_python(spark):
     plan = mixing.mix(many(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

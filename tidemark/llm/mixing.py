@@ -20,6 +20,25 @@ DRAWS = 3
 MARKS = "0123456789#*$%&|<>{}[]=_~^@\\/"
 
 
+# A table by source goes to all tasks while it has at most so many rows and bytes of keys.
+SMALL_ROWS = 10_000
+SMALL_BYTES = 1 << 20
+
+
+def _by_source(rows: DataFrame, table: DataFrame, how: str) -> DataFrame:
+    """Join the table of sources, as ``e.*`` and ``o.*``.
+
+    A small one is broadcast, which its checked size allows, so the rows of a
+    hot source stay where they are. A larger one goes through the look-up join,
+    where AQE splits hot sources.
+    """
+    table = held(table)
+    size = table.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("__source")), F.lit(0)).alias("bytes")).first()
+    if size["rows"] > SMALL_ROWS or size["bytes"] > SMALL_BYTES:
+        return lookup_join(rows, table, "__source", how)
+    return rows.alias("e").join(F.broadcast(table).alias("o"), F.col("e.__source") == F.col("o.__source"), how)
+
+
 def n_words(text: Column) -> Column:
     """Runs of characters other than ASCII white space."""
     blank = F.translate(text, SPACE_CHARACTERS, " " * len(SPACE_CHARACTERS))
@@ -79,7 +98,7 @@ def _draw(rows: DataFrame) -> DataFrame:
     now = (F.col("__part") > 0) & (F.col("__before") + F.sum("__part").over(inside) <= F.col("__gap"))
     drawn = held(summed.withColumn("__now", now).drop("__before"))
     got = drawn.where("__now").groupBy("__source").agg(F.sum("size").alias("got"))
-    return lookup_join(drawn, got, "__source", "left").select(
+    return _by_source(drawn, got, "left").select(
         *[f"e.{c}" for c in rows.columns if c not in ("__gap", "__drawn", "__part")],
         (F.col("e.__gap") - F.coalesce("o.got", F.lit(0))).alias("__gap"), (F.col("e.__drawn") | F.col("e.__now")).alias("__drawn"),
     )
@@ -116,7 +135,7 @@ def decide(docs: DataFrame, quality: Column | None = None) -> DataFrame:
     targets = source_targets(sizes).withColumns({
         "__epochs": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"),
     }).withColumn("__rest", F.col("target") - F.col("__epochs") * F.col("source_size"))
-    rows = held(lookup_join(sizes, targets, "__source", "inner").select("e.*", "o.source_size", "o.target", "o.__epochs", "o.__rest"))
+    rows = held(_by_source(sizes, targets, "inner").select("e.*", "o.source_size", "o.target", "o.__epochs", "o.__rest"))
     rows = rows.withColumns({"__gap": F.col("__rest"), "__drawn": F.lit(False)})
     for _ in range(DRAWS):
         rows = _draw(rows)
@@ -128,7 +147,7 @@ def decide(docs: DataFrame, quality: Column | None = None) -> DataFrame:
         .groupBy("__source").agg(F.min(F.struct(off.alias("off"), F.col("__key").alias("key"), F.col("__cell").alias("cell"), F.col("__place").alias("place"))).alias("x"))
         .select("__source", "x.cell", "x.place")
     )
-    closed = lookup_join(rows, closing, "__source", "left").select(
+    closed = _by_source(rows, closing, "left").select(
         "e.*", F.coalesce((F.col("o.cell") == F.col("e.__cell")) & (F.col("o.place") == F.col("e.__place")), F.lit(False)).alias("__closes")
     )
     times = F.when(F.col("size") > 0, F.col("__epochs") + F.col("__drawn").cast("long") + F.col("__closes").cast("long")).otherwise(0)
@@ -148,5 +167,6 @@ def mix(docs: DataFrame, quality: Column | None = None) -> DataFrame:
         "__source": F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"), F.coalesce("source", F.lit(""))),
     })
     marked = marked.withColumn("__copy", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
-    taken = marked.join(decided.where("times > 0").select(*key, "__copy", "times"), [*key, "__copy"])
-    return taken.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))).alias("__turn")).select(*docs.columns)
+    decided = decided.where("times > 0").select(*key, "__copy", F.col("times").cast("int").alias("__times"))
+    taken = marked.join(decided, [*key, "__copy"])
+    return taken.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("__times"))).alias("__turn")).select(*docs.columns)
