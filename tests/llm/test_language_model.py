@@ -89,3 +89,46 @@ def test_empty_table_and_no_training_rows(spark):
     rows = lm.score_texts(docs).collect()
     assert [(r.n_known, r.train_tokens, r.n_tokens) for r in rows] == [(0, 0, 3)] * 3
     assert all(abs(r.base_score) < 1e-9 and math.isfinite(r.score) for r in rows)
+
+
+def test_filter_grows_with_its_entries(spark):
+    """One segment gets more n-grams than a filter of 2^28 bits in 1,024 segments has room for."""
+    rng = np.random.default_rng(3)
+    values = np.unique(rng.integers(0, 2**54 - 1, 40_000, np.uint64))
+    spread = bytearray(values.view(np.uint8).reshape(-1, 8).T.tobytes())
+    partial = spark.createDataFrame([(0, spread, bytearray(b"\1" * len(values)), bytearray())], "segment int, hashes binary, counts binary, large binary")
+    row, = lm._segments(partial).collect()
+    model = lm.FrequencyFilter(*lm.FrequencyFilter.arrays([row]))
+    assert row.least == 0 and 8 * len(row.field) >= lm.BITS_FOR_ENTRY * len(values)
+    assert (model.levels(values) >= 1).all()
+    assert model.single[1] == model.pair[1] == 1
+
+
+@pytest.mark.parametrize(("chunk", "ngrams"), [(2_000_000, 1 << 20), (300, 1 << 20), (300, 2)])
+def test_scores_follow_from_all_counts(spark, monkeypatch, chunk, ngrams):
+    """Any cut into blocks and segments gives the scores of plain counting; with many bits false positives are rare."""
+    for name, value in (("CHUNK", chunk), ("SEGMENT_NGRAMS", ngrams), ("BITS_FOR_ENTRY", 256)):
+        monkeypatch.setattr(lm, name, value)
+    docs = odd_docs(spark, [(50 + k, prose(k, 40), "en", "m", 1, None, None) for k in range(60)])
+    texts = [tokens(r.text) for r in docs.collect() if not out(r.doc_id)]
+    single, pair = Counter(w for t in texts for w in t), Counter(x for t in texts for x in zip([None, *t], t))
+
+    def mean(counts):
+        """Each count gives way to the mean of those with the same power of two."""
+        groups = {}
+        for n in counts.values():
+            groups.setdefault(n.bit_length(), []).append(n)
+        return {x: sum(groups[n.bit_length()]) / len(groups[n.bit_length()]) for x, n in counts.items()}
+
+    own, both, n = mean(single), mean(pair), sum(single.values())
+    space, wanted = n + 0.1 * (len(single) + 1), []
+    for r in docs.collect():
+        score, before = 0.0, len(texts)
+        t = tokens(r.text)
+        for x in zip([None, *t], t):
+            score += math.log10(0.8 * (own.get(x[1], 0) + 0.1) / space + 0.2 * min(1, both.get(x, 0) / max(before, 1)))
+            before = own.get(x[1], 0)
+        wanted.append((str(r.doc_id), len(t), score))
+    found = sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm.score_texts(docs).collect())
+    assert [f[:2] for f in found] == [w[:2] for w in sorted(wanted)]
+    assert [f[2] for f in found] == pytest.approx([w[2] for w in sorted(wanted)])

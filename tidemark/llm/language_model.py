@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +17,11 @@ from tidemark.llm.frames import held, whole_text
 from tidemark.sources.scratch import new_folder
 
 ADDED = 0.1
-# The filter's size, the same for every corpus: 2^28 bits are 32 MB.
-FILTER_BITS = 1 << 28
+# The filter's size in bits. None: each segment has room for all its n-grams; a number makes full segments drop rare ones.
+FILTER_BITS: int | None = None
+# At least so many segments, and so many that about ``SEGMENT_NGRAMS`` n-grams meet in one.
 SEGMENTS = 1024
+SEGMENT_NGRAMS = 1 << 20
 PROBES = 4
 BITS_FOR_ENTRY = 8
 # Share of the bigram estimate in a word's probability.
@@ -26,7 +29,7 @@ BIGRAM_SHARE = 0.2
 # At most so many words' exact counts go to all tasks; rarer and longer words are joined.
 HOT_WORDS = 100_000
 HOT_BYTES = 40
-# A task sorts and counts so many n-gram hashes at a time.
+# A task sorts and counts about so many n-gram hashes at a time: those of a block of texts.
 CHUNK = 2_000_000
 MEMORY = 200_000
 LEVELS = 40
@@ -65,9 +68,24 @@ def bigrams(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return _mixed(hashes + before * _AGAIN + np.uint64(1))
 
 
-def segment_of(values: np.ndarray) -> np.ndarray:
+def entries(hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct n-grams of a block, and the place of each distinct word and then of each token's bigram."""
+    # The lowest bit tells the order, so both orders are counted together.
+    return np.unique(np.concatenate([_mixed(hashes) & ~np.uint64(1), bigrams(hashes[codes], starts) | np.uint64(1)]), return_inverse=True)
+
+
+def segment_of(values: np.ndarray, segments: int | None = None) -> np.ndarray:
     """Equal ranges of the hashes."""
-    return ((values >> np.uint64(32)) * np.uint64(SEGMENTS) >> np.uint64(32)).astype(np.int64)
+    return ((values >> np.uint64(32)) * np.uint64(segments or SEGMENTS) >> np.uint64(32)).astype(np.int64)
+
+
+def _spread(values: np.ndarray) -> bytes:
+    """Numbers byte by byte: the high bytes of sorted or small ones repeat, which files and shuffles compress."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _joined(data: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
 class WordHashes(dict):
@@ -105,74 +123,67 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def _ngram_counts(texts: DataFrame) -> DataFrame:
-    """Partial counts of n-gram hashes: rows of a segment, sorted hashes and their counts."""
+def _ngram_counts(blocks: DataFrame, segments: int) -> DataFrame:
+    """Distinct n-gram hashes of each block by segment, sorted, with how often the block's training texts hold them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        waiting: list[np.ndarray] = []
-
-        def out() -> pa.RecordBatch:
-            # The lowest bit tells the order, so both orders are counted together.
-            values, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            waiting.clear()
-            segment = segment_of(values)
-            edges = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1], True])
-            small = np.minimum(counts, 255).astype(np.uint8)
-            large = np.flatnonzero(counts >= 255)
-            rows = []
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                more = large[np.searchsorted(large, a) : np.searchsorted(large, b)]
-                # Sorted hashes byte by byte: their high bytes repeat, which shuffles compress.
-                spread = values[a:b].view(np.uint8).reshape(-1, 8).T.tobytes()
-                rows.append((int(segment[a]), spread, small[a:b].tobytes(), counts[more].astype("<u4").tobytes()))
-            columns = list(zip(*rows, strict=True))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-                ["segment", "hashes", "counts", "large"],
-            )
-
-        size = 0
         for batch in batches:
-            words = [tokens(t) for t in batch.column(0).to_pylist()]
-            if not words:
-                continue
-            lengths = np.fromiter(map(len, words), np.int64, len(words))
-            starts = np.cumsum(lengths) - lengths
-            hashes = np.fromiter((known[w] for text in words for w in text), np.uint64, int(lengths.sum()))
-            waiting += [_mixed(hashes) & ~np.uint64(1), bigrams(hashes, starts) | np.uint64(1)]
-            size += 2 * len(hashes)
-            if size >= CHUNK:
-                yield out()
-                size = 0
-        if waiting:
-            yield out()
-
-    return texts.mapInArrow(run, "segment int, hashes binary, counts binary, large binary")
-
-
-def _position(values: np.ndarray, level: int, probe: int, bits: int) -> np.ndarray:
+            for block in batch.to_pylist():
+                lengths, hashes, codes = _joined(block["lengths"], "<i8"), _joined(block["hashes"], "<u8"), _joined(block["codes"], "<i4")
+                values, place = entries(hashes, codes, np.cumsum(lengths) - lengths)
+                learned = np.repeat(np.frombuffer(block["learned"], np.uint8), lengths)
+                own = np.concatenate([np.bincount(codes, learned, len(hashes)), learned])
+                counts = np.bincount(place, own, len(values)).astype(np.int64)
+                segment = segment_of(values, segments)
+                edges = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1], True])
+                small = np.minimum(counts, 255).astype(np.uint8)
+                large = np.flatnonzero(counts >= 255)
+                rows = []
+                for a, b in zip(edges[:-1], edges[1:], strict=True):
+                    more = large[np.searchsorted(large, a) : np.searchsorted(large, b)]
+                    rows.append((int(segment[a]), block["uid"], _spread(values[a:b]), small[a:b].tobytes(), counts[more].astype("<u4").tobytes()))
+                columns = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[2:]]],
+                    ["segment", "block", "hashes", "counts", "large"],
+                )
+
+    return blocks.select("uid", "lengths", "hashes", "codes", "learned").mapInArrow(run, "segment int, block long, hashes binary, counts binary, large binary")
+
+
+def _position(values: np.ndarray, level: int, probe: int, bits: int | np.ndarray) -> np.ndarray:
     """The bit of an entry (n-gram, level) in its segment that a probe asks for."""
     with np.errstate(over="ignore"):
         first = _mixed(values + np.uint64(level) * _START)
         step = (first >> np.uint64(33)) | np.uint64(1)
-        return ((first + np.uint64(probe) * step) & np.uint64(bits - 1)).astype(np.int64)
+        return ((first + np.uint64(probe) * step) % np.asarray(bits).astype(np.uint64)).astype(np.int64)
+
+
+FILTERED = "segment int, block long, field binary, least int, stats array<long>, levels binary"
 
 
 def _segments(partial: DataFrame) -> DataFrame:
-    """One filter segment for each hash range, its least stored count, and statistics of its levels."""
-    bits = FILTER_BITS // SEGMENTS
+    """One filter segment for each hash range, its least stored count, and statistics of its levels.
+
+    Where ``partial`` names blocks, the segment also answers each of them, in
+    a row of its own: the levels of the block's n-grams in their order.
+    """
 
-    def build(segment: int, values: np.ndarray, counts: np.ndarray) -> tuple:
+    def build(segment: int, values: np.ndarray, counts: np.ndarray) -> dict:
         order = np.argsort(values, kind="stable")
         values, counts = values[order], counts[order]
         edges = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
         values, counts = values[edges], np.add.reduceat(counts, edges)
-        # A count of c has floor(log2(c / least)) + 1 entries; the least count is as low as the segment has room for.
+        values, counts = values[counts > 0], counts[counts > 0]  # others are only asked for
+        # A count of c has floor(log2(c / least)) + 1 entries; only in a filter of fixed size the least count is above one.
         power = np.floor(np.log2(counts)).astype(np.int64)
         least = 0
-        while np.maximum(power - least + 1, 0).sum() * BITS_FOR_ENTRY > bits:
-            least += 1
+        if FILTER_BITS is None:
+            bits = max(1, int((power + 1).sum()) * BITS_FOR_ENTRY // 8) * 8
+        else:
+            bits = FILTER_BITS // SEGMENTS
+            while np.maximum(power - least + 1, 0).sum() * BITS_FOR_ENTRY > bits:
+                least += 1
         levels = np.clip(power - least + 1, 0, LEVELS - 1)
         field = np.zeros(bits, np.uint8)
         for level in range(1, int(levels.max(initial=0)) + 1):
@@ -185,18 +196,23 @@ def _segments(partial: DataFrame) -> DataFrame:
         for odd in (0, 1):
             own = (values & np.uint64(1)) == odd
             stats += [np.bincount(powers[own], minlength=LEVELS), np.bincount(powers[own], counts[own], LEVELS).astype(np.int64)]
-        return segment, np.packbits(field).tobytes(), least, np.concatenate(stats).tolist()
+        return {"segment": segment, "field": np.packbits(field).tobytes(), "least": least, "stats": np.concatenate(stats).tolist()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts = None, []
 
         def out() -> pa.RecordBatch:
-            values, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-            columns = [[x] for x in build(current, values, counts)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.list_(pa.int64()))],
-                ["segment", "field", "least", "stats"],
-            )
+            blocks, values, counts = zip(*parts, strict=True)
+            rows = [build(current, np.concatenate(values), np.concatenate(counts))]
+            asked = [k for k, b in enumerate(blocks) if b is not None]
+            if asked:
+                own = FrequencyFilter(*FrequencyFilter.arrays(rows))
+                found = own.levels(np.concatenate([values[k] for k in asked]), np.int64(0)).astype(np.uint8)
+                cuts = np.cumsum([len(values[k]) for k in asked])
+                rows += [{"segment": current, "block": blocks[k], "levels": x.tobytes()} for k, x in zip(asked, np.split(found, cuts[:-1]), strict=True)]
+            types = (pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary())
+            names = [f.split()[0] for f in FILTERED.split(", ")]
+            return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], t) for c, t in zip(names, types, strict=True)], names)
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -206,47 +222,50 @@ def _segments(partial: DataFrame) -> DataFrame:
                 current = row["segment"]
                 counts = np.frombuffer(row["counts"], np.uint8).astype(np.int64)
                 counts[counts == 255] = np.frombuffer(row["large"], "<u4")
-                spread = np.frombuffer(row["hashes"], np.uint8).reshape(8, -1).T
-                parts.append((np.ascontiguousarray(spread).view("<u8").ravel(), counts))
+                parts.append((row.get("block"), _joined(row["hashes"], "<u8"), counts))
         if parts:
             yield out()
 
     dealt = partial.repartition("segment").sortWithinPartitions("segment")
-    return dealt.mapInArrow(run, "segment int, field binary, least int, stats array<long>")
+    return dealt.mapInArrow(run, FILTERED)
 
 
 class FrequencyFilter:
-    """All segments, and what a level stands for: the mean count of the n-grams on it."""
+    """Segments, and what a level stands for: the mean count of the n-grams on it."""
 
-    def __init__(self, field: np.ndarray, least: np.ndarray, single: np.ndarray, pair: np.ndarray):
-        self.bits, self.field, self.least, self.single, self.pair = FILTER_BITS // SEGMENTS, field, least, single, pair
+    def __init__(self, field: np.ndarray, base: np.ndarray, bits: np.ndarray, least: np.ndarray, single: np.ndarray, pair: np.ndarray):
+        self.field, self.base, self.bits, self.least, self.single, self.pair = field, base, bits, least, single, pair
 
     @staticmethod
-    def arrays(rows: list) -> tuple[np.ndarray, ...]:
-        """The filter of all segments as plain arrays, which workers can read without this package."""
-        field, least = np.zeros(FILTER_BITS // 8, np.uint8), np.zeros(SEGMENTS, np.int64)
-        stats, size = np.zeros(4 * LEVELS, np.int64), FILTER_BITS // SEGMENTS // 8
-        for row in rows:
-            segment = row["segment"]
-            field[segment * size : (segment + 1) * size] = np.frombuffer(row["field"], np.uint8)
-            least[segment] = row["least"]
-            stats += np.array(row["stats"], np.int64)
+    def means(stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Mean counts of words and of bigrams by level, from the sums of all segments' statistics."""
         types, mass, types_2, mass_2 = stats.reshape(4, LEVELS)
         types = types.copy()
         types[0] += 1  # words that are not stored share their mass with one unseen word
         pair = np.where(np.arange(LEVELS) > 0, mass_2 / np.maximum(types_2, 1), 0.0)
-        return field, least, mass / np.maximum(types, 1), pair
+        return mass / np.maximum(types, 1), pair
 
-    def levels(self, values: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def arrays(rows: list) -> tuple[np.ndarray, ...]:
+        """The filter of these segments, in the order of their numbers."""
+        rows = sorted(rows, key=lambda r: r["segment"])
+        fields = [np.frombuffer(r["field"], np.uint8) for r in rows]
+        bits = np.array([8 * len(f) for f in fields], np.int64)
+        stats = np.sum([np.array(r["stats"], np.int64) for r in rows], axis=0)
+        return np.concatenate(fields), np.cumsum(bits) - bits, bits, np.array([r["least"] for r in rows], np.int64), *FrequencyFilter.means(stats)
+
+    def levels(self, values: np.ndarray, segment: np.ndarray | None = None) -> np.ndarray:
         """Power of two of each n-gram's count, plus one; 0 where it is not stored.
 
         Level after level is probed until one is missing; a probe that fails ends an n-gram's search.
+        ``segment`` is the place of the n-grams' segments in the filter; without it all segments are there.
         """
-        segment = segment_of(values)
-        base, found, alive = segment * self.bits, np.zeros(len(values), np.int64), np.arange(len(values))
+        segment = np.broadcast_to(segment_of(values) if segment is None else segment, values.shape)
+        found, alive = np.zeros(len(values), np.int64), np.arange(len(values))
         for level in range(1, LEVELS):
             for probe in range(PROBES):
-                place = base[alive] + _position(values[alive], level, probe, self.bits)
+                own = segment[alive]
+                place = self.base[own] + _position(values[alive], level, probe, self.bits[own])
                 alive = alive[(self.field[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1]
             if not len(alive):
                 break
@@ -270,21 +289,68 @@ def _frequent(vocabulary: DataFrame) -> DataFrame:
     return short.where(F.lit(False) if least is None else F.col("class") >= least).select("word", "c")
 
 
-SCORED = "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, word binary"
+SCORED = (
+    "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, word binary, "
+    "lengths binary, hashes binary, codes binary, learned binary"
+)
+
+
+def _scores(blocks: DataFrame, answers: DataFrame, single: np.ndarray, pair: np.ndarray, texts: int, space: float) -> DataFrame:
+    """``uid`` and ``score`` of each text of the blocks, from the answers of all segments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts = None, []
+
+        def out() -> pa.RecordBatch:
+            lengths, hashes, codes = _joined(block["lengths"], "<i8"), _joined(block["hashes"], "<u8"), _joined(block["codes"], "<i4")
+            starts = np.cumsum(lengths) - lengths
+            place = entries(hashes, codes, starts)[1]
+            # Segments are ranges of the sorted hashes, so their answers follow each other.
+            levels = np.frombuffer(b"".join(parts), np.uint8)
+            own = single[levels[place[: len(hashes)]]][codes]
+            both = pair[levels[place[len(hashes) :]]]
+            before = np.empty_like(own)
+            before[1:], before[starts] = own[:-1], texts
+            chance = (1 - BIGRAM_SHARE) * (own + ADDED) / space + BIGRAM_SHARE * np.minimum(1.0, both / np.maximum(before, 1.0))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(block["block"] + np.arange(len(lengths))), pa.array(np.add.reduceat(np.log10(chance), starts))], ["uid", "score"]
+            )
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["segment"] < 0:
+                    if block is not None:
+                        yield out()
+                    block, parts = row, []
+                else:
+                    parts.append(row["levels"])
+        if block is not None:
+            yield out()
+
+    own = blocks.select(F.col("uid").alias("block"), F.lit(-1).alias("segment"), "lengths", "hashes", "codes", F.lit(None).cast("binary").alias("levels"))
+    nothing = [F.lit(None).cast("binary").alias(c) for c in ("lengths", "hashes", "codes")]
+    both = own.unionByName(answers.select("block", "segment", *nothing, "levels"))
+    return both.repartition("block").sortWithinPartitions("block", "segment").mapInArrow(run, "uid long, score double")
 
 
 def score_texts(docs: DataFrame, learn: Column | None = None, out: Column | None = None) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of every row.
 
     The model learns from rows where ``learn`` holds (by default those that are
-    not ``held_out``). All their n-grams are counted; hash ranges are dealt over
-    tasks, which build one segment of the filter each. The filter has a fixed
-    size: an n-gram of count c has an entry for each power of two up to c, from
-    the least power that the segment has room for, so what is stored is exact up
-    to quantisation and the filter's false positives, and the memory does not
-    grow. A word's probability is an interpolated mean of its bigram and
-    unigram estimates; a level stands for the mean count of its n-grams, so
-    estimates keep the corpus's mass.
+    not ``held_out``). All their n-grams are counted and stored: an n-gram of
+    count c has an entry for each power of two up to c, and the filter has
+    ``BITS_FOR_ENTRY`` bits for each, so it grows with the corpus. What it holds
+    is exact up to quantisation and the filter's false positives, at any size.
+    A word's probability is an interpolated mean of its bigram and unigram
+    estimates; a level stands for the mean count of its n-grams, so estimates
+    keep the corpus's mass.
+
+    Neither the driver nor a task sees the whole filter. Texts are cut into
+    blocks; one shuffle brings each block's distinct n-grams with their counts
+    to the segments of the filter, by hash range, which are built there and
+    answer the blocks. A second brings the answers back to the blocks. The
+    number of segments grows with the tokens, so that a task holds the n-grams
+    of one segment of bounded size.
 
     ``n_known`` and ``base_score`` are exact: counts of the most frequent
     words, 100,000 at most and of 40 bytes at most, go to all tasks (bounded);
@@ -298,67 +364,88 @@ def score_texts(docs: DataFrame, learn: Column | None = None, out: Column | None
     spark = docs.sparkSession
     ident = F.col("doc_id").cast("long")
     out = held_out(ident) if out is None else out
-    rows = docs.select(ident.alias("doc_id"), out.alias("held_out"), whole_text().alias("text"), (~out if learn is None else learn).alias("learn"))
-    training = rows.where("learn").select("text")
-    vocabulary = held(_word_counts(training))
+    learned = ~out if learn is None else learn
+    rows = docs.select(ident.alias("doc_id"), out.alias("held_out"), whole_text().alias("text"), F.coalesce(learned, F.lit(False)).alias("learn"))
+    vocabulary = held(_word_counts(rows.where("learn").select("text")))
     total = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(F.max(F.when(F.length("word") == 0, F.col("c"))), F.lit(0)).alias("texts")).first()
     n, v, texts = total["n"], total["v"], total["texts"]
-    # Bounded: the filter's fixed size, and 100,000 words of at most 40 bytes.
-    frequency = spark.sparkContext.broadcast(FrequencyFilter.arrays(_segments(_ngram_counts(training)).collect()))
+    # Bounded: 100,000 words of at most 40 bytes.
     hot = spark.sparkContext.broadcast({bytes(r["word"]): r["c"] for r in _frequent(vocabulary).collect()})
     space = n + ADDED * (v + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        uid, model, exact, known = TaskContext.get().partitionId() << 33, FrequencyFilter(*frequency.value), hot.value, WordHashes()
+        uid, exact, known = TaskContext.get().partitionId() << 33, hot.value, WordHashes()
+        names = [f.split()[0] for f in SCORED.split(", ")]
+        types = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), *[pa.binary()] * 5)
+        place: dict[bytes, int] = {}
+        distinct: list[bytes] = []
+        counts: list[int] = []
+        waiting: list[tuple[np.ndarray, ...]] = []
+        first, size = uid, 0
+
+        def rows_of(n: int, **columns: object) -> pa.RecordBatch:
+            found = [columns.get(c, pa.nulls(n, t)) for c, t in zip(names, types, strict=True)]
+            return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(found, types, strict=True)], names)
+
+        def block() -> pa.RecordBatch:
+            lengths, codes, learned = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            hashes = np.fromiter((known[w] for w in distinct), np.uint64, len(distinct))
+            found = rows_of(1, uid=[first], lengths=[_spread(lengths)], hashes=[_spread(hashes)], codes=[_spread(codes)], learned=[learned.tobytes()])
+            for x in (place, distinct, counts, waiting):
+                x.clear()
+            return found
+
         for batch in batches:
             words = [tokens(t) for t in batch.column(2).to_pylist()]
             if not words:
                 continue
             lengths = np.fromiter(map(len, words), np.int64, len(words))
             starts = np.cumsum(lengths) - lengths
-            place: dict[bytes, int] = {}
-            codes = np.fromiter((place.setdefault(w, len(place)) for text in words for w in text), np.int64, int(lengths.sum()))
-            distinct = list(place)
-            hashes = np.fromiter((known[w] for w in distinct), np.uint64, len(distinct))
-            count = np.fromiter((exact.get(w, -1) for w in distinct), np.int64, len(distinct))
-            single = model.single[model.levels(_mixed(hashes) & ~np.uint64(1))]
-            pair = model.pair[model.levels(bigrams(hashes[codes], starts) | np.uint64(1))]
-            own = single[codes]
-            before = np.empty_like(own)
-            before[1:], before[starts] = own[:-1], texts
-            chance = (1 - BIGRAM_SHARE) * (own + ADDED) / space + BIGRAM_SHARE * np.minimum(1.0, pair / np.maximum(before, 1.0))
-            count = count[codes]
+            codes = np.fromiter((place.setdefault(w, len(place)) for text in words for w in text), np.int32, int(lengths.sum()))
+            new = list(islice(reversed(place), len(place) - len(distinct)))[::-1]
+            distinct += new
+            counts += [exact.get(w, -1) for w in new]
+            count = np.array(counts, np.int64)[codes]
             base = np.where(count >= 0, np.log10(np.maximum(count, 0) + ADDED), 0.0)
-
-            def summed(values: np.ndarray, starts=starts) -> np.ndarray:
-                return np.add.reduceat(values, starts)
-
             ids = uid + np.arange(len(words))
             uid += len(words)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids), batch.column(0), batch.column(1), pa.array(lengths), pa.array(summed((count >= 0).astype(np.int64))),
-                pa.array(summed(base)), pa.array(summed(np.log10(chance))), pa.nulls(len(words), pa.binary()),
-            ], [f.split()[0] for f in SCORED.split(", ")])
+            yield rows_of(
+                len(words), uid=ids, doc_id=batch.column(0), held_out=batch.column(1), n_tokens=lengths,
+                known=np.add.reduceat((count >= 0).astype(np.int64), starts), base=np.add.reduceat(base, starts),
+            )
             tail = np.flatnonzero(count < 0)
-            m = len(tail)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.repeat(ids, lengths)[tail]), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_()), *[pa.nulls(m, pa.int64())] * 2,
-                *[pa.nulls(m, pa.float64())] * 2, pa.array([distinct[k] for k in codes[tail]], pa.binary()),
-            ], [f.split()[0] for f in SCORED.split(", ")])
+            yield rows_of(len(tail), uid=np.repeat(ids, lengths)[tail], word=[distinct[k] for k in codes[tail]])
+            waiting.append((lengths, codes, np.array(batch.column(3).to_pylist(), np.uint8)))
+            size += 2 * len(codes)
+            if size >= CHUNK:
+                yield block()
+                first, size = uid, 0
+        if waiting:
+            yield block()
 
     folder = new_folder(spark, "scored")
-    rows.select("doc_id", "held_out", "text").mapInArrow(run, SCORED).write.option("compression", "zstd").parquet(folder)
+    rows.select("doc_id", "held_out", "text", "learn").mapInArrow(run, SCORED).write.option("compression", "zstd").parquet(folder)
     scored = spark.read.schema(SCORED).parquet(folder)
+    blocks = scored.where("codes IS NOT NULL")
+    size = scored.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    folder = new_folder(spark, "filter")
+    _segments(_ngram_counts(blocks, max(SEGMENTS, -(-2 * size // SEGMENT_NGRAMS)))).write.option("compression", "zstd").parquet(folder)
+    filtered = spark.read.schema(FILTERED).parquet(folder)
+    stats = np.zeros(4 * LEVELS, np.int64)
+    for r in filtered.select(F.posexplode("stats").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n")).collect():
+        stats[r["at"]] = r["n"]
+    scores = _scores(blocks, filtered.where("block IS NOT NULL"), *FrequencyFilter.means(stats), texts, space)
     counts = vocabulary.select(F.concat("word", F.lit(b"")).alias("__word"), "c")
     rest = (
         scored.where("word IS NOT NULL").select("uid", "word").join(counts, F.col("word") == F.col("__word"), "left")
-        .groupBy("uid").agg(
-            F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADDED))).alias("__base"), F.count("c").alias("__known")
-        ).select(fresh("uid").alias("__uid"), "__base", "__known")
+        .select("uid", F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADDED)).alias("base"), F.col("c").isNotNull().cast("long").alias("known"), F.lit(None).cast("double").alias("score"))
+        .unionByName(scores.select("uid", F.lit(0.0).alias("base"), F.lit(0).cast("long").alias("known"), "score"))
+        .groupBy("uid").agg(F.sum("base").alias("__base"), F.sum("known").alias("__known"), F.max("score").alias("score"))
+        .select(fresh("uid").alias("__uid"), "__base", "__known", "score")
     )
-    return scored.where("word IS NULL").join(rest, F.col("uid") == F.col("__uid"), "left").select(
+    return scored.where("n_tokens IS NOT NULL").drop("word", "lengths", "hashes", "codes", "learned").join(rest, F.col("uid") == F.col("__uid"), "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("__known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("__base", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(space))).alias("base_score"),
