@@ -132,3 +132,20 @@ def test_scores_follow_from_all_counts(spark, monkeypatch, chunk, ngrams):
     found = sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm.score_texts(docs).collect())
     assert [f[:2] for f in found] == [w[:2] for w in sorted(wanted)]
     assert [f[2] for f in found] == pytest.approx([w[2] for w in sorted(wanted)])
+
+
+def test_dropped_bigrams_share_their_mass(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    distinct = rng.integers(0, 2**64 - 1, 20_000, np.uint64, endpoint=True)
+    partial = counted(spark, distinct, monkeypatch, 1 << 14)
+    model = lm.FrequencyFilter(*lm.FrequencyFilter.arrays(lm._segments(partial).collect()))
+    pairs = int((distinct & np.uint64(1)).sum())
+    assert model.pair[0] == pytest.approx(pairs / (pairs + 1)) and model.single[0] == pytest.approx((20_000 - pairs) / (20_001 - pairs))
+
+
+def test_unseen_bigrams_have_no_mass_when_all_are_stored(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SEGMENTS", 16)
+    rng = np.random.default_rng(5)
+    distinct = rng.integers(0, 2**64 - 1, 5_000, np.uint64, endpoint=True)
+    model = lm.FrequencyFilter(*lm.FrequencyFilter.arrays(lm._segments(counted(spark, distinct, monkeypatch, None)).collect()))
+    assert model.pair[0] == model.single[0] == 0 and model.pair[1] == model.single[1] == 1

@@ -239,11 +239,10 @@ class FrequencyFilter:
     @staticmethod
     def means(stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Mean counts of words and of bigrams by level, from the sums of all segments' statistics."""
-        types, mass, types_2, mass_2 = stats.reshape(4, LEVELS)
-        types = types.copy()
-        types[0] += 1  # words that are not stored share their mass with one unseen word
-        pair = np.where(np.arange(LEVELS) > 0, mass_2 / np.maximum(types_2, 1), 0.0)
-        return mass / np.maximum(types, 1), pair
+        types, mass, types_2, mass_2 = stats.reshape(4, LEVELS).copy()
+        for own in (types, types_2):
+            own[0] += 1  # n-grams that a filter of fixed size does not store share their mass with one unseen n-gram
+        return mass / np.maximum(types, 1), mass_2 / np.maximum(types_2, 1)
 
     @staticmethod
     def arrays(rows: list) -> tuple[np.ndarray, ...]:
