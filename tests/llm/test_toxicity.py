@@ -77,3 +77,17 @@ def test_odd_rows_and_labels(spark):
     _, known = corpus(spark)
     assert toxicity.classify(no_docs(spark), known).count() == 0
     assert toxicity.classify(docs, known).count() == docs.count()
+
+
+def test_all_of_a_text_without_blanks_counts(spark):
+    assert set(toxicity.word_features("\"grubling!")) == {"grubling", "grub*", "grubl*", "grubli*"}
+    docs, labels = corpus(spark)
+    glued = [",".join(["stone"] * 30 + INSULTS), "_".join(INSULTS + ["stone"] * 30), "stone" * 30 + "".join(INSULTS) + "stone" * 9]
+    more = spark.createDataFrame([(9000 + k, t, "en", "t", 1, None, None) for k, t in enumerate([*glued, ",".join(["stone"] * 30)])], DOCS)
+    found = {r.doc_id: r.predicted for r in toxicity.classify(docs.unionByName(more), labels).collect()}
+    assert [found[9000 + k] for k in range(4)] == [1, 1, 1, 0]
+
+
+def test_swaps_reach_terms_between_marks():
+    assert toxicity.swapped({"women/lawyers", "met"}, False) == {"men/lawyers", "met"}
+    assert toxicity.swapped({"(women/men)", "met"}, True) == {"met"}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,8 @@ FEATURES = 4096
 LEAST_TEXTS = 3
 LEAST_RATIO = 10.83  # chi-squared, one degree of freedom, one in a thousand
 PREFIXES = (4, 5, 6)
+# A longer run without marks is no word; beginnings of words are looked for all over it.
+LONGEST_WORD = 64
 
 STEPS = 400
 RATE = 0.3
@@ -40,6 +44,8 @@ IDENTITY_TERMS = (
 )
 _NEXT = {t: group[(k + 1) % len(group)] for group in IDENTITY_TERMS for k, t in enumerate(group)}
 _MARKS = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”„‘’…¡¿"
+_INNER = re.compile(f"[{re.escape(_MARKS)}]+")
+_PART = re.compile(f"[^{re.escape(_MARKS)}]+")
 
 
 def in_training(doc_id: Column) -> Column:
@@ -55,12 +61,26 @@ def text_words(text: str) -> set[str]:
     return set(text.lower().split())
 
 
-def word_features(word: str) -> tuple[str, ...]:
-    """The word without marks around it, and its beginnings."""
+def word_features(word: str) -> Iterator[str]:
+    """The word without marks around it, its beginnings, and those of its parts between marks.
+
+    A part of over ``LONGEST_WORD`` characters, such as a sentence of a script
+    without blanks, has a beginning at each of its characters.
+    """
     bare = word.strip(_MARKS)
-    if not bare or len(bare) > 64:
-        return ()
-    return (bare, *[f"{bare[:n]}*" for n in PREFIXES if len(bare) > n])
+    parts = _INNER.split(bare) if bare else []
+    if len(parts) > 1 and len(bare) <= LONGEST_WORD:
+        parts.append(bare)
+    for part in parts:
+        if len(part) > LONGEST_WORD:
+            for n in PREFIXES:
+                for k in range(len(part) - n + 1):
+                    yield f"{part[k : k + n]}*"
+        else:
+            yield part
+            for n in PREFIXES:
+                if len(part) > n:
+                    yield f"{part[:n]}*"
 
 
 def text_features(words: set[str]) -> set[str]:
@@ -69,10 +89,14 @@ def text_features(words: set[str]) -> set[str]:
 
 def swapped(words: set[str], leave_out: bool) -> set[str] | None:
     """The words with each identity term left out or replaced; None where there is none."""
-    bare = {w: w.strip(_MARKS) for w in words}
-    if not any(b in _NEXT for b in bare.values()):
+    terms = {w for w in words if any(p in _NEXT for p in _INNER.split(w))}
+    if not terms:
         return None
-    return {_NEXT.get(b, w) for w, b in bare.items() if not (leave_out and b in _NEXT)}
+
+    def other(part: re.Match) -> str:
+        return ("" if leave_out else _NEXT[part[0]]) if part[0] in _NEXT else part[0]
+
+    return (words - terms) | {x for w in terms if (x := _PART.sub(other, w).strip(_MARKS))}
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -202,10 +226,11 @@ def score(docs: DataFrame, weights: dict[str, float], bias: float) -> DataFrame:
                 for word in text_words(text):
                     hits = known.get(word)
                     if hits is None:
-                        hits = tuple(f for f in word_features(word) if f in weights)
+                        hits = tuple({f for f in word_features(word) if f in weights})
                         if len(known) >= MEMORY:
                             known.clear()
-                        known[word] = hits
+                        if len(word) <= LONGEST_WORD:
+                            known[word] = hits
                     if hits:
                         features.update(hits)
                 # Summed in one order, so that equal texts get equal scores.
@@ -220,8 +245,9 @@ def score(docs: DataFrame, weights: dict[str, float], bias: float) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row.
 
-    Trained on labelled rows that are not held out. Inputs are a text's words
-    and word beginnings only. Null and empty texts get the score of the bias.
+    Trained on labelled rows that are not held out. Inputs are a text's words,
+    their parts between marks, and beginnings of both only; all of a long run
+    without blanks is read. Null and empty texts get the score of the bias.
     Labels with null or other values, or null ids, are left out; an id labelled
     both ways counts as toxic. Equal texts count once in training. A row with a
     null id is scored and not held out. Other columns are not read. An empty
