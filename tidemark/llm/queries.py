@@ -14,6 +14,7 @@ from tidemark.llm import (
     packing,
     pii,
     quality,
+    quality_model,
     simhash,
     token_counts,
     token_files,
@@ -112,3 +113,9 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of personal data, base kinds and added ones."""
     return pii.pii_digests(pii.find_pii(table(spark, folder, "documents")))
+
+
+@register
+def op13_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of the hashed n-gram classifier."""
+    return quality_model.rate(table(spark, folder, "documents"), table(spark, folder, "labels"))
