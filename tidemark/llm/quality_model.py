@@ -10,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import whole_text
-from tidemark.sources.scratch import new_folder
+from tidemark.llm.frames import held, whole_text
 
 # At most so many labelled texts of each class fit the classifier; hashes decide which.
 MOST_GOOD = 24_576
@@ -171,7 +170,7 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, in
 
 
 def _features(sample: DataFrame, shards: int) -> DataFrame:
-    """Features of the sample in the shared folder, with the learner that takes them and its order."""
+    """Features of the sample in the shared folder, each learner's rows in one partition and in one fixed order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,9 +184,8 @@ def _features(sample: DataFrame, shards: int) -> DataFrame:
 
     turned = sample.withColumn("turn", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1))
     found = turned.mapInArrow(run, "shard int, turn long, doc_id long, good int, at binary, value binary")
-    folder = new_folder(sample.sparkSession, "quality-features")
-    found.write.parquet(folder)
-    return sample.sparkSession.read.parquet(folder)
+    # Dealt and sorted once; every round reads the stored partitions as they are.
+    return held(found.repartition(shards, "shard").sortWithinPartitions("shard", "turn", "good", "doc_id"))
 
 
 def _round(rows: DataFrame, z: np.ndarray, n: np.ndarray, weight: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
@@ -244,8 +242,7 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
         return none
     # Ids with many texts: the hash of a text decides as that of an id did.
     share = F.when(F.col("good") == 1, min(1.0, MOST_GOOD / n[1])).otherwise(min(1.0, MOST_BAD / n[0]))
-    found = found.where(F.col("turn") / float(1 << 63) <= share)
-    rows = found.repartition(shards, "shard").sortWithinPartitions("shard", "turn", "good", "doc_id")
+    rows = found.where(F.col("turn") / float(1 << 63) <= share)
     # Steps weigh 1 in the mean, for any shares of the classes.
     weight = {0: BAD_WEIGHT * (n[0] + n[1]) / n[0], 1: (1 - BAD_WEIGHT) * (n[0] + n[1]) / n[1]}
     z, squares = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
