@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    collocations,
     embeddings,
     language_model,
     mixing,
@@ -16,6 +17,7 @@ from tidemark.llm import (
     quality,
     quality_model,
     simhash,
+    spelling,
     token_counts,
     token_files,
     toxicity,
@@ -115,6 +117,18 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pii_digests(pii.find_pii(table(spark, folder, "documents")))
 
 
+@register
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words with their near words, forms and roots."""
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+@register
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first phrases of each language that hold together."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 @register
 def op13_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of the hashed n-gram classifier."""
