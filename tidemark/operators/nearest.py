@@ -1,16 +1,17 @@
 """Exact top-k by inner product between a question set and a document set.
 
-Questions go to the tasks in blocks of a fixed size. For each block every task
-scans its documents once, multiplies Arrow batches by the block's matrix and
-keeps k rows for each question, so documents stay where they are and k rows for
-each task and question are shuffled. The driver holds one block at a time. No
-row is written out for every pair.
+Questions go to the tasks in passes of a fixed number. In a pass every task
+scans its documents once, multiplies Arrow batches by one block of questions
+after another and keeps k rows for each question, so documents stay where they
+are and k rows for each task and question leave. A pass stores what it found
+and frees its questions before the next begins, so driver, broadcast and tasks
+hold one pass whatever the number of questions. No row is written out for
+every pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,8 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import ranked
+from tidemark.sources.scratch import new_folder
 
+# Rows of one product of matrices, and blocks that go to the tasks together: 50 MB at 384 dimensions.
 QUESTIONS_PER_BLOCK = 4096
+BLOCKS_PER_PASS = 4
 # Products of matrices of other shapes differ in the last bits of a double; beyond these digits scores tie.
 DIGITS = 12
 
@@ -44,39 +48,57 @@ def _best(question_ids: np.ndarray, document_ids: np.ndarray, scores: np.ndarray
     return pd.DataFrame({"question_id": question_ids[rows], "doc_id": document_ids[places], "score": scores[rows, places]})
 
 
-def _question_blocks(questions: DataFrame, size: int) -> Iterator[pd.DataFrame]:
-    """Blocks of at most ``size`` questions, one at a time on the driver."""
-    rows = []
+Block = tuple[np.ndarray, np.ndarray]
+
+
+def _passes(questions: DataFrame, size: int, blocks: int) -> Iterator[list[Block]]:
+    """Ids and matrices of questions, ``blocks`` blocks of at most ``size`` at a time on the driver."""
+    ready: list[Block] = []
+    rows: list[tuple] = []
+
+    def block() -> Block:
+        ids, vectors = zip(*rows, strict=True)
+        rows.clear()
+        return np.array(ids), np.array(vectors, np.float64)
+
     for row in questions.toLocalIterator():
         rows.append((row["question_id"], row["vector"]))
         if len(rows) == size:
-            yield pd.DataFrame(rows, columns=["question_id", "vector"])
-            rows = []
+            ready.append(block())
+            if len(ready) == blocks:
+                yield ready
+                ready = []
     if rows:
-        yield pd.DataFrame(rows, columns=["question_id", "vector"])
+        ready.append(block())
+    if ready:
+        yield ready
 
 
-def _scan(block: pd.DataFrame, documents: DataFrame, k: int, digits: int, schema: str) -> DataFrame:
-    ids = block["question_id"].to_numpy()
-    matrix = documents.sparkSession.sparkContext.broadcast(_matrix(block["vector"]))
+def _scan(blocks: list[Block], documents: DataFrame, k: int, digits: int, schema: str) -> str:
+    """One scan of the documents for some blocks of questions; the folder that holds what was found."""
+    spark = documents.sparkSession
+    shared = spark.sparkContext.broadcast(blocks)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: pd.DataFrame | None = None
+        kept: list[pd.DataFrame | None] = [None] * len(shared.value)
         for batch in batches:
             if batch.empty:
                 continue
-            scores = np.round(matrix.value @ _matrix(batch["vector"]).T, digits) + 0.0
-            best = _best(ids, batch["doc_id"].to_numpy(), scores, k)
-            kept = best if kept is None else pd.concat([kept, best], ignore_index=True)
-            kept = (
-                kept.sort_values(["score", "doc_id"], ascending=[False, True], kind="stable")
-                .groupby("question_id", sort=False)
-                .head(k)
-            )
-        if kept is not None:
-            yield kept
-
-    return documents.mapInPandas(scan, schema)
+            document_ids, vectors = batch["doc_id"].to_numpy(), _matrix(batch["vector"]).T
+            for place, (ids, matrix) in enumerate(shared.value):
+                best = _best(ids, document_ids, np.round(matrix @ vectors, digits) + 0.0, k)
+                both = best if kept[place] is None else pd.concat([kept[place], best], ignore_index=True)
+                kept[place] = (
+                    both.sort_values(["score", "doc_id"], ascending=[False, True], kind="stable")
+                    .groupby("question_id", sort=False)
+                    .head(k)
+                )
+        yield from (found for found in kept if found is not None)
+
+    folder = new_folder(spark, "nearest")
+    documents.mapInPandas(scan, schema).write.parquet(folder)
+    shared.destroy()
+    return folder
 
 
 def top_k_documents(
@@ -85,12 +107,14 @@ def top_k_documents(
     k: int = 5,
     digits: int | None = None,
     questions_per_block: int = QUESTIONS_PER_BLOCK,
+    blocks_per_pass: int = BLOCKS_PER_PASS,
 ) -> DataFrame:
     """``question_id, doc_id, score, rank`` with ``rank <= k``.
 
     ``questions`` has ``question_id, vector``; ``documents`` has ``doc_id,
     vector``; ids are unique. Scores are rounded to ``digits`` before ranking,
-    by default to ``DIGITS``, so that equal scores tie by document id.
+    by default to ``DIGITS``, so that equal scores tie by document id. The
+    search runs at once; what is returned reads the k best rows of each task.
     """
     questions = questions.select("question_id", "vector")
     documents = documents.select("doc_id", "vector")
@@ -98,6 +122,7 @@ def top_k_documents(
     d = documents.schema["doc_id"].dataType.simpleString()
     schema = f"question_id {q}, doc_id {d}, score double"
     places = DIGITS if digits is None else digits
-    scans = [_scan(block, documents, k, places, schema) for block in _question_blocks(questions, questions_per_block)]
-    found = reduce(DataFrame.unionByName, scans) if scans else documents.sparkSession.createDataFrame([], schema)
+    folders = [_scan(blocks, documents, k, places, schema) for blocks in _passes(questions, questions_per_block, blocks_per_pass)]
+    spark = documents.sparkSession
+    found = spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
     return ranked(found, ["question_id"], [F.desc("score"), F.asc("doc_id")], k, "rank")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 NullPolicy = Literal["fail", "ignore"]
 
@@ -80,3 +81,31 @@ def clean_rows(split: DataFrame) -> DataFrame:
 
 def quarantined_rows(split: DataFrame) -> DataFrame:
     return split.filter(F.col(VERDICT) == "quarantine").drop(VERDICT)
+
+
+# --- counts from the same pass ----------------------------------------------------
+
+COUNTS = "rule_counts"
+ALL_ROWS = "rows"
+
+
+def counted_rules(
+    df: DataFrame, rules: Mapping[str, str], into: Observation | str = COUNTS, nulls: NullPolicy = "fail"
+) -> DataFrame:
+    """``df`` as it is; whatever reads it also counts its rows and, for each rule, those that break it.
+
+    A batch job gives an ``Observation`` and asks it once the job is done. A
+    stream gives a name, and :func:`stream_counts` adds up its batches.
+    """
+    broken = [F.count_if(_broken(rule, nulls)).alias(name) for name, rule in rules.items()]
+    return df.observe(into, F.count(F.lit(1)).alias(ALL_ROWS), *broken)
+
+
+def stream_counts(query: StreamingQuery, name: str = COUNTS) -> dict[str, int]:
+    """Counts over all batches of a run that :func:`counted_rules` watched; batches without rows have none."""
+    total: dict[str, int] = {}
+    for progress in query.recentProgress:
+        metrics = progress.observedMetrics.get(name)
+        for key, n in (metrics.asDict() if metrics is not None else {}).items():
+            total[key] = total.get(key, 0) + n
+    return total

@@ -144,3 +144,15 @@ def business_insights(payloads: Mapping[str, DataFrame], model: Model | None = N
 
 def prompt() -> Column:
     return text.render(PROMPT, {n: F.col(n) for n in ("insight_type", "kpi_payload_json")})
+
+
+# Our own wording.
+REVENUE_QUESTION = "In four sentences or fewer, assess for an executive how revenue differs between these regions and months: "
+VENDOR_QUESTION = "Assess briefly what risk these vendors' return rates carry, and name the one action to take first: "
+NO_ASSESSMENT = "No assessment was given for this page."
+
+
+def assessments(pages: DataFrame, question: str, model: Model | None = None) -> DataFrame:
+    """Each page of points with the model's assessment of it; pages come from ``paged_points``."""
+    asked = pages.withColumn("prompt", F.concat(F.lit(question), "points_json"))
+    return score_prompts(asked, "prompt", "assessment", F.lit(NO_ASSESSMENT), model, status="status").drop("prompt")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.exact import amount, as_money, money_sum, ratio, total
+from tidemark.operators.exact import amount, as_money, ratio, total
 from tidemark.operators.joins import lookup_join
 
 MONTH_KEYS = ("year", "month_num", "month_name", "quarter", "region_name", "country")
@@ -37,8 +37,8 @@ def _revenue_measures(sales: Column, profit: Column, discount: Column) -> list[C
 
 
 def _calendar(dim_date: DataFrame) -> DataFrame:
-    # The date dimension has a fixed number of days, so it always fits a broadcast.
-    return F.broadcast(dim_date.select("date_key", "year", "month_num", "month_name", "quarter"))
+    # No hint: Spark broadcasts the days once it has measured them.
+    return dim_date.select("date_key", "year", "month_num", "month_name", "quarter")
 
 
 def monthly_revenue(fact_sales: DataFrame, dim_date: DataFrame, customers: DataFrame) -> DataFrame:
@@ -92,29 +92,51 @@ def monthly_revenue_by_region_table(
     )
 
 
+def monthly_revenue_of(groups: DataFrame) -> DataFrame:
+    """The mart of the sums and the order count of each month, region and country."""
+    return groups.select(
+        *MONTH_KEYS,
+        F.col("orders").alias("order_count"),
+        as_money(F.col("sales")).cast("double").alias("total_sales_amount"),
+        F.col("quantity").alias("total_quantity_sold"),
+        as_money(F.col("profit")).cast("double").alias("total_profit"),
+        as_money(F.col("discount")).cast("double").alias("total_discount"),
+        ratio(F.col("sales"), F.col("orders"), 2).alias("avg_order_value"),
+    )
+
+
 def customer_return_history(fact_returns: DataFrame, customers: DataFrame) -> DataFrame:
     per_customer = (
         fact_returns.filter("customer_id IS NOT NULL")
         .groupBy("customer_id")
         .agg(
-            F.count("order_id").alias("total_returns"),
-            money_sum(F.col("refund_amount")).cast("double").alias("total_refund_value"),
-            ratio(total(F.col("refund_amount")), F.count("refund_amount"), 2).alias(
-                "avg_refund_per_return"
-            ),
-            ratio(F.sum("days_to_return"), F.count("days_to_return"), 1).alias(
-                "avg_days_to_return"
-            ),
-            ratio(F.count_if("is_approved") * 100, F.count("order_id"), 2).alias(
-                "approval_rate_pct"
-            ),
+            F.count("order_id").alias("returns"),
+            total(F.col("refund_amount")).alias("refund"),
+            F.count("refund_amount").alias("refunds"),
+            F.sum("days_to_return").alias("days"),
+            F.count("days_to_return").alias("dated"),
+            F.count_if("is_approved").alias("approved"),
             F.max(F.try_to_timestamp("return_date").cast("date")).alias("last_return_date"),
         )
     )
+    return customer_history_of(per_customer, customers)
+
+
+def customer_history_of(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
+    """The mart of the sums and counts of each customer."""
+    measures = per_customer.select(
+        "customer_id",
+        F.col("returns").alias("total_returns"),
+        as_money(F.col("refund")).cast("double").alias("total_refund_value"),
+        ratio(F.col("refund"), F.col("refunds"), 2).alias("avg_refund_per_return"),
+        ratio(F.col("days"), F.col("dated"), 1).alias("avg_days_to_return"),
+        ratio(F.col("approved") * 100, F.col("returns"), 2).alias("approval_rate_pct"),
+        "last_return_date",
+    )
     names = customers.select(
         "customer_id", "customer_name", "customer_email", "segment", "region", "country"
     )
-    return names.join(per_customer, "customer_id")
+    return names.join(measures, "customer_id")
 
 
 def vendor_return_rate(
@@ -122,13 +144,29 @@ def vendor_return_rate(
 ) -> DataFrame:
     """Sales and returns of each vendor. The rate is NULL for a vendor without sales."""
     sold = fact_sales.groupBy("vendor_id").agg(
-        F.count_distinct("order_id").alias("total_orders_sold"),
-        money_sum(F.col("sales_amount")).cast("double").alias("total_revenue"),
+        F.count_distinct("order_id").alias("orders"), total(F.col("sales_amount")).alias("revenue")
     )
     back = fact_returns.groupBy("vendor_id").agg(
-        F.count("order_id").alias("total_returns"),
-        money_sum(F.col("refund_amount")).cast("double").alias("total_refund_value"),
-        ratio(F.sum("days_to_return"), F.count("days_to_return"), 1).alias("avg_days_to_return"),
+        F.count("order_id").alias("returns"),
+        total(F.col("refund_amount")).alias("refund"),
+        F.sum("days_to_return").alias("days"),
+        F.count("days_to_return").alias("dated"),
+    )
+    return vendor_rate_of(sold, back, dim_vendor)
+
+
+def vendor_rate_of(sold: DataFrame, back: DataFrame, dim_vendor: DataFrame) -> DataFrame:
+    """The mart of the sums and counts of each vendor's sales and returns."""
+    sold = sold.select(
+        "vendor_id",
+        F.col("orders").alias("total_orders_sold"),
+        as_money(F.col("revenue")).cast("double").alias("total_revenue"),
+    )
+    back = back.select(
+        "vendor_id",
+        F.col("returns").alias("total_returns"),
+        as_money(F.col("refund")).cast("double").alias("total_refund_value"),
+        ratio(F.col("days"), F.col("dated"), 1).alias("avg_days_to_return"),
     )
 
     def zero(name: str) -> Column:
@@ -165,19 +203,37 @@ def slow_moving_products(
     Pairs that never sold are left out unless ``include_unsold`` asks for the
     whole grid of products and regions.
     """
-    today = F.current_date() if as_of is None else as_of
-    days = F.broadcast(dim_date.select("date_key", "full_date"))
     sold = (
         fact_sales.filter("date_key IS NOT NULL AND region_name IS NOT NULL")
-        .join(days, "date_key")
+        .join(dim_date.select("date_key", "full_date"), "date_key")
         .groupBy("product_id", "region_name")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.sum("quantity").alias("total_units_sold"),
-            money_sum(F.col("sales_amount")).cast("double").alias("total_revenue"),
+            F.count_distinct("order_id").alias("orders"),
+            F.sum("quantity").alias("units"),
+            total(F.col("sales_amount")).alias("revenue"),
             F.max("full_date").alias("last_sale_date"),
         )
     )
+    return slow_products_of(sold, dim_product, dim_region, as_of, include_unsold)
+
+
+def slow_products_of(
+    sold: DataFrame,
+    dim_product: DataFrame,
+    dim_region: DataFrame,
+    as_of: Column | None = None,
+    include_unsold: bool = False,
+) -> DataFrame:
+    """The mart of the sums and counts of each product and region."""
+    today = F.current_date() if as_of is None else as_of
+    sold = sold.select(
+        "product_id",
+        "region_name",
+        F.col("orders").alias("total_orders"),
+        F.col("units").alias("total_units_sold"),
+        as_money(F.col("revenue")).cast("double").alias("total_revenue"),
+        "last_sale_date",
+    )
     product = dim_product.select("product_id", "product_name", "category", "sub_category", "brand")
     regions = _region_list(dim_region)
     if include_unsold:

@@ -112,7 +112,11 @@ def fact_sales(transactions: DataFrame, orders: DataFrame, customers: DataFrame)
 
     Order columns, the order id among them, are NULL for an unknown order.
     """
-    lookup = order_lookup(orders, customers, ORDER_FACT_COLUMNS)
+    return sales_rows(transactions, order_lookup(orders, customers, ORDER_FACT_COLUMNS))
+
+
+def sales_rows(transactions: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Sales over a look-up that has one row for each order, with its region."""
     sold = transactions.filter("order_id IS NOT NULL AND product_id IS NOT NULL")
     return lookup_join(sold, lookup, "order_id").select(
         c.day_key(_day("o.order_purchase_date")).alias("date_key"),
@@ -139,7 +143,11 @@ def fact_sales(transactions: DataFrame, orders: DataFrame, customers: DataFrame)
 def fact_returns(returns: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
     """One row for each return with an order id; days to return may be negative."""
     needed = ("order_id", "customer_id", "vendor_id", "order_purchase_date")
-    lookup = order_lookup(orders, customers, needed)
+    return return_rows(returns, order_lookup(orders, customers, needed))
+
+
+def return_rows(returns: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Returns over a look-up that has one row for each order, with its region."""
     returned = F.col("e.return_date")
     ordered = _day("o.order_purchase_date")
     rows = returns.filter("order_id IS NOT NULL")

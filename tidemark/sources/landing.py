@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.plans.entities import RESCUED, Entity
+from tidemark.sources.scratch import new_folder
 
 # Fixed value: how a region shows in a path.
 REGION_IN_PATH = r"(?i)region\s*(\d+)"
@@ -96,7 +97,8 @@ def _with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, paths: Sequence[str], entity: Entity) -> DataFrame | None:
+def read_csv(spark: SparkSession, paths: Sequence[str], entity: Entity, scratch: str | None = None) -> DataFrame | None:
+    """Files with different headers; nothing is stored on the way, so ``scratch`` stays unused."""
     frames = []
     for header, group in headers(spark, paths).items():
         schema = T.StructType([T.StructField(n, T.StringType()) for n in column_names(header, entity)])
@@ -105,32 +107,50 @@ def read_csv(spark: SparkSession, paths: Sequence[str], entity: Entity) -> DataF
     return _by_name(frames)
 
 
-def read_json(spark: SparkSession, paths: Sequence[str], entity: Entity) -> DataFrame | None:
+_RECORD = "__record"
+# Fixed value: the column of a text that is no JSON.
+CORRUPT = "_corrupt_record"
+
+
+def parse_json(files: DataFrame) -> DataFrame:
+    """One row for each object of files read whole, as a map of texts.
+
+    Numbers stay as written and nested values stay JSON text, which is why the
+    values are texts and not variants: a variant keeps a number and forgets how
+    it was written. A single object counts as an array of one. A file that is
+    no JSON gives one row with its text under ``CORRUPT``.
+    """
+    text = F.regexp_replace("value", "^\ufeff", "")
+    array = F.when(F.ltrim(text).startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
+    corrupt = F.array(F.create_map(F.lit(CORRUPT), F.col("value")))
+    records = F.coalesce(F.from_json(array, "array<map<string,string>>"), F.when(F.trim(text) != "", corrupt))
+    return _with_lineage(files).select(F.explode(records).alias(_RECORD), *LINEAGE_COLUMNS).where(F.col(_RECORD).isNotNull())
+
+
+def read_json(spark: SparkSession, paths: Sequence[str], entity: Entity, scratch: str | None = None) -> DataFrame | None:
     """Files that each hold one array of objects. Nested values stay JSON text.
 
-    Names that differ only by case are one column. They are read in a session
-    that tells them apart, because Spark otherwise refuses such objects.
+    Files are read and parsed once, into the folder ``scratch``; the names of
+    their fields are then gathered from the stored rows. Names that differ only
+    by case are one column. One array is one task's work and has to stay below
+    2 GB, the most a text can hold.
     """
-    session = spark.newSession()
-    session.conf.set("spark.sql.caseSensitive", True)
-    reader = session.read.option("multiLine", True).option("primitivesAsString", True)
-    df = reader.json([escaped(p) for p in paths])
-    if not df.columns:
+    rows = scratch or new_folder(spark, "json-rows")
+    parse_json(spark.read.option("wholetext", True).text([escaped(p) for p in paths])).write.parquet(rows)
+    stored = spark.read.parquet(rows)
+    # As many rows as there are different names.
+    names = sorted(r[0] for r in stored.select(F.explode(F.map_keys(_RECORD))).distinct().collect())
+    if not names:
         return None
-    spellings: dict[str, list[T.StructField]] = defaultdict(list)
-    for field in df.schema.fields:
-        spellings[field.name.lower()].append(field)
+    spellings: dict[str, list[str]] = defaultdict(list)
+    for name in names:
+        spellings[name.lower()].append(name)
     declared = {c.lower(): c for c in entity.columns}
-
-    def as_text(field: T.StructField) -> Column:
-        value = F.col(f"`{field.name}`")
-        return value if isinstance(field.dataType, T.StringType) else F.to_json(value)
-
     merged = [
-        F.coalesce(*map(as_text, fields)).alias(declared.get(name, fields[0].name))
-        for name, fields in spellings.items()
+        F.coalesce(*[F.try_element_at(_RECORD, F.lit(name)) for name in same]).alias(declared.get(lower, same[0]))
+        for lower, same in spellings.items()
     ]
-    return _with_lineage(df).select(*merged, *LINEAGE_COLUMNS)
+    return stored.select(*merged, *LINEAGE_COLUMNS)
 
 
 def _by_name(frames: Iterable[DataFrame]) -> DataFrame | None:

@@ -35,10 +35,27 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def _store(spark: SparkSession, path: str) -> tuple:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, in any store that Spark can reach."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    files, place = _store(spark, path)
+    return files.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    files, place = _store(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote."""
+    files, place = _store(spark, path)
+    files.delete(place, True)
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.entities import ENTITIES, LINEAGE, Entity
 from tidemark.sources.landing import READERS, Evolution, rescue
-from tidemark.sources.scratch import exists
+from tidemark.sources.scratch import exists, new_folder, remove
 
 # The listing fields of the binary file source; file contents are not read,
 # because only the path is selected.
@@ -48,10 +48,12 @@ def batch_loader(
             return
         # A list of at most ``max_files`` paths.
         paths = [row.path for row in files.collect()]
-        rows = READERS[entity.file_format](files.sparkSession, paths, entity) if paths else None
+        scratch = new_folder(files.sparkSession, "landing")
+        rows = READERS[entity.file_format](files.sparkSession, paths, entity, scratch) if paths else None
         if rows is not None:
             kept = rescue(rows, entity, evolution)
             kept.write.mode("overwrite").parquet(folder)
+        remove(files.sparkSession, scratch)
 
     return load
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.quality import VERDICT, clean_rows, split_by_rules
+from tidemark.operators.quality import VERDICT, clean_rows, counted_rules, split_by_rules
 from tidemark.plans.entities import Entity
 from tidemark.plans.silver import STANDARDISE
 from tidemark.streaming.bronze import bronze_schema
@@ -24,9 +24,13 @@ def judged(raw: DataFrame, entity: Entity) -> DataFrame:
 def refine(
     spark: SparkSession, bronze: str, silver: str, checkpoint: str, entity: Entity
 ) -> StreamingQuery:
-    """Standardise new bronze rows and append them to ``silver``, split by verdict."""
+    """Standardise new bronze rows and append them to ``silver``, split by verdict.
+
+    The same pass counts the rows that break each rule, for
+    :func:`tidemark.operators.quality.stream_counts`.
+    """
     return (
-        judged(bronze_stream(spark, bronze, entity), entity)
+        counted_rules(judged(bronze_stream(spark, bronze, entity), entity), entity.rules)
         .writeStream.format("parquet")
         .partitionBy(VERDICT)
         .option("checkpointLocation", checkpoint)

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
+from tidemark.jobs import REPORT_ORDER
 from tidemark.operators import quality
 from tidemark.operators.keyed import top_per_key
 from tidemark.operators.nearest import top_k_documents
-from tidemark.operators.points import points_json
+from tidemark.operators.ordered import stored_in_order
+from tidemark.operators.points import paged_points, points_json
 from tidemark.operators.profile import null_profile
+from tidemark.operators.replies import ReplyStore
 from tidemark.operators.scoring import score_prompts
 from tidemark.plans import entities as e
-from tidemark.plans import insights, marts, quality_report, retrieval, return_risk, star
+from tidemark.plans import insights, marts, quality_report, retrieval, return_risk, star, term_search
+from tidemark.sources import tables
+from tidemark.sources.scratch import new_folder
 from tidemark.workload import gold_queries as gold
 from tidemark.workload import inputs
 from tidemark.workload.inputs import Tables
@@ -460,21 +468,73 @@ def text_vectors(t: Tables) -> DataFrame:
     )
 
 
+def _weights_sql(docs: str, key: str, column: str) -> str:
+    """Rarity and weights of the texts of ``docs``."""
+    return f"""
+    tokens AS (
+      SELECT {key}, term, count(*) tf
+      FROM (SELECT {key}, unnest(regexp_split_to_array(lower({column}), '[^\\p{{L}}\\p{{N}}_]+')) term FROM {docs})
+      WHERE term <> '' GROUP BY ALL),
+    rarity AS (
+      SELECT term, ln((SELECT CAST(count(*) AS DOUBLE) FROM {docs}) / count(*)) idf FROM tokens GROUP BY term HAVING idf > 0),
+    raw AS (SELECT {key}, t.term, (1 + ln(tf)) * idf w FROM tokens t JOIN rarity r ON t.term = r.term),
+    weights AS (
+      SELECT r.{key}, term, CAST(round(w / n, 9) AS DECIMAL(10,9)) weight
+      FROM raw r JOIN (SELECT {key}, sqrt(sum(w * w)) n FROM raw GROUP BY {key}) l ON r.{key} = l.{key})"""
+
+
+@query(f"WITH {_weights_sql('documents', 'doc_id', 'text')} SELECT doc_id, term, CAST(weight AS DOUBLE) weight FROM weights")
+def term_weights(t: Tables) -> DataFrame:
+    """Every weight of every document's vector."""
+    weights, _ = term_search.document_weights(t.documents.select("doc_id", "text"), "doc_id", "text")
+    return weights.withColumn("weight", F.col("weight").cast("double"))
+
+
+# Of the five kinds that a report's reader asks.
 QUESTIONS = (
-    "Which products are slow movers in region ASIA?",
+    "Which products are slow movers in the region ASIA?",
     "Which vendor has the highest return rate?",
     "How large is the average order value in EUROPE?",
+    "Show products with very many days since the last sale.",
+    "Which vendor has the highest total returns?",
 )
+_QUESTIONS_SQL = " UNION ALL ".join(f"SELECT {i} question_id, '{q}' question" for i, q in enumerate(QUESTIONS))
+_ANSWERS_CTE = f"""
+    docs AS ({_PRODUCT_DOCS} UNION ALL {_VENDOR_DOCS}), {_weights_sql('docs', 'doc_id', 'doc_text')},
+    questions AS ({_QUESTIONS_SQL}),
+    asked_tokens AS (
+      SELECT question_id, term, count(*) tf
+      FROM (SELECT question_id, unnest(regexp_split_to_array(lower(question), '[^\\p{{L}}\\p{{N}}_]+')) term FROM questions)
+      WHERE term <> '' GROUP BY ALL),
+    asked_raw AS (SELECT question_id, t.term, (1 + ln(tf)) * idf w FROM asked_tokens t JOIN rarity r ON t.term = r.term),
+    asked_weights AS (
+      SELECT r.question_id, term, CAST(round(w / n, 9) AS DECIMAL(10,9)) weight
+      FROM asked_raw r JOIN (SELECT question_id, sqrt(sum(w * w)) n FROM asked_raw GROUP BY question_id) l
+      ON r.question_id = l.question_id),
+    hits AS (
+      SELECT q.question_id, w.doc_id, CAST(sum(CAST(q.weight AS DECIMAL(19,9)) * w.weight) AS DOUBLE) score
+      FROM asked_weights q JOIN weights w ON q.term = w.term GROUP BY ALL),
+    best AS (
+      SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank FROM hits QUALIFY rank <= 5),
+    found AS (
+      SELECT b.question_id, question, rank, to_json(d.doc_text) doc_json,
+             '{{"doc_id":"' || d.doc_id || '","doc_type":"' || doc_type || '","product_id":'
+               || coalesce('"' || product_id || '"', 'null') || ',"vendor_id":' || coalesce('"' || vendor_id || '"', 'null')
+               || ',"region":"' || region || '"}}' meta
+      FROM best b JOIN docs d ON b.doc_id = d.doc_id JOIN questions q ON q.question_id = b.question_id)
+    SELECT question, '{retrieval.NO_ANSWER}' answer, '[' || string_agg(doc_json, ',' ORDER BY rank) || ']' retrieved_documents,
+           '[' || string_agg(meta, ',' ORDER BY rank) || ']' retrieved_metadata, 5 top_k
+    FROM found GROUP BY question_id, question"""
 
 
-@query()
+@query(with_ctes(_ALL_NEEDS, f""", {_MONTH_CTE}, {_REGION_CTE}, {gold.SLOW_CTE}, {_SLOW_SUMMARY_CTE},
+    {gold.VENDOR_RATE_CTE}, {_ANSWERS_CTE}"""))
 def product_question_answers(t: Tables) -> DataFrame:
-    """Questions answered from product and vendor documents by hashed word vectors."""
+    """Questions answered from product and vendor documents by weighted terms."""
     docs = t.stored("documents", lambda t: retrieval.all_documents(product_docs(t), vendor_docs(t)))
-    rows = [(i, q) for i, q in enumerate(QUESTIONS)]
-    asked = retrieval.text_vectors(t.spark.createDataFrame(rows, "question_id int, question string"), "question")
-    coded = retrieval.text_vectors(docs, "doc_text").select("doc_id", "vector")
-    found = retrieval.retrieve(asked, docs, coded, retrieval.TOP_K)
+    asked = t.spark.createDataFrame(list(enumerate(QUESTIONS)), "question_id int, question string")
+    weights, idf = term_search.document_weights(docs, "doc_id", "doc_text")
+    found = term_search.retrieve_by_terms(asked, docs, weights, idf, retrieval.TOP_K)
     return retrieval.answers(retrieval.contexts(found)).drop("generated_at")
 
 
@@ -580,6 +640,46 @@ def collected_points_json(t: Tables) -> DataFrame:
     return points_json(vendor_rates(t), fields, F.col("vendor_id"), page_digits=1)
 
 
+PAGE_ROWS = 7
+
+
+@query(with_ctes(_VENDOR_NEEDS, f""", {gold.VENDOR_RATE_CTE},
+    vendor_points AS (SELECT vendor_name, CAST(CAST(return_rate_pct AS DECIMAL(18,2)) AS VARCHAR) rate FROM vendor_rate),
+    placed AS (SELECT *, row_number() OVER (ORDER BY vendor_name NULLS FIRST, rate NULLS FIRST) place FROM vendor_points)
+    SELECT (place - 1) // {PAGE_ROWS} + 1 page, count(*) point_count,
+           '[' || string_agg('{{"vendor_name":"' || vendor_name || '"'
+             || CASE WHEN rate IS NULL THEN '' ELSE ',"return_rate":"' || rate || '"' END || '}}', ',' ORDER BY place) || ']' points_json
+    FROM placed GROUP BY page"""))
+def paged_points_json(t: Tables) -> DataFrame:
+    """Every vendor's rate on pages of a fixed size."""
+    rate = F.col("return_rate_pct").cast("decimal(18,2)")
+    return paged_points(vendor_rates(t), {"vendor_name": F.col("vendor_name"), "return_rate": rate}, PAGE_ROWS)
+
+
+_LONG_PAGE = 400
+
+
+@query(with_ctes(("fact_sales", "dim_date"), f""", {_MONTH_CTE},
+    points AS (
+      SELECT '{{"region":"' || region_name || '","revenue":"' || CAST(CAST(total_sales_amount AS DECIMAL(20,2)) AS VARCHAR) || '"}}' point,
+             row_number() OVER (ORDER BY region_name, CAST(CAST(total_sales_amount AS DECIMAL(20,2)) AS VARCHAR)) place
+      FROM monthly),
+    pages AS (
+      SELECT (place - 1) // {_LONG_PAGE} + 1 page, count(*) point_count, '[' || string_agg(point, ',' ORDER BY place) || ']' points_json
+      FROM points GROUP BY page)
+    SELECT page, point_count, 'Revenue: ' || length(points_json) || ' characters' assessment FROM pages"""))
+def revenue_assessment(t: Tables) -> DataFrame:
+    """An assessment of each page of regional revenue, as the model's second block gives it."""
+    revenue = F.col("total_sales_amount").cast("decimal(20,2)")
+    pages = paged_points(monthly(t), {"region": F.col("region_name"), "revenue": revenue}, _LONG_PAGE)
+
+    def model(prompt: str) -> str:
+        points = prompt[prompt.index("[{") :]
+        return '[{"type": "reasoning"}, {"type": "text", "text": "Revenue: %d characters"}]' % len(points)
+
+    return insights.assessments(pages, insights.REVENUE_QUESTION, model).select("page", "point_count", "assessment")
+
+
 # --- prompts and replies --------------------------------------------------------------------
 
 
@@ -609,6 +709,21 @@ def score_conversation_prompts(t: Tables) -> DataFrame:
     return score_prompts(asked, "text", "answer", F.lit("none"), stand_in_model).drop("text")
 
 
+@query("""SELECT conv_id, turn, answer, CASE WHEN answer <> 'none' THEN first_run END asked_in_run FROM (
+          SELECT conv_id, turn, CASE WHEN strpos(text, '?') > 0 OR length(text) < 40 THEN 'none' ELSE 'length ' || length(text) END answer,
+                 CASE WHEN min(turn) OVER (PARTITION BY text) = 0 THEN 1 ELSE 2 END first_run FROM conversations)""")
+def stored_replies(t: Tables) -> DataFrame:
+    """Prompts of first turns asked in one run and those of all turns in the next, which asks only what is open."""
+    store = ReplyStore(t.spark, new_folder(t.spark, "replies"))
+    asked = t.conversations.select("conv_id", "turn", "text")
+    store.ask(asked.where("turn = 0"), "text", "1", stand_in_model)
+    store.ask(asked, "text", "2", stand_in_model)
+    store.ask(asked, "text", "2", stand_in_model)
+    answered = store.replies(asked, "text", "answer", F.lit("none"))
+    runs = store.read().where("reply IS NOT NULL").select("prompt", F.col("run").cast("int").alias("asked_in_run"))
+    return answered.join(runs, F.col("text") == F.col("prompt"), "left").select("conv_id", "turn", "answer", "asked_in_run")
+
+
 _REPLY_SQL = """CASE event_id % 6
     WHEN 0 THEN '[{"type":"reasoning","text":"skip"},{"type":"text","text":" ' || event_type || ' "}]'
     WHEN 1 THEN '[{"type":"text","text":"  "},{"type":"text","text":"' || event_type || '"}]'
@@ -639,3 +754,87 @@ def extract_response_text(t: Tables) -> DataFrame:
         text.reply_text(reply).alias("reply_text"),
         text.second_block_text(reply).alias("second_text"),
     )
+
+
+# --- stored reports -------------------------------------------------------------------------
+
+
+@query(with_ctes(_VENDOR_NEEDS, f""", {gold.VENDOR_RATE_CTE}
+    SELECT 'after a failed refresh' AS seen, * FROM vendor_rate WHERE CAST(vendor_id AS BIGINT) % 2 = 0
+    UNION ALL SELECT 'after the refresh', * FROM vendor_rate"""))
+def table_refresh(t: Tables) -> DataFrame:
+    """A refresh that fails midway leaves the rows before it; one that ends shows all new ones."""
+    root = new_folder(t.spark, "refresh")
+    name, rates = f"refreshed_{root[-32:]}", vendor_rates(t)
+    number = F.col("vendor_id").cast("long")
+    tables.refresh_table(rates.where(number % 2 == 0), name, root)
+    broken = F.when(number % 3 == 1, F.raise_error(F.lit("broken off"))).otherwise(F.col("vendor_name"))
+    try:
+        tables.refresh_table(rates.withColumn("vendor_name", broken), name, root)
+    except PySparkException:
+        pass
+    else:
+        raise AssertionError("the refresh should have failed")
+    before = t.spark.read.table(name).select(F.lit("after a failed refresh").alias("seen"), "*")
+    before.schema  # bound to the files of the first refresh
+    tables.refresh_table(rates, name, root)
+    after = t.spark.read.table(name).select(F.lit("after the refresh").alias("seen"), "*")
+    both = before.unionByName(after)
+    t.spark.sql(f"DROP VIEW {name}")
+    return both
+
+
+_RANKED = {
+    "mv_monthly_revenue_by_region": ("year NULLS FIRST, month_num NULLS FIRST, region_name NULLS FIRST, country", "concat_ws('|', year, month_num, region_name, country)", "monthly"),
+    "mv_customer_return_history": ("total_returns DESC, customer_id", "customer_id", "customer_history"),
+    "mv_vendor_return_rate": ("return_rate_pct DESC, vendor_id", "vendor_id", "vendor_rate"),
+    "mv_slow_moving_products": ("is_slow_mover DESC, days_since_last_sale DESC, product_id, region_name", "concat_ws('|', product_id, region_name)", "slow"),
+    "dq_audit_report": ("rejected_count DESC, entity_name, issue_type, field_name", "concat_ws('|', entity_name, issue_type, field_name)", "grouped"),
+    "flagged_return_customers": ("anomaly_score DESC, customer_id", "customer_id", "(SELECT * FROM scores WHERE anomaly_score >= 65)"),
+    "rag_query_history": ("question", "question", "asked"),
+    "ai_business_insights": ("insight_type", "insight_type", "(SELECT unnest(['revenue_performance', 'vendor_return_rate', 'slow_moving_inventory']) insight_type)"),
+}
+_RANKED_KEYS = {
+    "mv_monthly_revenue_by_region": ("year", "month_num", "region_name", "country"),
+    "mv_customer_return_history": ("customer_id",),
+    "mv_vendor_return_rate": ("vendor_id",),
+    "mv_slow_moving_products": ("product_id", "region_name"),
+    "dq_audit_report": ("entity_name", "issue_type", "field_name"),
+    "flagged_return_customers": ("customer_id",),
+    "rag_query_history": ("question",),
+    "ai_business_insights": ("insight_type",),
+}
+
+
+def _ranked_tables(t: Tables) -> dict[str, DataFrame]:
+    payloads = {
+        "revenue_performance": insights.revenue_kpis(monthly(t)),
+        "vendor_return_rate": insights.vendor_kpis(vendor_rates(t)),
+        "slow_moving_inventory": insights.slow_inventory_kpis(slow_movers(t)),
+    }
+    return {
+        "mv_monthly_revenue_by_region": monthly(t),
+        "mv_customer_return_history": marts.customer_return_history(gold.returns(t), gold.customers(t)),
+        "mv_vendor_return_rate": vendor_rates(t),
+        "mv_slow_moving_products": slow_movers(t),
+        "dq_audit_report": quality_report.audit_report(quality_report.grouped_report(stored_rejects(t))),
+        "flagged_return_customers": return_risk.flagged_customers(scores(t)),
+        "rag_query_history": retrieval.answers(vector_contexts(t), 5),
+        "ai_business_insights": insights.business_insights(payloads),
+    }
+
+
+@query(with_ctes(tuple(dict.fromkeys((*_REJECT_NEEDS, *_RISK_NEEDS, *_ALL_NEEDS))), f""", {_MONTH_CTE}, {gold.VENDOR_RATE_CTE},
+    {gold.SLOW_CTE}, {_REJECTS_CTE}, {_GROUPED_CTE}, {_PROFILE_CTE}, {_SCORE_CTE}, {_NEAREST_CTE}, {_CONTEXT_CTE},
+    customer_history AS ({gold.CUSTOMER_RETURNS_SQL})
+    """ + " UNION ALL ".join(
+        f"SELECT '{name}' report, CAST({key} AS VARCHAR) row_key, row_number() OVER (ORDER BY {order}) report_rank FROM {rows}"
+        for name, (order, key, rows) in _RANKED.items())))
+def report_ranks(t: Tables) -> DataFrame:
+    """The place of every row of the eight stored reports; ties go by the row's key."""
+    parts = []
+    for name, df in _ranked_tables(t).items():
+        keys = [F.col(k) for k in _RANKED_KEYS[name]]
+        placed = stored_in_order(df, [*REPORT_ORDER[name](), *keys])
+        parts.append(placed.select(F.lit(name).alias("report"), F.concat_ws("|", *keys).alias("row_key"), "report_rank"))
+    return reduce(DataFrame.unionByName, parts)

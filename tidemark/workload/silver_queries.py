@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import UTC, datetime
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
 from tidemark.operators import quality
 from tidemark.plans import entities as e
 from tidemark.plans.silver import STANDARDISE
+from tidemark.sources import tables
+from tidemark.sources.scratch import new_folder
+from tidemark.streaming import silver
 from tidemark.workload.gold_queries import local_stamps
 from tidemark.workload.inputs import RAW, Tables
 from tidemark.workload.model_sql import RULES, clean_body, quarantine_body, with_ctes
@@ -275,3 +281,64 @@ def category_hierarchy(t: Tables) -> DataFrame:
         c.path_level(path, 0).alias("category"),
         c.path_level(path, 1).alias("sub_category"),
     )
+
+
+# --- rules counted, stamped and found -----------------------------------------------
+
+
+@query(with_ctes([f"std_{n}" for n in RULES], " UNION ALL ".join(
+    f"SELECT '{entity}' entity, '{name}' rule_name, count(*) FILTER (NOT coalesce({rule}, FALSE)) broken_rows, count(*) judged_rows FROM std_{entity}"
+    for entity, rules in RULES.items() for name, rule in rules.items())))
+def rule_counts(t: Tables) -> DataFrame:
+    """Rows that break each rule, counted in the pass that judges them: a stream for transactions, jobs for the rest."""
+    found: list[tuple[str, str, int, int]] = []
+    for name, entity in e.ENTITIES.items():
+        root = new_folder(t.spark, "rule-counts")
+        if name == "transactions":
+            RAW[name](t).write.parquet(f"{root}/in")
+            run = silver.refine(t.spark, f"{root}/in", f"{root}/out", f"{root}/cp", entity)
+            run.awaitTermination()
+            counts = quality.stream_counts(run)
+        else:
+            watched = Observation()
+            split = quality.split_by_rules(standardised(t, name), entity.rules, entity.first_failure)
+            quality.counted_rules(split, entity.rules, watched).write.partitionBy(quality.VERDICT).parquet(f"{root}/out")
+            counts = watched.get
+        found += [(name, rule, counts[rule], counts[quality.ALL_ROWS]) for rule in entity.rules]
+    return t.spark.createDataFrame(found, "entity string, rule_name string, broken_rows long, judged_rows long")
+
+
+@query(with_ctes([f"quarantine_{n}" for n in RULES], " UNION ALL ".join(
+    f"SELECT '{n}' entity, count(*) quarantined, count(*) stamped FROM quarantine_{n}" for n in RULES)))
+def quarantine_stamps(t: Tables) -> DataFrame:
+    """Quarantined rows of each entity, and those whose stamp lies within this job."""
+    parts = []
+    for name, entity in e.ENTITIES.items():
+        start = datetime.now(UTC)
+        rows = quality.quarantine(standardised(t, name), entity.rules)
+        here = F.col(quality.STAMP).between(F.lit(start), F.current_timestamp())
+        parts.append(rows.agg(F.count("*").alias("quarantined"), F.count_if(here).alias("stamped")).select(F.lit(name).alias("entity"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(with_ctes([f"quarantine_{n}" for n in ("orders", "returns", "vendors")], """
+    SELECT 'silver_orders_quarantine' table_name, count(*) stored_rows FROM quarantine_orders
+    UNION ALL SELECT 'returns_quaruntine', count(*) FROM quarantine_returns
+    UNION ALL SELECT 'vendors_quarantine_old', count(*) FROM quarantine_vendors"""))
+def quarantine_discovery(t: Tables) -> DataFrame:
+    """Stored quarantine tables are found by name in a schema made for them, in either spelling; others are not."""
+    root = new_folder(t.spark, "discovery")
+    schema = f"found_{root[-32:]}"
+    tables.ensure_schema(t.spark, schema)
+    named = {"silver_orders_quarantine": "orders", "returns_quaruntine": "returns", "vendors_quarantine_old": "vendors"}
+    for table, entity in named.items():
+        rows = quality.quarantine(standardised(t, entity), e.ENTITIES[entity].rules)
+        tables.refresh_table(rows, f"{schema}.{table}", f"{root}/{table}")
+    tables.refresh_table(standardised(t, "vendors"), f"{schema}.vendors", f"{root}/vendors")
+    first = [f"{schema}.silver_orders_quarantine", f"{schema}.silver_products_quarantine"]
+    found = tables.read_tables(t.spark, tables.find_tables(t.spark, schema, first))
+    parts = [df.agg(F.count("*").alias("stored_rows")).select(F.lit(n.split(".")[1]).alias("table_name"), "*") for n, df in found.items()]
+    out = reduce(DataFrame.unionByName, parts)
+    out.schema  # the views are resolved before their schema goes
+    t.spark.sql(f"DROP DATABASE {schema} CASCADE")
+    return out

@@ -6,19 +6,22 @@ folder, streams it, and returns the stored result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import columns as c
 from tidemark.operators.exact import money_sum
 from tidemark.operators import quality
+from tidemark.plans import deltas
 from tidemark.plans import entities as e
 from tidemark.plans import silver as silver_plans
 from tidemark.plans import star
+from tidemark.sources.kept import KeptTable
 from tidemark.sources.scratch import new_folder
 from tidemark.streaming import bronze, facts, silver
 from tidemark.workload import gold_queries as gold
@@ -98,7 +101,12 @@ def bronze_rescue_stream(t: Tables) -> DataFrame:
 
 
 def json_arrays(df: DataFrame) -> DataFrame:
-    """Lines that make each written partition one JSON array."""
+    """Rows as lines that make each written partition one JSON array."""
+    return json_lines(df.select(F.to_json(F.struct("*")).alias("value")))
+
+
+def json_lines(df: DataFrame) -> DataFrame:
+    """Lines of objects that make each written partition one JSON array."""
 
     def bracket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lead = "["
@@ -110,7 +118,7 @@ def json_arrays(df: DataFrame) -> DataFrame:
                 yield lines.to_frame()
         yield pd.DataFrame({"value": ["]" if lead == "," else "[]"]})
 
-    return df.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(bracket, "value string")
+    return df.select("value").mapInPandas(bracket, "value string")
 
 
 @query(with_ctes(("returned_orders",), """
@@ -139,6 +147,58 @@ def bronze_json_stream(t: Tables) -> DataFrame:
     )
 
 
+@query("""SELECT CAST(o_orderkey AS VARCHAR) order_id, CASE WHEN o_custkey % 11 <> 0 THEN CAST(o_custkey AS VARCHAR) END customer_id,
+    o_orderpriority ship_mode, o_orderstatus order_status, strftime(o_orderdate, '%m/%d/%Y %H:%M') order_purchase_date,
+    CASE WHEN o_orderkey % 3 = 0 THEN 'global' ELSE CAST(o_orderkey % 3 AS VARCHAR) END _region FROM orders""")
+def bronze_orders_stream(t: Tables) -> DataFrame:
+    """Orders of two regions and of none, taken a few files at a time."""
+    root = new_folder(t.spark, "orders")
+    key = F.col("o_orderkey")
+    rows = t.orders.select(
+        key.cast("string").alias("order_id"),
+        F.when(F.col("o_custkey") % 11 != 0, F.col("o_custkey").cast("string")).alias("customer_id"),
+        F.col("o_orderpriority").alias("Ship_Mode"), F.col("o_orderstatus").alias("order_status"),
+        F.date_format("o_orderdate", "MM/dd/yyyy HH:mm").alias("order_purchase_date"), (key % 3).alias("part"))
+    for part, folder in ((0, "all"), (1, "Region 1"), (2, "deep/REGION2")):
+        _csv(rows.where(F.col("part") == part).drop("part"), f"{root}/landing/{folder}")
+    entity = replace(e.ORDERS, file_glob="part-*.csv")
+    return bronze.read_bronze(t.spark, _run(t.spark, root, entity, max_files=2)).select(
+        "order_id", "customer_id", "ship_mode", "order_status", "order_purchase_date", "_region")
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) product_id, p_name product_name, '0' || p_partkey || '.50' upc,
+    '["' || p_brand || '","' || p_type || '"]' categories, CASE WHEN p_size % 4 <> 0 THEN CAST(p_size AS VARCHAR) END sizes FROM part""")
+def bronze_products_stream(t: Tables) -> DataFrame:
+    """Products as JSON arrays: names in two spellings, numbers as written, a list kept as JSON, and gaps."""
+    root = new_folder(t.spark, "products")
+    number, name = F.col("p_partkey").cast("string"), F.to_json(F.struct(F.col("p_name").alias("n")))
+    name = F.substring(name, F.lit(6), F.length(name) - 6)
+    lists = F.concat(F.lit('["'), "p_brand", F.lit('","'), "p_type", F.lit('"]'))
+    size = F.when(F.col("p_size") % 4 != 0, F.concat(F.lit(',"sizes":'), F.col("p_size").cast("string"))).otherwise("")
+
+    def written(head: str) -> Column:
+        return F.concat(F.lit(head), number, F.lit(',"product_name":'), name, F.lit(',"categories":'), lists, size,
+                        F.lit(',"upc":"0'), number, F.lit('.50"}'))
+
+    spelled = F.when(F.col("p_partkey") % 2 == 0, written('{"product_id":')).otherwise(written('{"Product_ID":'))
+    json_lines(t.part.select(spelled.alias("value"))).write.text(f"{root}/landing")
+    rows = bronze.read_bronze(t.spark, _run(t.spark, root, replace(e.PRODUCTS, file_glob="part-*.txt")))
+    return rows.select("product_id", "product_name", "upc", "categories", "sizes")
+
+
+@query("""SELECT CAST(s_suppkey AS VARCHAR) vendor_id, s_name vendor_name, CASE WHEN s_suppkey % 2 = 0 THEN CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR) END balance, 'global' _region
+    FROM supplier""")
+def bronze_vendors_stream(t: Tables) -> DataFrame:
+    """Vendors, half of them in a file with a column that the entity does not name."""
+    root = new_folder(t.spark, "vendors")
+    rows = t.supplier.select(F.col("s_suppkey").alias("Vendor_ID"), F.col("s_name").alias("vendor_name"), F.col("s_acctbal").cast("decimal(18,2)").cast("string").alias("balance"))
+    even = F.col("Vendor_ID") % 2 == 0
+    _csv(rows.where(even), f"{root}/landing/a")
+    _csv(rows.where(~even).select("vendor_name", "Vendor_ID"), f"{root}/landing/b")
+    out = bronze.read_bronze(t.spark, _run(t.spark, root, replace(e.VENDORS, file_glob="part-*.csv")))
+    return out.select("vendor_id", "vendor_name", "balance", "_region")
+
+
 def _stored(df: DataFrame, spark: SparkSession, purpose: str) -> tuple[str, str]:
     """The frame as a table in a fresh folder; also the folder's root."""
     root = new_folder(spark, purpose)
@@ -212,3 +272,111 @@ def lakehouse_monthly_revenue(t: Tables) -> DataFrame:
 def _clean(t: Tables, entity: str) -> DataFrame:
     raw = inputs.RAW[entity](t)
     return quality.keep_valid(silver_plans.STANDARDISE[entity](raw), e.ENTITIES[entity].rules)
+
+
+# --- increments -----------------------------------------------------------------
+
+
+def _old_copies(orders: DataFrame) -> DataFrame:
+    """The same orders as they were a day before, with another status, ship mode and vendor."""
+    day = F.expr("INTERVAL 1 DAY")
+    return orders.withColumns({
+        "order_purchase_date": F.col("order_purchase_date") - day,
+        "order_status": F.lit("processing"),
+        "ship_mode": F.lit("Same Day"),
+        "vendor_id": F.lit("0"),
+    })
+
+
+def _kept(t: Tables, root: str) -> tuple[KeptTable, KeptTable]:
+    """Look-ups after two increments: odd orders have an older copy in the first, even ones in the second."""
+    orders = facts.kept_orders(t.spark, f"{root}/orders", e.ORDERS, 16)
+    customers = facts.kept_customers(t.spark, f"{root}/customers", e.CUSTOMERS, 16)
+    good = inputs.tidy_orders(t)
+    odd = F.col("order_id").cast("long") % 2 == 1
+    customers.upsert(inputs.tidy_customers(t), 0)
+    orders.upsert(_old_copies(good.where(odd)).unionByName(good.where(~odd)), 0)
+    orders.upsert(good.where(odd).unionByName(_old_copies(good.where(~odd))), 1)
+    return orders, customers
+
+
+def _in_two(rows: DataFrame, second: Column, root: str, run: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Stream ``rows`` in two runs, those for which ``second`` holds later; a third run finds nothing new."""
+    source = f"{root}/in"
+    for part in (rows.where(~second), rows.where(second)):
+        part.write.mode("append").parquet(source)
+        run(rows.sparkSession.readStream.schema(rows.schema).parquet(source)).awaitTermination()
+    run(rows.sparkSession.readStream.schema(rows.schema).parquet(source)).awaitTermination()
+
+
+def _sales_in_increments(t: Tables) -> str:
+    root = new_folder(t.spark, "sales-increments")
+    orders, customers = _kept(t, root)
+    rows = inputs.tidy_transactions(t)
+    _in_two(
+        rows, F.coalesce(F.col("quantity") % 2 == 1, F.lit(False)), root,
+        lambda stream: facts.append_kept_fact(star.sales_rows, stream, orders, customers, f"{root}/out", f"{root}/cp"),
+    )
+    return f"{root}/out"
+
+
+def _returns_in_increments(t: Tables) -> str:
+    root = new_folder(t.spark, "returns-increments")
+    orders, customers = _kept(t, root)
+    rows = inputs.tidy_returns(t)
+    _in_two(
+        rows, F.coalesce(F.length("return_reason") % 2 == 1, F.lit(False)), root,
+        lambda stream: facts.append_kept_fact(star.return_rows, stream, orders, customers, f"{root}/out", f"{root}/cp"),
+    )
+    return f"{root}/out"
+
+
+@query(gold.FACT_SALES_SQL)
+def fact_sales_increments(t: Tables) -> DataFrame:
+    """Sales in two increments over look-ups kept in two upserts; the newest copy of an order counts."""
+    return gold.local_stamps(t.spark.read.parquet(_sales_in_increments(t)).drop(facts.BATCH))
+
+
+@query(gold.FACT_RETURNS_SQL)
+def fact_returns_increments(t: Tables) -> DataFrame:
+    return t.spark.read.parquet(_returns_in_increments(t)).drop(facts.BATCH)
+
+
+def _kept_marts(t: Tables, sales: bool, returns: bool) -> deltas.KeptMarts:
+    """Marts that took in all facts in two batches each, cut across orders, customers and vendors."""
+    root = new_folder(t.spark, "kept-marts")
+    kept = deltas.KeptMarts(t.spark, root, 16)
+    if sales:
+        days, people = star.dim_date(t.spark), gold.customers(t)
+        _in_two(
+            t.stored("fact_sales", gold.all_sales), F.coalesce(F.col("quantity") % 2 == 1, F.lit(False)), f"{root}/sales",
+            lambda stream: deltas.follow(stream, lambda new, n: kept.add_sales(new, days, people, n), f"{root}/sales/cp"),
+        )
+    if returns:
+        _in_two(
+            t.stored("fact_returns", gold.returns), F.coalesce(F.col("days_to_return") % 2 == 1, F.lit(False)), f"{root}/returns",
+            lambda stream: deltas.follow(stream, kept.add_returns, f"{root}/returns/cp"),
+        )
+    return kept
+
+
+@query(with_ctes(("fact_sales", "dim_date"), gold.MONTHLY_BODY))
+def monthly_revenue_by_deltas(t: Tables) -> DataFrame:
+    return _kept_marts(t, True, False).monthly_revenue()
+
+
+@query(with_ctes(("fact_returns", "customers"), gold.CUSTOMER_RETURNS_SQL))
+def customer_returns_by_deltas(t: Tables) -> DataFrame:
+    return _kept_marts(t, False, True).customer_return_history(gold.customers(t))
+
+
+@query(with_ctes(("fact_sales", "fact_returns", "vendors"), f", {gold.VENDOR_RATE_CTE} SELECT * FROM vendor_rate"))
+def vendor_rate_by_deltas(t: Tables) -> DataFrame:
+    return _kept_marts(t, True, True).vendor_return_rate(star.dim_vendor(inputs.tidy_vendors(t)))
+
+
+@query(with_ctes(("fact_sales", "products"), f", {gold.SLOW_CTE} SELECT * FROM slow"))
+def slow_products_by_deltas(t: Tables) -> DataFrame:
+    return _kept_marts(t, True, False).slow_moving_products(
+        star.dim_product(inputs.tidy_products(t)), star.dim_region(inputs.tidy_customers(t)), F.lit(gold.AS_OF).cast("date")
+    )
