@@ -25,7 +25,7 @@ def test_lakehouse_from_files_to_reports(spark, tmp_path):
         {"OrderId": f"o{i}", "amount": 400.5, "reason": "Bad", "date_of_return": "2018-01-02", "status": "RJCTD"} for i in range(0, 10, 2)] * 2))
     put(files / "products.json", json.dumps([{"product_id": f"p{i}", "product_name": f"Thing {i}", "upc": "1", "categories": "X > Y"} for i in range(2)]))
     put(files / "vendors.csv", "vendor_id,vendor_name\nv1,Acme\n,Nameless\n")
-    lake = Lakehouse(spark, str(files), str(tmp_path / "lake"), "job_silver", "job_gold")
+    lake = Lakehouse(spark, str(files), str(tmp_path / "lake"), "job_silver", "job_gold", buckets=2)
     lake.refresh()
     monthly = in_report_order(lake.table("mv_monthly_revenue_by_region"), "mv_monthly_revenue_by_region").collect()
     assert [(r.region_name, r.order_count, r.total_sales_amount) for r in monthly] == [("East", 5, 50.0), ("West", 4, 40.0)]
@@ -50,7 +50,7 @@ def test_lakehouse_from_files_to_reports(spark, tmp_path):
 def test_lakehouse_starts_empty(spark, tmp_path):
     files = tmp_path / "landing"
     files.mkdir()
-    lake = Lakehouse(spark, str(files), str(tmp_path / "lake"), "empty_silver", "empty_gold")
+    lake = Lakehouse(spark, str(files), str(tmp_path / "lake"), "empty_silver", "empty_gold", buckets=2)
     lake.refresh()
     for name in ("fact_sales", "fact_returns", "dim_customer", "mv_vendor_return_rate"):
         assert lake.table(name).count() == 0

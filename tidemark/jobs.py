@@ -32,7 +32,7 @@ from tidemark.plans.deltas import KeptMarts, follow
 from tidemark.plans.entities import ENTITIES
 from tidemark.sources import tables
 from tidemark.sources.kept import BUCKETS, KeptTable
-from tidemark.sources.scratch import new_folder
+from tidemark.sources.scratch import exists, new_folder
 from tidemark.streaming import bronze, facts, silver
 
 STREAMED = ("transactions", "returns")
@@ -101,6 +101,10 @@ class Lakehouse:
                 self.spark, f"{self.root}/bronze/{name}", ENTITIES[name], table, f"{self.root}/checkpoints/gold/kept_{name}"
             ).awaitTermination()
         for name, source, fact in FACTS:
+            if not exists(self.spark, self._fact_path(name)):
+                # An empty first batch, so that the fact can be read and followed before it has rows.
+                empty = self.spark.createDataFrame([], self._fact_schema(name))
+                empty.write.mode("overwrite").parquet(f"{self._fact_path(name)}/{facts.BATCH}=-1")
             rows = silver.follow_clean(self.spark, self._silver_path(source), ENTITIES[source])
             facts.append_kept_fact(
                 fact, rows, kept["orders"], kept["customers"], self._fact_path(name), f"{self.root}/checkpoints/gold/{name}"

@@ -112,18 +112,29 @@ _RECORD = "__record"
 CORRUPT = "_corrupt_record"
 
 
+# A string of JSON, or a bare number or truth value. Strings hold no control characters, so two of them may mark what was bare.
+_TOKEN = r'("(?:[^"\\]++|\\.)*+")|(-?[0-9][0-9.eE+-]*+|true|false)'
+_OPEN, _CLOSE = "\x01", "\x02"
+
+
+def _quoted(json: Column) -> Column:
+    """JSON with every bare number and truth value as the string of what is written."""
+    marked = F.regexp_replace(json, _TOKEN, f"$1{_OPEN}$2{_CLOSE}")
+    return F.translate(F.replace(marked, F.lit(_OPEN + _CLOSE), F.lit("")), _OPEN + _CLOSE, '""')
+
+
 def parse_json(files: DataFrame) -> DataFrame:
     """One row for each object of files read whole, as a map of texts.
 
-    Numbers stay as written and nested values stay JSON text, which is why the
-    values are texts and not variants: a variant keeps a number and forgets how
-    it was written. A single object counts as an array of one. A file that is
-    no JSON gives one row with its text under ``CORRUPT``.
+    Numbers stay as written, also within nested values, which stay JSON text.
+    That is why the values are texts and not variants: a variant keeps a number
+    and forgets how it was written. A single object counts as an array of one.
+    A file that is no JSON gives one row with its text under ``CORRUPT``.
     """
     text = F.regexp_replace("value", "^\ufeff", "")
     array = F.when(F.ltrim(text).startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
     corrupt = F.array(F.create_map(F.lit(CORRUPT), F.col("value")))
-    records = F.coalesce(F.from_json(array, "array<map<string,string>>"), F.when(F.trim(text) != "", corrupt))
+    records = F.coalesce(F.from_json(_quoted(array), "array<map<string,string>>"), F.when(F.trim(text) != "", corrupt))
     return _with_lineage(files).select(F.explode(records).alias(_RECORD), *LINEAGE_COLUMNS).where(F.col(_RECORD).isNotNull())
 
 
@@ -132,11 +143,11 @@ def read_json(spark: SparkSession, paths: Sequence[str], entity: Entity, scratch
 
     Files are read and parsed once, into the folder ``scratch``; the names of
     their fields are then gathered from the stored rows. Names that differ only
-    by case are one column. One array is one task's work and has to stay below
-    2 GB, the most a text can hold.
+    by case are one column. One file is one task's work, held whole a few times
+    over: it has to stay well below 2 GB, the most a text can hold.
     """
     rows = scratch or new_folder(spark, "json-rows")
-    parse_json(spark.read.option("wholetext", True).text([escaped(p) for p in paths])).write.parquet(rows)
+    parse_json(spark.read.text([escaped(p) for p in paths], wholetext=True)).write.parquet(rows)
     stored = spark.read.parquet(rows)
     # As many rows as there are different names.
     names = sorted(r[0] for r in stored.select(F.explode(F.map_keys(_RECORD))).distinct().collect())
