@@ -77,7 +77,7 @@ def test_spills_bursts_and_full_tables_change_no_count(spark, monkeypatch):
     plain = plain_counts([(r.lang, r.text) for r in docs.collect()], 5)
     assert whole[0] == sorted((g, " ".join(p), n, len(p)) for g, f in plain.items() for p, n in f.items() if n >= 10)
     assert counts(bits=7) == whole
-    for name, value in (("BURST", 4), ("MEMORY", 30), ("WAITING", 10), ("NUMBERS", 40), ("BATCH", 7)):
+    for name, value in (("BURST", 4), ("MEMORY", 30), ("CHUNK", 50), ("NUMBERS", 20), ("BATCH", 7)):
         monkeypatch.setattr(collocations, name, value)
     assert counts() == whole
 
@@ -123,9 +123,28 @@ def test_odd_rows(spark):
     assert collocations.collocations(docs).count() >= 0
 
 
-def test_stretches():
+def test_stretches_keep_neighbours_and_break_where_words_go():
+    words = [b"a", b"b", b"c", b"d", b"\xff", b"e", b"f", b"g", b"h", b"i"]
+    (_, text, _), = collocations._stretches("en", words, np.array([0, 1, 5, 8]), 2)
+    assert [p.split() for p in text.split(b"\n")] == [[b"a", b"b", b"c"], [b"e", b"f"], [b"h", b"i"]]
+
+
+def test_tokens_of_texts_cut_into_chunks(monkeypatch):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("aB \t.,\n\x0b\r日é\x1c\x00") for _ in range(rng.randrange(60))).encode() for _ in range(40)]
+    whole = [w for part in collocations.tokens(texts) for w in part if w != b"\xff"]
+    plain = [w.encode() for t in texts for w in re.findall(r"[^\x20\x09.,\x0A-\x0D]+", t.decode().replace("B", "b"))]
+    assert whole == plain
+    monkeypatch.setattr(collocations, "CHUNK", 10)
+    parts = list(collocations.tokens(texts))
+    assert len(parts) > 20 and [w for part in parts for w in part if w != b"\xff"] == plain
+
+
+def test_distinct_phrases():
     rng = np.random.default_rng(1)
-    for _ in range(50):
-        flags = (rng.random(12) < 0.7).tolist()
-        text = "".join("01"[f] for f in flags)
-        assert list(collocations._stretches(flags)) == [m.span() for m in re.finditer("11+", text)]
+    ids = rng.integers(0, 3, 400)
+    at = np.flatnonzero(rng.random(396) < 0.5)
+    for size in (2, 3, 5):
+        columns, counts = collocations.distinct_phrases(ids, at, size)
+        plain = Counter(tuple(ids[k : k + size].tolist()) for k in at)
+        assert dict(zip(zip(*(c.tolist() for c in columns)), counts.tolist())) == dict(plain)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bits import BITS, bit_table, may_hold, phrase_hash
+from tidemark.llm.bits import BITS, bit_table, may_hold
 from tidemark.llm.frames import whole_text
 from tidemark.operators.keyed import ranked
 from tidemark.sources.scratch import new_folder
@@ -25,15 +25,18 @@ COVER = 100
 
 # Entries of a bucket before it bursts, and of a task's tries before they spill.
 BURST = 4096
-MEMORY = 400_000
-# Windows that a task sums up before they go to the trie.
-WAITING = 100_000
+MEMORY = 800_000
+# Bytes of text that a task numbers at once; longer texts are cut where a piece ends.
+CHUNK = 4 << 20
 # Words that a task numbers before it hands all on and starts anew.
 NUMBERS = 1_000_000
 BATCH = 20_000
 
-_ENDS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"\n" * 10)
+# A byte that no text holds stands for the end of a piece.
+_END = b"\xff"
+_ENDS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _END * 10)
 _RUNS = "kind int, lang string, phrase binary, n long"
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Node(dict):
@@ -95,51 +98,65 @@ class HatTrie:
 
 
 class _Numbers(dict):
-    """Word ids of a task, given as words come."""
+    """Word ids of a task, given as words come; 0 is the end of a piece."""
 
     def __init__(self):
         self.words: list[bytes] = []
+        self.hashes: list[int] = []
+        self[_END]
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.words)
         self.words.append(word)
+        self.hashes.append(xxhash.xxh64_intdigest(word, 42))
         return n
 
 
-class _Frequent(dict):
-    """Whether phrases of one word fewer may be frequent, by the bit table; remembered for a task's ids."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * _ODD
+    return h ^ (h >> np.uint64(29))
 
-    def __init__(self, lang: str, numbers: _Numbers, table: np.ndarray):
-        self.start, self.numbers, self.table = lang.encode() + b"\0", numbers, table
 
-    def __missing__(self, phrase: int | tuple[int, ...]) -> bool:
-        ids = (phrase,) if isinstance(phrase, int) else phrase
-        text = self.start + b" ".join([self.numbers.words[k] for k in ids])
-        self[phrase] = found = bool(may_hold(self.table, np.array([xxhash.xxh64_intdigest(text, 42)], np.uint64))[0])
-        return found
+def phrase_hashes(lang: str, words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all phrases of ``size`` words, from the hashes of words that follow each other."""
+    n = max(0, len(words) - size + 1)
+    h = np.full(n, xxhash.xxh64_intdigest(lang.encode(), 42), np.uint64)
+    for k in range(size):
+        h = _mixed(h + words[k : k + n])
+    return h
 
 
-def pieces(text: bytes) -> Iterator[list[bytes]]:
-    """Words of each piece between marks or line ends, A-Z lower-cased."""
-    for piece in text.lower().translate(_ENDS).split(b"\n"):
-        words = piece.split()
-        if words:
-            yield words
+def _hashed(phrases: DataFrame, size: int) -> DataFrame:
+    """``h``, the hash of each phrase of ``size`` words."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = np.array([xxhash.xxh64_intdigest(w, 42) for w in phrase.split(b" ")], np.uint64)
+                found.append(phrase_hashes(lang, words, size))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["h"])
+
+    return phrases.select("lang", F.col("phrase").cast("binary")).mapInArrow(run, "h long")
+
+
+def tokens(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Words of whole texts, A-Z lower-cased, with a mark where a piece ends; ``CHUNK`` bytes or so at a time."""
+    whole = _END.join(texts).lower().translate(_ENDS)
+    at = 0
+    while at < len(whole):
+        end = whole.find(_END, at + CHUNK)
+        end = len(whole) if end < 0 else end
+        yield whole[at:end].replace(_END, b" " + _END + b" ").split()
+        at = end
 
-def _stretches(flags: list[bool]) -> Iterator[tuple[int, int]]:
-    """Starts and ends of stretches of two or more true flags."""
-    start = None
-    for k, flag in enumerate(flags):
-        if flag:
-            if start is None:
-                start = k
-        elif start is not None:
-            if k - start > 1:
-                yield start, k
-            start = None
-    if start is not None and len(flags) - start > 1:
-        yield start, len(flags)
+
+def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    texts: dict[str, list[bytes]] = defaultdict(list)
+    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        texts[lang].append(text)
+    yield from texts.items()
 
 
 def _batches(kind: int, rows: Iterator[tuple[str, bytes, int | None]]) -> Iterator[pa.RecordBatch]:
@@ -166,21 +183,29 @@ def _word_runs(texts: DataFrame) -> DataFrame:
         counts: dict[str, Counter[bytes]] = defaultdict(Counter)
 
         def handed() -> Iterator[pa.RecordBatch]:
-            yield from _batches(1, ((lang, word, n) for lang, own in counts.items() for word, n in sorted(own.items())))
+            yield from _batches(1, ((lang, word, n) for lang, own in counts.items() for word, n in sorted(own.items()) if word != _END))
             counts.clear()
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = counts[lang]
-                for words in pieces(text):
-                    own.update(words)
-                if sum(map(len, counts.values())) >= MEMORY:
-                    yield from handed()
+            for lang, own in _by_lang(batch):
+                for words in tokens(own):
+                    counts[lang].update(words)
+                    if sum(map(len, counts.values())) >= MEMORY:
+                        yield from handed()
         yield from handed()
 
     return texts.mapInArrow(run, _RUNS)
 
 
+def distinct_phrases(ids: np.ndarray, at: np.ndarray, size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The different phrases of ``size`` ids that start at ``at``, as a column for each place, and their counts."""
+    group = ids[at]
+    for k in range(1, size):
+        # Groups and ids are below 2**31, so a group and the next id make one number.
+        _, first, group, counts = np.unique(group << 32 | ids[at + k], return_index=True, return_inverse=True, return_counts=True)
+    return [ids[at[first] + k] for k in range(size)], counts
+
+
 def _phrase_runs(texts: DataFrame, size: int, table: np.ndarray) -> DataFrame:
     """Counts of the phrases of ``size`` words whose two parts of one word fewer may be frequent.
 
@@ -190,51 +215,54 @@ def _phrase_runs(texts: DataFrame, size: int, table: np.ndarray) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = _Numbers()
-        frequent: dict[str, _Frequent] = {}
-        waiting: dict[str, Counter] = defaultdict(Counter)
+        numbers, hashes = _Numbers(), np.empty(0, np.uint64)
         tries: dict[str, HatTrie] = defaultdict(HatTrie)
 
-        def spilled(keep: int) -> Iterator[pa.RecordBatch]:
-            for lang, own in waiting.items():
-                for phrase, n in own.items():
-                    tries[lang].add(phrase, n)
-            waiting.clear()
-            if sum(map(len, tries.values())) <= keep:
+        def spilled(most: int) -> Iterator[pa.RecordBatch]:
+            if sum(map(len, tries.values())) <= most:
                 return
             for lang, trie in tries.items():
-                named = sorted((b" ".join([numbers.words[k] for k in phrase]), n) for phrase, n in trie.spill(len(trie) * keep // (2 * MEMORY)))
+                keep = len(trie) // 2 if most else 0
+                named = sorted((b" ".join([numbers.words[k] for k in phrase]), n) for phrase, n in trie.spill(keep))
                 yield from _batches(1, ((lang, phrase, n) for phrase, n in named))
 
         for batch in batches:
-            stretches = []
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                known = frequent.get(lang) or frequent.setdefault(lang, _Frequent(lang, numbers, shared.value))
-                own, kept = waiting[lang], []
-                for words in pieces(text):
-                    if len(words) < size:
+            for lang, own in _by_lang(batch):
+                for words in tokens(own):
+                    ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+                    hashes = np.concatenate([hashes, np.array(numbers.hashes[len(hashes) :], np.uint64)])
+                    # A part may be frequent if the table knows it and no end of a piece lies in it.
+                    part = may_hold(shared.value, phrase_hashes(lang, hashes[ids], size - 1))
+                    for k in range(size - 1):
+                        part &= ids[k : k + len(part)] != 0
+                    at = np.flatnonzero(part[:-1] & part[1:])
+                    if not len(at):
                         continue
-                    ids = list(map(numbers.__getitem__, words))
-                    parts = ids if size == 2 else list(zip(*(ids[k:] for k in range(size - 1))))
-                    for start, end in _stretches(list(map(known.__getitem__, parts))):
-                        end += size - 2
-                        own.update(zip(*(ids[start + k : end] for k in range(size))))
-                        kept.append(b" ".join(words[start:end]))
-                if kept:
-                    stretches.append((lang, b"\n".join(kept), None))
-                if sum(map(len, waiting.values())) >= WAITING:
+                    columns, counts = distinct_phrases(ids, at, size)
+                    trie = tries[lang]
+                    for phrase, n in zip(zip(*(c.tolist() for c in columns), strict=True), counts.tolist(), strict=True):
+                        trie.add(phrase, n)
+                    yield from _batches(0, _stretches(lang, words, at, size))
                     yield from spilled(MEMORY)
-                if len(numbers.words) >= NUMBERS or sum(map(len, frequent.values())) >= NUMBERS:
-                    yield from spilled(0)
-                    numbers.clear()
-                    numbers.words.clear()
-                    frequent.clear()
-            yield from _batches(0, iter(stretches))
+                    if len(numbers) >= NUMBERS:
+                        yield from spilled(0)
+                        numbers, hashes = _Numbers(), np.empty(0, np.uint64)
         yield from spilled(0)
 
     return texts.mapInArrow(run, _RUNS)
 
 
+def _stretches(lang: str, words: list[bytes], at: np.ndarray, size: int) -> Iterator[tuple[str, bytes, None]]:
+    """The words of the phrases that start at ``at``, with line ends where words between them are left out."""
+    covered = np.zeros(len(words), bool)
+    for k in range(size):
+        covered[at + k] = True
+    places = np.flatnonzero(covered)
+    # Words that follow each other in the text stay neighbours; marks are never covered.
+    glue = np.where(np.diff(places, prepend=places[0]) > 1, "\n", " ").tolist()
+    yield lang, b"".join([g.encode() + words[p] for g, p in zip(glue, places.tolist(), strict=True)]), None
+
+
 def _stored(df: DataFrame, purpose: str) -> DataFrame:
     folder = new_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
@@ -263,7 +291,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, b
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     found = [_stored(words.where(F.col("n") >= least), "phrases-1")]
     for size in range(2, longest + 1):
-        table = bit_table(found[-1].select(phrase_hash("lang", "phrase").alias("h")), "h", bits)
+        table = bit_table(_hashed(found[-1], size - 1), "h", bits)
         runs = _stored(_phrase_runs(texts, size, table), "phrase-runs")
         found.append(_stored(_merged(runs).where(F.col("n") >= least), f"phrases-{size}"))
         texts = runs.where("kind = 0").select("lang", "phrase")
