@@ -97,6 +97,11 @@ def test_tries_burst_and_spill_whole_subtrees():
             # A first word leaves with all its phrases.
             assert not {p[0] for p, _ in run} & {p[0] for p, _ in trie._below(trie.root, ())} and len(before) == 4
             spilled += run
+    # Sorted phrases go in together, also where buckets burst on the way.
+    together = sorted(plain.items())
+    whole = HatTrie(burst=5)
+    whole.add_sorted([p for p, _ in together], [n for _, n in together])
+    assert Counter(dict(whole.spill(0))) == plain and len(whole) == 0
     spilled += trie.spill(0)
     found = Counter()
     for phrase, n in spilled:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +80,23 @@ class HatTrie:
             for word, *others in child:
                 parts.setdefault(word, _Bucket())[tuple(others)] = child[(word, *others)]
 
+    def add_sorted(self, phrases: Iterable[tuple[int, ...]], counts: Iterable[int]) -> None:
+        """Add phrases that come with equal first words together; a first word's bucket is looked up once."""
+        first = child = None
+        for phrase, n in zip(phrases, counts, strict=True):
+            if phrase[0] != first:
+                first = phrase[0]
+                child = self.root.get(first)
+            if type(child) is not _Bucket or (len(child) >= self.burst and len(phrase) > 2):
+                self.add(phrase, n)
+                child = self.root[first]
+                continue
+            rest = phrase[1:]
+            seen = child.get(rest)
+            child[rest] = n if seen is None else seen + n
+            if seen is None:
+                self.sizes[first] += 1
+
     def _below(self, node: _Node | _Bucket, path: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...], int]]:
         for key, value in node.items():
             if type(node) is _Bucket:
@@ -239,9 +256,7 @@ def _phrase_runs(texts: DataFrame, size: int, table: np.ndarray) -> DataFrame:
                     if not len(at):
                         continue
                     columns, counts = distinct_phrases(ids, at, size)
-                    trie = tries[lang]
-                    for phrase, n in zip(zip(*(c.tolist() for c in columns), strict=True), counts.tolist(), strict=True):
-                        trie.add(phrase, n)
+                    tries[lang].add_sorted(zip(*(c.tolist() for c in columns), strict=True), counts.tolist())
                     yield from _batches(0, _stretches(lang, words, at, size))
                     yield from spilled(MEMORY)
                     if len(numbers) >= NUMBERS:
