@@ -46,10 +46,8 @@ def test_model_prefers_texts_like_its_corpus(spark):
     assert scores[1000] > scores[1001]
 
 
-def counted(spark, values, monkeypatch, bits):
-    monkeypatch.setattr(lm, "FILTER_BITS", bits)
-    monkeypatch.setattr(lm, "SEGMENTS", 16)
-    segment = lm.segment_of(values)
+def counted(spark, values, segments=16):
+    segment = lm.segment_of(values, segments)
     rows = []
     for s in np.unique(segment):
         own = values[segment == s]
@@ -59,27 +57,25 @@ def counted(spark, values, monkeypatch, bits):
     return spark.createDataFrame(rows, "segment int, hashes binary, counts binary, large binary")
 
 
-def test_filter_holds_quantised_counts(spark, monkeypatch):
+def test_filter_holds_quantised_counts(spark):
     rng = np.random.default_rng(1)
     distinct = rng.integers(0, 2**64 - 1, 3000, np.uint64, endpoint=True)
     counts = np.maximum(1, rng.pareto(0.8, 3000).astype(int)).clip(1, 3000)
-    partial = counted(spark, np.repeat(distinct, counts), monkeypatch, 1 << 18)
-    model = lm.FrequencyFilter(*lm.FrequencyFilter.arrays(lm._segments(partial.union(partial)).collect()))
+    partial = counted(spark, np.repeat(distinct, counts))
+    rows = lm._segments(partial.union(partial)).collect()
+    model = lm.FrequencyFilter(rows, 0, 16, 16)
     levels = model.levels(distinct)
     true = np.floor(np.log2(2 * counts)).astype(int) + 1  # both halves are added up
-    assert (levels >= true).all() and (levels == true).mean() > 0.97
-    fresh = model.levels(rng.integers(0, 2**64 - 1, 3000, np.uint64, endpoint=True))
-    assert (fresh > 0).mean() < 0.05
-
-
-def test_full_filter_drops_rare_counts_first(spark, monkeypatch):
-    rng = np.random.default_rng(2)
-    distinct = rng.integers(0, 2**64 - 1, 20_000, np.uint64, endpoint=True)
-    counts = np.where(np.arange(20_000) < 300, 40, 1)
-    partial = counted(spark, np.repeat(distinct, counts), monkeypatch, 1 << 14)
-    model = lm.FrequencyFilter(*lm.FrequencyFilter.arrays(lm._segments(partial).collect()))
-    assert (model.levels(distinct[:300]) >= 6).all()
-    assert (model.levels(distinct[300:]) == 0).mean() > 0.9
+    assert (levels >= true).all() and (levels == true).mean() > 0.9
+    unseen = rng.integers(0, 2**64 - 1, 3000, np.uint64, endpoint=True)
+    assert (model.levels(unseen) > 0).mean() < 0.05
+    # Groups of segments answer the same, each for its own range of sorted n-grams.
+    values = np.unique(np.concatenate([distinct, unseen]))
+    parts = []
+    for first in range(0, 16, 5):
+        part = lm.FrequencyFilter([r for r in rows if first <= r.segment < first + 5], first, min(16, first + 5), 16)
+        parts.append(part.levels(values[part.share(values)]))
+    assert np.array_equal(np.concatenate(parts), model.levels(values))
 
 
 def test_empty_table_and_no_training_rows(spark):
@@ -92,60 +88,69 @@ def test_empty_table_and_no_training_rows(spark):
 
 
 def test_filter_grows_with_its_entries(spark):
-    """One segment gets more n-grams than a filter of 2^28 bits in 1,024 segments has room for."""
     rng = np.random.default_rng(3)
     values = np.unique(rng.integers(0, 2**54 - 1, 40_000, np.uint64))
     spread = bytearray(values.view(np.uint8).reshape(-1, 8).T.tobytes())
     partial = spark.createDataFrame([(0, spread, bytearray(b"\1" * len(values)), bytearray())], "segment int, hashes binary, counts binary, large binary")
     row, = lm._segments(partial).collect()
-    model = lm.FrequencyFilter(*lm.FrequencyFilter.arrays([row]))
-    assert row.least == 0 and 8 * len(row.field) >= lm.BITS_FOR_ENTRY * len(values)
-    assert (model.levels(values) >= 1).all()
-    assert model.single[1] == model.pair[1] == 1
+    assert 8 * len(row.field) >= lm.BITS_FOR_ENTRY * len(values)
+    assert (lm.FrequencyFilter([row], 0, 1, 1).levels(values) >= 1).all()
+    assert lm.level_means(np.array(row.stats))[1] == 1
 
 
-@pytest.mark.parametrize(("chunk", "ngrams"), [(2_000_000, 1 << 20), (300, 1 << 20), (300, 2)])
-def test_scores_follow_from_all_counts(spark, monkeypatch, chunk, ngrams):
-    """Any cut into blocks and segments gives the scores of plain counting; with many bits false positives are rare."""
-    for name, value in (("CHUNK", chunk), ("SEGMENT_NGRAMS", ngrams), ("BITS_FOR_ENTRY", 256)):
+def plain_model(texts):
+    """Probability of a word after another by plain counting; None is the start of a text."""
+    single, pair = Counter(w for t in texts for w in t), Counter(x for t in texts for x in zip([None, *t], t))
+    groups = {}
+    for n in single.values():
+        groups.setdefault(n.bit_length(), []).append(n)
+    space = sum(single.values()) + 0.1 * (len(single) + 1)
+
+    def chance(before, word):
+        n = single.get(word, 0)
+        own = sum(groups[n.bit_length()]) / len(groups[n.bit_length()]) if n else 0
+        most = len(texts) if before is None else 2 ** single.get(before, 0).bit_length() - 1
+        alone = (own + 0.1) / space
+        seen = pair.get((before, word), 0)
+        return 0.8 * alone + 0.2 * (2 ** (seen.bit_length() - 1) if seen else 0) / most if most else alone
+
+    return chance, single
+
+
+@pytest.mark.parametrize(("chunk", "ngrams", "group"), [(2_000_000, 1 << 20, 64 << 20), (300, 1 << 20, 2000), (300, 2, 1)])
+def test_scores_follow_from_all_counts(spark, monkeypatch, chunk, ngrams, group):
+    """Any cut into blocks, segments and groups gives the scores of plain counting; with many bits false positives are rare."""
+    for name, value in (("CHUNK", chunk), ("SEGMENT_NGRAMS", ngrams), ("BITS_FOR_ENTRY", 256), ("GROUP_BYTES", group), ("SEGMENTS", 3)):
         monkeypatch.setattr(lm, name, value)
+    if ngrams == 2:
+        monkeypatch.setattr(lm, "SEGMENT_NGRAMS", 2000)
     docs = odd_docs(spark, [(50 + k, prose(k, 40), "en", "m", 1, None, None) for k in range(60)])
-    texts = [tokens(r.text) for r in docs.collect() if not out(r.doc_id)]
-    single, pair = Counter(w for t in texts for w in t), Counter(x for t in texts for x in zip([None, *t], t))
-
-    def mean(counts):
-        """Each count gives way to the mean of those with the same power of two."""
-        groups = {}
-        for n in counts.values():
-            groups.setdefault(n.bit_length(), []).append(n)
-        return {x: sum(groups[n.bit_length()]) / len(groups[n.bit_length()]) for x, n in counts.items()}
-
-    own, both, n = mean(single), mean(pair), sum(single.values())
-    space, wanted = n + 0.1 * (len(single) + 1), []
+    chance, _ = plain_model([tokens(r.text) for r in docs.collect() if not out(r.doc_id)])
+    wanted = []
     for r in docs.collect():
-        score, before = 0.0, len(texts)
         t = tokens(r.text)
-        for x in zip([None, *t], t):
-            score += math.log10(0.8 * (own.get(x[1], 0) + 0.1) / space + 0.2 * min(1, both.get(x, 0) / max(before, 1)))
-            before = own.get(x[1], 0)
-        wanted.append((str(r.doc_id), len(t), score))
+        wanted.append((str(r.doc_id), len(t), sum(math.log10(chance(a, b)) for a, b in zip([None, *t], t))))
     found = sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm.score_texts(docs).collect())
     assert [f[:2] for f in found] == [w[:2] for w in sorted(wanted)]
     assert [f[2] for f in found] == pytest.approx([w[2] for w in sorted(wanted)])
 
 
-def test_dropped_bigrams_share_their_mass(spark, monkeypatch):
-    rng = np.random.default_rng(4)
-    distinct = rng.integers(0, 2**64 - 1, 20_000, np.uint64, endpoint=True)
-    partial = counted(spark, distinct, monkeypatch, 1 << 14)
-    model = lm.FrequencyFilter(*lm.FrequencyFilter.arrays(lm._segments(partial).collect()))
-    pairs = int((distinct & np.uint64(1)).sum())
-    assert model.pair[0] == pytest.approx(pairs / (pairs + 1)) and model.single[0] == pytest.approx((20_000 - pairs) / (20_001 - pairs))
-
-
-def test_unseen_bigrams_have_no_mass_when_all_are_stored(spark, monkeypatch):
-    monkeypatch.setattr(lm, "SEGMENTS", 16)
-    rng = np.random.default_rng(5)
-    distinct = rng.integers(0, 2**64 - 1, 5_000, np.uint64, endpoint=True)
-    model = lm.FrequencyFilter(*lm.FrequencyFilter.arrays(lm._segments(counted(spark, distinct, monkeypatch, None)).collect()))
-    assert model.pair[0] == model.single[0] == 0 and model.pair[1] == model.single[1] == 1
+def test_chances_after_every_context_sum_to_one_at_most(spark, monkeypatch):
+    """Over the vocabulary and one unseen word; the counts are those that once summed to 1.15."""
+    monkeypatch.setattr(lm, "BITS_FOR_ENTRY", 256)
+    train = [k for k in range(3000) if not out(k)]
+    texts = [f"seven f{k}" for k in range(7)] + [f"w{k} w{(k * 7) % 200} x{k % 3}" for k in range(200) for _ in range(2)] + ["common " * 9] * 5
+    rows = [(i, t, "en", "m", 1, None, None) for i, t in zip(train, texts)]
+    chance, single = plain_model([tokens(t) for t in texts])
+    words = [*single, "never"]
+    for before in [None, "seven", "w3", "common", "x1", "never", "f2"]:
+        total = sum(chance(before, w) for w in words)
+        assert total <= 1 + 1e-9
+        assert total > 0.79 and (before != "never" or total == pytest.approx(1))
+    # The operator gives these very chances, for texts that the model has not seen, too.
+    asked = [k for k in range(3000) if out(k)][: len(words)]
+    rows += [(i, f"seven {w}".strip(), "en", "m", 1, None, None) for i, w in zip(asked, words)]
+    found = {r.doc_id: r.score for r in lm.score_texts(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, w in zip(asked, words):
+        t = tokens(f"seven {w}".strip())
+        assert found[i] == pytest.approx(sum(math.log10(chance(a, b)) for a, b in zip([None, *t], t)), abs=1e-6)

@@ -17,11 +17,11 @@ from tidemark.llm.frames import held, whole_text
 from tidemark.sources.scratch import new_folder
 
 ADDED = 0.1
-# The filter's size in bits. None: each segment has room for all its n-grams; a number makes full segments drop rare ones.
-FILTER_BITS: int | None = None
 # At least so many segments, and so many that about ``SEGMENT_NGRAMS`` n-grams meet in one.
-SEGMENTS = 1024
+SEGMENTS = 256
 SEGMENT_NGRAMS = 1 << 20
+# Segments go to the workers in groups of about so many bytes, one pass over the texts for each group.
+GROUP_BYTES = 64 << 20
 PROBES = 4
 BITS_FOR_ENTRY = 8
 # Share of the bigram estimate in a word's probability.
@@ -30,7 +30,7 @@ BIGRAM_SHARE = 0.2
 HOT_WORDS = 100_000
 HOT_BYTES = 40
 # A task sorts and counts about so many n-gram hashes at a time: those of a block of texts.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 MEMORY = 200_000
 LEVELS = 40
 
@@ -124,7 +124,7 @@ def _word_counts(texts: DataFrame) -> DataFrame:
 
 
 def _ngram_counts(blocks: DataFrame, segments: int) -> DataFrame:
-    """Distinct n-gram hashes of each block by segment, sorted, with how often the block's training texts hold them."""
+    """Distinct n-gram hashes of each block's training texts by segment, sorted, with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,6 +134,9 @@ def _ngram_counts(blocks: DataFrame, segments: int) -> DataFrame:
                 learned = np.repeat(np.frombuffer(block["learned"], np.uint8), lengths)
                 own = np.concatenate([np.bincount(codes, learned, len(hashes)), learned])
                 counts = np.bincount(place, own, len(values)).astype(np.int64)
+                values, counts = values[counts > 0], counts[counts > 0]
+                if not len(values):
+                    continue
                 segment = segment_of(values, segments)
                 edges = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1], True])
                 small = np.minimum(counts, 255).astype(np.uint8)
@@ -141,14 +144,14 @@ def _ngram_counts(blocks: DataFrame, segments: int) -> DataFrame:
                 rows = []
                 for a, b in zip(edges[:-1], edges[1:], strict=True):
                     more = large[np.searchsorted(large, a) : np.searchsorted(large, b)]
-                    rows.append((int(segment[a]), block["uid"], _spread(values[a:b]), small[a:b].tobytes(), counts[more].astype("<u4").tobytes()))
+                    rows.append((int(segment[a]), _spread(values[a:b]), small[a:b].tobytes(), counts[more].astype("<u4").tobytes()))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[2:]]],
-                    ["segment", "block", "hashes", "counts", "large"],
+                    [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+                    ["segment", "hashes", "counts", "large"],
                 )
 
-    return blocks.select("uid", "lengths", "hashes", "codes", "learned").mapInArrow(run, "segment int, block long, hashes binary, counts binary, large binary")
+    return blocks.select("uid", "lengths", "hashes", "codes", "learned").mapInArrow(run, "segment int, hashes binary, counts binary, large binary")
 
 
 def _position(values: np.ndarray, level: int, probe: int, bits: int | np.ndarray) -> np.ndarray:
@@ -159,60 +162,37 @@ def _position(values: np.ndarray, level: int, probe: int, bits: int | np.ndarray
         return ((first + np.uint64(probe) * step) % np.asarray(bits).astype(np.uint64)).astype(np.int64)
 
 
-FILTERED = "segment int, block long, field binary, least int, stats array<long>, levels binary"
+FILTERED = "segment int, field binary, stats array<long>"
 
 
 def _segments(partial: DataFrame) -> DataFrame:
-    """One filter segment for each hash range, its least stored count, and statistics of its levels.
-
-    Where ``partial`` names blocks, the segment also answers each of them, in
-    a row of its own: the levels of the block's n-grams in their order.
-    """
+    """One filter segment for each hash range, and statistics of its levels."""
 
     def build(segment: int, values: np.ndarray, counts: np.ndarray) -> dict:
         order = np.argsort(values, kind="stable")
         values, counts = values[order], counts[order]
         edges = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
         values, counts = values[edges], np.add.reduceat(counts, edges)
-        values, counts = values[counts > 0], counts[counts > 0]  # others are only asked for
-        # A count of c has floor(log2(c / least)) + 1 entries; only in a filter of fixed size the least count is above one.
-        power = np.floor(np.log2(counts)).astype(np.int64)
-        least = 0
-        if FILTER_BITS is None:
-            bits = max(1, int((power + 1).sum()) * BITS_FOR_ENTRY // 8) * 8
-        else:
-            bits = FILTER_BITS // SEGMENTS
-            while np.maximum(power - least + 1, 0).sum() * BITS_FOR_ENTRY > bits:
-                least += 1
-        levels = np.clip(power - least + 1, 0, LEVELS - 1)
+        # A count of c has floor(log2(c)) + 1 entries, one for each power of two up to it.
+        levels = np.minimum(np.floor(np.log2(counts)).astype(np.int64) + 1, LEVELS - 1)
+        bits = max(1, int(levels.sum()) * BITS_FOR_ENTRY // 8) * 8
         field = np.zeros(bits, np.uint8)
-        for level in range(1, int(levels.max(initial=0)) + 1):
+        for level in range(1, int(levels.max()) + 1):
             entered = values[levels >= level]
             for probe in range(PROBES):
                 field[_position(entered, level, probe, bits)] = 1
-        # Segments may differ in their least count, so statistics go by power of two; 0: not stored.
-        powers = np.where(levels > 0, np.minimum(power + 1, LEVELS - 1), 0)
-        stats = []
-        for odd in (0, 1):
-            own = (values & np.uint64(1)) == odd
-            stats += [np.bincount(powers[own], minlength=LEVELS), np.bincount(powers[own], counts[own], LEVELS).astype(np.int64)]
-        return {"segment": segment, "field": np.packbits(field).tobytes(), "least": least, "stats": np.concatenate(stats).tolist()}
+        own = (values & np.uint64(1)) == 0
+        stats = [np.bincount(levels[own], minlength=LEVELS), np.bincount(levels[own], counts[own], LEVELS).astype(np.int64)]
+        return {"segment": segment, "field": np.packbits(field).tobytes(), "stats": np.concatenate(stats).tolist()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts = None, []
 
         def out() -> pa.RecordBatch:
-            blocks, values, counts = zip(*parts, strict=True)
-            rows = [build(current, np.concatenate(values), np.concatenate(counts))]
-            asked = [k for k, b in enumerate(blocks) if b is not None]
-            if asked:
-                own = FrequencyFilter(*FrequencyFilter.arrays(rows))
-                found = own.levels(np.concatenate([values[k] for k in asked]), np.int64(0)).astype(np.uint8)
-                cuts = np.cumsum([len(values[k]) for k in asked])
-                rows += [{"segment": current, "block": blocks[k], "levels": x.tobytes()} for k, x in zip(asked, np.split(found, cuts[:-1]), strict=True)]
-            types = (pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary())
-            names = [f.split()[0] for f in FILTERED.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], t) for c, t in zip(names, types, strict=True)], names)
+            values, counts = zip(*parts, strict=True)
+            row = build(current, np.concatenate(values), np.concatenate(counts))
+            types = (pa.int32(), pa.binary(), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types, strict=True)], list(row))
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -222,7 +202,7 @@ def _segments(partial: DataFrame) -> DataFrame:
                 current = row["segment"]
                 counts = np.frombuffer(row["counts"], np.uint8).astype(np.int64)
                 counts[counts == 255] = np.frombuffer(row["large"], "<u4")
-                parts.append((row.get("block"), _joined(row["hashes"], "<u8"), counts))
+                parts.append((_joined(row["hashes"], "<u8"), counts))
         if parts:
             yield out()
 
@@ -230,37 +210,30 @@ def _segments(partial: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, FILTERED)
 
 
+def level_means(stats: np.ndarray) -> np.ndarray:
+    """What a level stands for among words: their mean count, from the sums of all segments' statistics."""
+    types, mass = stats.reshape(2, LEVELS)
+    return mass / np.maximum(types, 1)
+
+
 class FrequencyFilter:
-    """Segments, and what a level stands for: the mean count of the n-grams on it."""
-
-    def __init__(self, field: np.ndarray, base: np.ndarray, bits: np.ndarray, least: np.ndarray, single: np.ndarray, pair: np.ndarray):
-        self.field, self.base, self.bits, self.least, self.single, self.pair = field, base, bits, least, single, pair
-
-    @staticmethod
-    def means(stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Mean counts of words and of bigrams by level, from the sums of all segments' statistics."""
-        types, mass, types_2, mass_2 = stats.reshape(4, LEVELS).copy()
-        for own in (types, types_2):
-            own[0] += 1  # n-grams that a filter of fixed size does not store share their mass with one unseen n-gram
-        return mass / np.maximum(types, 1), mass_2 / np.maximum(types_2, 1)
-
-    @staticmethod
-    def arrays(rows: list) -> tuple[np.ndarray, ...]:
-        """The filter of these segments, in the order of their numbers."""
-        rows = sorted(rows, key=lambda r: r["segment"])
-        fields = [np.frombuffer(r["field"], np.uint8) for r in rows]
-        bits = np.array([8 * len(f) for f in fields], np.int64)
-        stats = np.sum([np.array(r["stats"], np.int64) for r in rows], axis=0)
-        return np.concatenate(fields), np.cumsum(bits) - bits, bits, np.array([r["least"] for r in rows], np.int64), *FrequencyFilter.means(stats)
-
-    def levels(self, values: np.ndarray, segment: np.ndarray | None = None) -> np.ndarray:
-        """Power of two of each n-gram's count, plus one; 0 where it is not stored.
+    """Some segments of the filter, from number ``first`` on, of ``segments`` in all."""
+
+    def __init__(self, rows: list, first: int, last: int, segments: int):
+        fields = {r["segment"]: np.frombuffer(r["field"], np.uint8) for r in rows}
+        # A segment without n-grams has eight bits, none of them set.
+        fields = [fields.get(k, np.zeros(1, np.uint8)) for k in range(first, last)]
+        self.bits = np.array([8 * len(f) for f in fields], np.int64)
+        self.base, self.field = np.cumsum(self.bits) - self.bits, np.concatenate(fields)
+        self.first, self.last, self.segments = first, last, segments
+
+    def levels(self, values: np.ndarray) -> np.ndarray:
+        """Power of two of each n-gram's count, plus one; 0 where it is not stored. All lie in these segments.
 
         Level after level is probed until one is missing; a probe that fails ends an n-gram's search.
-        ``segment`` is the place of the n-grams' segments in the filter; without it all segments are there.
         """
-        segment = np.broadcast_to(segment_of(values) if segment is None else segment, values.shape)
-        found, alive = np.zeros(len(values), np.int64), np.arange(len(values))
+        segment = segment_of(values, self.segments) - self.first
+        found, alive = np.zeros(len(values), np.uint8), np.arange(len(values))
         for level in range(1, LEVELS):
             for probe in range(PROBES):
                 own = segment[alive]
@@ -269,7 +242,12 @@ class FrequencyFilter:
             if not len(alive):
                 break
             found[alive] = level
-        return np.where(found > 0, np.minimum(found + self.least[segment], LEVELS - 1), 0)
+        return found
+
+    def share(self, values: np.ndarray) -> slice:
+        """Which of sorted n-grams lie in these segments."""
+        segment = segment_of(values, self.segments)
+        return slice(*np.searchsorted(segment, [self.first, self.last]))
 
 
 def _frequent(vocabulary: DataFrame) -> DataFrame:
@@ -294,30 +272,66 @@ SCORED = (
 )
 
 
-def _scores(blocks: DataFrame, answers: DataFrame, single: np.ndarray, pair: np.ndarray, texts: int, space: float) -> DataFrame:
-    """``uid`` and ``score`` of each text of the blocks, from the answers of all segments."""
+def _block_entries(block: dict) -> tuple[np.ndarray, ...]:
+    """Lengths of a block's texts, codes of its tokens, number of distinct words, and what ``entries`` finds."""
+    lengths, hashes, codes = _joined(block["lengths"], "<i8"), _joined(block["hashes"], "<u8"), _joined(block["codes"], "<i4")
+    return lengths, codes, len(hashes), *entries(hashes, codes, np.cumsum(lengths) - lengths)
+
+
+def _probed(blocks: DataFrame, model: FrequencyFilter) -> DataFrame:
+    """``block, part, levels``: what some segments, broadcast, answer to each block's n-grams of their hash range."""
+    shared = blocks.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in batch.to_pylist():
+                values = _block_entries(block)[3]
+                found = shared.value.levels(values[shared.value.share(values)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block["uid"]]), pa.array([shared.value.first], pa.int32()), pa.array([found.tobytes()], pa.binary())], ["block", "part", "levels"]
+                )
+
+    return blocks.select("uid", "lengths", "hashes", "codes").mapInArrow(run, "block long, part int, levels binary")
+
+
+def chances(own: np.ndarray, pair: np.ndarray, before: np.ndarray, single: np.ndarray, space: float) -> np.ndarray:
+    """Probability of tokens from the levels of their words and bigrams; ``before`` is the most that the word before may count.
+
+    The unigram estimates of all words and one unseen sum to 1, as a level
+    stands for the mean of its counts. A bigram counts as the least of its
+    level, so those of a context never exceed what the context counts. After an
+    unknown context the whole probability is the unigram's.
+    """
+    alone = (single[own] + ADDED) / space
+    least = np.where(pair > 0, np.exp2(pair.astype(np.float64) - 1), 0.0)
+    share = np.where(before > 0, BIGRAM_SHARE, 0.0)
+    return (1 - share) * alone + share * np.minimum(1.0, least / np.maximum(before, 1.0))
+
+
+def _scores(blocks: DataFrame, earlier: DataFrame, model: FrequencyFilter, single: np.ndarray, texts: int, space: float) -> DataFrame:
+    """``uid`` and ``score`` of each text, from the last segments, probed here, and the answers of those before."""
+    shared = blocks.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, parts = None, []
 
         def out() -> pa.RecordBatch:
-            lengths, hashes, codes = _joined(block["lengths"], "<i8"), _joined(block["hashes"], "<u8"), _joined(block["codes"], "<i4")
-            starts = np.cumsum(lengths) - lengths
-            place = entries(hashes, codes, starts)[1]
+            lengths, codes, words, values, place = _block_entries(block)
             # Segments are ranges of the sorted hashes, so their answers follow each other.
-            levels = np.frombuffer(b"".join(parts), np.uint8)
-            own = single[levels[place[: len(hashes)]]][codes]
-            both = pair[levels[place[len(hashes) :]]]
-            before = np.empty_like(own)
-            before[1:], before[starts] = own[:-1], texts
-            chance = (1 - BIGRAM_SHARE) * (own + ADDED) / space + BIGRAM_SHARE * np.minimum(1.0, both / np.maximum(before, 1.0))
+            last = shared.value.levels(values[shared.value.share(values)])
+            levels = np.concatenate([*(np.frombuffer(p, np.uint8) for p in parts), last])
+            starts = np.cumsum(lengths) - lengths
+            own, pair = levels[place[:words]][codes], levels[place[words:]]
+            before = np.empty(len(own))
+            before[1:], before[starts] = np.exp2(own[:-1].astype(np.float64)) - 1, texts
+            chance = chances(own, pair, before, single, space)
             return pa.RecordBatch.from_arrays(
                 [pa.array(block["block"] + np.arange(len(lengths))), pa.array(np.add.reduceat(np.log10(chance), starts))], ["uid", "score"]
             )
 
         for batch in batches:
             for row in batch.to_pylist():
-                if row["segment"] < 0:
+                if row["part"] < 0:
                     if block is not None:
                         yield out()
                     block, parts = row, []
@@ -326,10 +340,10 @@ def _scores(blocks: DataFrame, answers: DataFrame, single: np.ndarray, pair: np.
         if block is not None:
             yield out()
 
-    own = blocks.select(F.col("uid").alias("block"), F.lit(-1).alias("segment"), "lengths", "hashes", "codes", F.lit(None).cast("binary").alias("levels"))
+    own = blocks.select(F.col("uid").alias("block"), F.lit(-1).alias("part"), "lengths", "hashes", "codes", F.lit(None).cast("binary").alias("levels"))
     nothing = [F.lit(None).cast("binary").alias(c) for c in ("lengths", "hashes", "codes")]
-    both = own.unionByName(answers.select("block", "segment", *nothing, "levels"))
-    return both.repartition("block").sortWithinPartitions("block", "segment").mapInArrow(run, "uid long, score double")
+    both = own.unionByName(earlier.select("block", "part", *nothing, "levels"))
+    return both.repartition("block").sortWithinPartitions("block", "part").mapInArrow(run, "uid long, score double")
 
 
 def score_texts(docs: DataFrame, learn: Column | None = None, out: Column | None = None) -> DataFrame:
@@ -341,15 +355,17 @@ def score_texts(docs: DataFrame, learn: Column | None = None, out: Column | None
     ``BITS_FOR_ENTRY`` bits for each, so it grows with the corpus. What it holds
     is exact up to quantisation and the filter's false positives, at any size.
     A word's probability is an interpolated mean of its bigram and unigram
-    estimates; a level stands for the mean count of its n-grams, so estimates
-    keep the corpus's mass.
+    estimates, see ``chances``; over all words it sums to 1 at most, but for
+    the filter's false positives.
 
     Neither the driver nor a task sees the whole filter. Texts are cut into
-    blocks; one shuffle brings each block's distinct n-grams with their counts
-    to the segments of the filter, by hash range, which are built there and
-    answer the blocks. A second brings the answers back to the blocks. The
-    number of segments grows with the tokens, so that a task holds the n-grams
-    of one segment of bounded size.
+    blocks; a shuffle brings the n-grams of training texts with their counts to
+    the segments of the filter, by hash range, which are built there and
+    stored. The number of segments grows with the tokens, so that a task holds
+    the n-grams of one segment of bounded size. Scoring reads the stored
+    segments alone: groups of them, ``GROUP_BYTES`` large, are broadcast one
+    after another, and workers probe them with the n-grams of every text, in
+    one pass over the texts for each group.
 
     ``n_known`` and ``base_score`` are exact: counts of the most frequent
     words, 100,000 at most and of 40 bytes at most, go to all tasks (bounded);
@@ -430,12 +446,28 @@ def score_texts(docs: DataFrame, learn: Column | None = None, out: Column | None
     blocks = scored.where("codes IS NOT NULL")
     size = scored.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     folder = new_folder(spark, "filter")
-    _segments(_ngram_counts(blocks, max(SEGMENTS, -(-2 * size // SEGMENT_NGRAMS)))).write.option("compression", "zstd").parquet(folder)
+    segments = max(SEGMENTS, -(-2 * size // SEGMENT_NGRAMS))
+    _segments(_ngram_counts(blocks, segments)).write.option("compression", "zstd").parquet(folder)
     filtered = spark.read.schema(FILTERED).parquet(folder)
-    stats = np.zeros(4 * LEVELS, np.int64)
+    stats = np.zeros(2 * LEVELS, np.int64)
     for r in filtered.select(F.posexplode("stats").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n")).collect():
         stats[r["at"]] = r["n"]
-    scores = _scores(blocks, filtered.where("block IS NOT NULL"), *FrequencyFilter.means(stats), texts, space)
+    single = level_means(stats)
+    largest = filtered.agg(F.coalesce(F.max(F.octet_length("field")), F.lit(1))).first()[0]
+    group = max(1, GROUP_BYTES // largest)
+
+    def probes(first: int) -> FrequencyFilter:
+        # Bounded: segments of GROUP_BYTES together, or a single one.
+        last = min(first + group, segments)
+        return FrequencyFilter(filtered.where(F.col("segment").between(first, last - 1)).select("segment", "field").collect(), first, last, segments)
+
+    firsts = list(range(0, segments, group))
+    answers = new_folder(spark, "answers")
+    spark.createDataFrame([], "block long, part int, levels binary").write.parquet(answers)
+    for first in firsts[:-1]:
+        _probed(blocks, probes(first)).write.mode("append").option("compression", "zstd").parquet(answers)
+    earlier = spark.read.schema("block long, part int, levels binary").parquet(answers)
+    scores = _scores(blocks, earlier, probes(firsts[-1]), single, texts, space)
     counts = vocabulary.select(F.concat("word", F.lit(b"")).alias("__word"), "c")
     rest = (
         scored.where("word IS NOT NULL").select("uid", "word").join(counts, F.col("word") == F.col("__word"), "left")
