@@ -74,3 +74,51 @@ def test_digests_and_redaction_over_odd_rows(spark):
     assert masked[3, None].text is None
     assert pii.redact(docs).columns == docs.columns and pii.redact(docs).count() == docs.count()
     assert pii.pii_digests(pii.find_pii(no_docs(spark))).count() == 0 and pii.redact(no_docs(spark)).count() == 0
+
+
+def test_many_spans_take_linear_time():
+    import time
+
+    text = "a@b.co ssn 123-45-6789 " * 20_000
+    start = time.perf_counter()
+    assert len(pii.find_spans(text)) == 40_000
+    assert time.perf_counter() - start < 20
+
+
+def test_added_spans_never_overlap_base_ones():
+    rng = random.Random(11)
+    parts = ["call 212-555-0188", "+1 212-555-0188", "4539 1488 0343 6467", "ssn 123-45-6789", "1.2.3.4", "iban de89370400440532013000", " ", "-", "@b.co", "5"]
+    for _ in range(3000):
+        spans = pii.find_spans("".join(rng.choice(parts) for _ in range(rng.randrange(8))))
+        taken = [s for s in spans if s[0] in pii.BASE_KINDS]
+        for kind, a, b, score in spans:
+            assert 0 < score <= 1
+            if kind in pii.ADDED_KINDS:
+                assert score >= pii.THRESHOLD and not any(a < d and c < b for _, c, d, _ in taken)
+
+
+def test_context_words_count_whole():
+    def kinds(text):
+        return [s[0] for s in pii.find_spans(text)]
+
+    for word, found in (("tel", ["local_phone"]), ("hotel", []), ("cell", ["local_phone"]), ("excell", [])):
+        for gap in range(30, 45):
+            near = gap + len(word) <= pii.NEARBY
+            assert kinds(f"{word}{' ' * gap}212 555 0188") == (found if near else []), (word, gap)
+            assert kinds(f"212 555 0188{' ' * gap}{word} x") == (found if near else []), (word, gap)
+    assert kinds("call 112 555 0188") == [] and kinds("call 212 155 0188") == []
+
+
+def test_ibans_in_small_letters_need_context():
+    def found(text):
+        return [text[a:b] for k, a, b, _ in pii.find_spans(text) if k == "iban"]
+
+    assert found("konto de89370400440532013000 oder") == ["de89370400440532013000"]
+    assert found("wort de89370400440532013000 oder") == [] and found("konto de88370400440532013000") == []
+    assert found("IBAN DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32") == ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]
+
+
+def test_scores_are_returned(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.co or ssn 123-45-6789"), (2, None)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.pii_digests(pii.find_pii(docs)).collect()}
+    assert rows[1].spans == "email:5:11,ssn:19:30" and rows[1].scores == "1.0,0.7" and rows[2].scores == ""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,6 +32,8 @@ CONTEXT = {
 # A checksum or a narrow form is enough alone; weaker forms need a context word.
 PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.9, "phone": 0.8, "iban": 0.9, "ssn": 0.4, "local_phone": 0.4}
 BONUS = 0.3
+# An account number in small letters needs a context word as well as its checksum.
+SMALL_LETTERS = 0.5
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -37,12 +41,13 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _WORD = re.compile(r"\w+")
+_WORD_CHARACTER = re.compile(r"\w")
 
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 _SPAN_TYPE = pa.list_(pa.struct([
@@ -93,17 +98,19 @@ def _is_phone(value: str) -> bool:
 
 
 def _ibans(text: str) -> list[tuple[int, int]]:
-    """Trailing groups go until the checksum holds, as a name in capitals may follow."""
-    found = []
-    for match in _IBAN.finditer(text):
-        value = match[0]
+    """Trailing groups go until the checksum holds, as other words may follow; the search goes on behind the last kept."""
+    found, match = [], _IBAN.search(text)
+    while match:
+        value, at = match[0], match.start() + 4
         while len(value.replace(" ", "")) >= 15:
             if mod97(value.replace(" ", "")):
-                found.append((match.start(), match.start() + len(value)))
+                at = match.start() + len(value)
+                found.append((match.start(), at))
                 break
             if " " not in value:
                 break
             value = value.rpartition(" ")[0]
+        match = _IBAN.search(text, at)
     return found
 
 
@@ -112,10 +119,26 @@ def _is_ssn(value: str) -> bool:
     return area not in ("000", "666") and area < "900" and group != "00" and serial != "0000"
 
 
+def _is_local_phone(value: str) -> bool:
+    """Area and exchange of a ten-digit number never begin with 0 or 1."""
+    digits = _NOT_DIGIT.sub("", value)
+    return digits[0] > "1" and digits[3] > "1"
+
+
+def _inside_word(text: str, at: int) -> bool:
+    return 0 < at < len(text) and _WORD_CHARACTER.match(text, at - 1) is not None and _WORD_CHARACTER.match(text, at) is not None
+
+
 def _score(kind: str, text: str, start: int, end: int) -> float:
-    near = text[max(0, start - NEARBY) : start] + " " + text[end : end + NEARBY]
-    close = CONTEXT[kind].intersection(_WORD.findall(near.lower()))
-    return min(1.0, PRIOR[kind] + (BONUS if close else 0.0))
+    """Prior of the kind, and a bonus for a context word that stands whole within ``NEARBY`` characters."""
+    left, right = max(0, start - NEARBY), min(len(text), end + NEARBY)
+    while left < start and _inside_word(text, left):
+        left += 1
+    while right > end and _inside_word(text, right):
+        right -= 1
+    close = CONTEXT[kind].intersection(_WORD.findall((text[left:start] + " " + text[end:right]).lower()))
+    prior = PRIOR[kind] - (SMALL_LETTERS if kind == "iban" and not text[start:end].isupper() else 0.0)
+    return round(min(1.0, prior + (BONUS if close else 0.0)), 2)
 
 
 def find_spans(text: str) -> list[tuple[str, int, int, float]]:
@@ -124,7 +147,7 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
     if _DIGIT.search(text):
         for kind, pattern, valid in (
             ("ip", _IP, _is_ip), ("card", _CARD, _is_card), ("phone", _PHONE, _is_phone),
-            ("ssn", _SSN, _is_ssn), ("local_phone", _LOCAL_PHONE, lambda value: True),
+            ("ssn", _SSN, _is_ssn), ("local_phone", _LOCAL_PHONE, _is_local_phone),
         ):
             by_kind[kind] = [m.span() for m in pattern.finditer(text) if valid(m[0])]
         by_kind["iban"] = _ibans(text)
@@ -132,10 +155,14 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
     for kind in BASE_KINDS:
         found += [(kind, a, b, _score(kind, text, a, b)) for a, b in by_kind.get(kind, ())]
     taken = sorted((a, b) for _, a, b, _ in found)
+    starts = [a for a, _ in taken]
+    # The furthest end of the base spans so far: one that starts before b reaches beyond a, or none does.
+    reach = list(accumulate((b for _, b in taken), max))
     for kind in ADDED_KINDS:
         for a, b in by_kind.get(kind, ()):
             score = _score(kind, text, a, b)
-            if score >= THRESHOLD and not any(a < d and c < b for c, d in taken):
+            before = bisect_left(starts, b)
+            if score >= THRESHOLD and not (before and reach[before - 1] > a):
                 found.append((kind, a, b, score))
     return found
 
@@ -202,7 +229,7 @@ def span_text(spans: Column) -> Column:
 
 
 def pii_digests(found: DataFrame) -> DataFrame:
-    """Counts of base spans, the hash of their list, and all spans as text."""
+    """Counts of base spans, the hash of their list, all spans as text, and their scores in the same order."""
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
 
     def count(kind: str) -> Column:
@@ -211,4 +238,5 @@ def pii_digests(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", *map(count, BASE_KINDS),
         F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
     )
