@@ -91,3 +91,13 @@ def test_all_of_a_text_without_blanks_counts(spark):
 def test_swaps_reach_terms_between_marks():
     assert toxicity.swapped({"women/lawyers", "met"}, False) == {"men/lawyers", "met"}
     assert toxicity.swapped({"(women/men)", "met"}, True) == {"met"}
+
+
+def test_equal_texts_with_both_labels_count_as_toxic(spark):
+    rows = [(k, f"{prose(k % 40, 20)}", "en", "t", 1, None, None) for k in range(200)]
+    labels = [(k, 1, int(k < 60), None) for k in range(200)]
+    docs, known = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS)
+    found = [sorted(map(tuple, toxicity._sample(docs.repartition(n), known).select("text", "toxic").collect())) for n in (1, 7, 13)]
+    assert found[0] == found[1] == found[2]
+    train = {k for k in range(200) if __import__("zlib").crc32(str(k).encode()) % 3 != 1}
+    assert {t: y for t, y in found[0]} == {prose(j, 20): int(any(k < 60 for k in train if k % 40 == j)) for j in {k % 40 for k in train}}

@@ -100,7 +100,7 @@ def swapped(words: set[str], leave_out: bool) -> set[str] | None:
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """At most ``MOST_TOXIC`` and ``MOST_CLEAN`` different labelled texts."""
+    """Different labelled texts of at most ``MOST_TOXIC`` and ``MOST_CLEAN`` ids."""
     known = (
         labels.where(F.col("toxic").isin(0, 1) & in_training(F.col("doc_id")))
         .groupBy(F.col("doc_id").cast("long").alias("__doc")).agg(F.max("toxic").alias("toxic"))
@@ -113,7 +113,8 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # The ids are few by the two bounds, so they may go to all tasks.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     rows = rows.join(F.broadcast(ids.select("__doc", "toxic")), F.col("doc_id") == F.col("__doc"))
-    return rows.select("toxic", "text").dropDuplicates(["text"])
+    # Equal texts count once, as toxic if any of them is.
+    return rows.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
 def _vocabulary(sample: DataFrame) -> list[str]:
@@ -249,7 +250,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     their parts between marks, and beginnings of both only; all of a long run
     without blanks is read. Null and empty texts get the score of the bias.
     Labels with null or other values, or null ids, are left out; an id labelled
-    both ways counts as toxic. Equal texts count once in training. A row with a
+    both ways counts as toxic, and so does a text that several rows share. Equal
+    texts count once in training. A row with a
     null id is scored and not held out. Other columns are not read. An empty
     table gives an empty result; without labels of both kinds every score is
     that of a bias of -2.
