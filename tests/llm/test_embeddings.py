@@ -91,3 +91,11 @@ def test_pruning_loses_no_pair():
         found |= {(i, j) for i in a for j in b}
     close = {(i, j) for i in left for j in right if np.sqrt(((units[i] - units[j]) ** 2).sum()) <= 0.2}
     assert close <= found and len(found) < 180 * 220
+
+
+def test_extreme_components(spark):
+    rows = [(1, "a", [1e-200, 2e-200]), (2, "a", [1e-200, 2e-200]), (3, "b", [1e200, 1e200]), (4, "b", [1e300, 1e300]), (5, "c", [5e-324, 0.0]),
+            (6, "c", [1.0, 0.0]), (7, "c", [0.0, 1.0]), (8, "d", [0.0, 0.0]), (9, "d", [float("inf"), 1.0]), (10, "d", [float("nan"), 1.0]), (11, "d", [None, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df).collect()}
+    assert found == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (1, 5), 6: (1, 5), 7: (0, 7), 8: (0, 8), 9: (0, 9), 10: (0, 10), 11: (0, 11)}

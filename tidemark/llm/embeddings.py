@@ -127,7 +127,11 @@ def near_vectors(
     of their own; each row of the least id is kept. Other columns are not
     read. An empty table gives an empty result.
     """
-    values = F.transform(F.col(vector), lambda x: x.cast("double"))
+    given = F.transform(F.col(vector), lambda x: x.cast("double"))
+    # Scaled by a power of two, which changes no cosine, so that squares neither overflow nor vanish.
+    largest = F.array_max(F.transform(given, F.abs))
+    exponent = F.greatest(F.lit(-1022.0), F.least(F.lit(1022.0), -F.floor(F.log2(largest)).cast("double")))
+    values = F.when((largest > 0) & (largest < float("inf")), F.transform(given, lambda x: x * F.pow(F.lit(2.0), exponent)))
     # A finite sum of squares leaves out NaN, infinities and zero vectors; a null component makes it null.
     square = F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x)
     fine = F.col(label).isNotNull() & (square > 0) & (square < float("inf"))
