@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,3 +51,16 @@ def by_batch(
                 yield from found.to_batches()
 
     return df.mapInArrow(each, schema)
+
+
+ROW = "__row"
+
+
+def as_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, so that no name of theirs can meet a name used on the way."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW)
+
+
+def row_columns(names: Iterable[str]) -> list[Column]:
+    """The columns that :func:`as_row` packed."""
+    return [F.col(ROW).getField(n).alias(n) for n in names]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import SPACE_CHARACTERS, held, whole_text
+from tidemark.llm.frames import ROW, SPACE_CHARACTERS, as_row, held, row_columns, whole_text
 from tidemark.operators.joins import lookup_join
 
 WEIGHTS = (3, 1, 2)
@@ -161,12 +161,12 @@ def mix(docs: DataFrame, quality: Column | None = None) -> DataFrame:
         "__none": F.col("doc_id").isNull(), "__id": F.coalesce("doc_id", F.lit(0)),
     })
     decided = decided.withColumn("__copy", F.row_number().over(Window.partitionBy(*key).orderBy("__cell", "__place")))
-    marked = docs.withColumns({
-        "__none": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
-        "__tie": F.xxhash64(whole_text()),
-        "__source": F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"), F.coalesce("source", F.lit(""))),
-    })
+    marked = docs.select(
+        as_row(docs), F.col("doc_id").isNull().alias("__none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__id"),
+        F.xxhash64(whole_text()).alias("__tie"),
+        F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"), F.coalesce("source", F.lit(""))).alias("__source"),
+    )
     marked = marked.withColumn("__copy", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
     decided = decided.where("times > 0").select(*key, "__copy", F.col("times").cast("int").alias("__times"))
     taken = marked.join(decided, [*key, "__copy"])
-    return taken.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("__times"))).alias("__turn")).select(*docs.columns)
+    return taken.select(ROW, F.explode(F.array_repeat(F.lit(0), F.col("__times")))).select(*row_columns(docs.columns))

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import SPACE, SPACE_CHARACTERS, held, whole_text
+from tidemark.llm.frames import SPACE, SPACE_CHARACTERS, as_row, held, row_columns, whole_text
 from tidemark.sources.scratch import new_folder
 
 SYMBOLS = "#*$%&|<>"
@@ -240,6 +240,6 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``assess`` keeps; texts are measured once and written with their statistics."""
     folder = new_folder(docs.sparkSession, "measured")
-    measured(docs).write.parquet(folder)
+    measured(docs.select(as_row(docs), F.col("doc_id"), F.col("text"))).drop("text").write.parquet(folder)
     rows = docs.sparkSession.read.parquet(folder)
-    return rows.where(~base_failed() & verdict(train(rows, labels))).select(*docs.columns)
+    return rows.where(~base_failed() & verdict(train(rows, labels))).select(*row_columns(docs.columns))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components, fresh
-from tidemark.llm.frames import by_batch, held, whole_text
+from tidemark.llm.frames import as_row, by_batch, held, row_columns, whole_text
 
 SHINGLE = 4
 RADIUS = 4
@@ -213,9 +213,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     kept = best.select(
         F.col("x.none").alias("__k_none"), F.coalesce("x.doc_id", F.lit(0)).alias("__k_id"), F.col("x.tie").alias("__k_tie")
     )
-    marked = docs.withColumns({
-        "__none": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
-        "__tie": F.xxhash64(whole_text()),
-    })
+    marked = docs.select(
+        as_row(docs), F.col("doc_id").isNull().alias("__none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__id"),
+        F.xxhash64(whole_text()).alias("__tie"),
+    )
     same = (F.col("__none") == F.col("__k_none")) & (F.col("__id") == F.col("__k_id")) & (F.col("__tie") == F.col("__k_tie"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["__none", "__id", "__tie"]).select(*docs.columns)
+    return marked.join(kept, same, "left_semi").dropDuplicates(["__none", "__id", "__tie"]).select(*row_columns(docs.columns))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.encoding import encoder, tokenizer_digest
-from tidemark.llm.frames import whole_text
+from tidemark.llm.frames import ROW, as_row, row_columns, whole_text
 
 KEY = "__content"
 OVER = 1024
@@ -65,22 +65,20 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, text: str = "text"
     """
     spark = docs.sparkSession
     version = f"{cache.rstrip('/')}/tokenizer={tokenizer_digest(tokenizer)}"
-    digested = docs.withColumn(KEY, F.sha2(whole_text(text), 256))
+    digested = docs.select(as_row(docs), whole_text(text).alias("__text"), F.sha2(whole_text(text), 256).alias(KEY))
 
     def cached() -> DataFrame:
         # Two writers may have appended the same content.
         return spark.read.schema(CACHE).parquet(version).groupBy("content").agg(F.max("n_tokens").alias("__count"))
 
     spark.createDataFrame([], CACHE).write.mode("append").parquet(version)
-    contents = _first_in_task(digested.select(KEY, whole_text(text).alias("__text")))
+    contents = _first_in_task(digested.select(KEY, "__text"))
     missing = contents.join(cached().withColumnRenamed("content", KEY), KEY, "left_anti")
     # Where the cache is small the join above needs no shuffle, so deal by digest here in any case.
     _counted(missing.repartition(F.col(KEY)), tokenizer).write.mode("append").parquet(version)
     # The key is derived anew so that the join gets an exchange on both sides and AQE can split a hot content.
     counts = cached().select(F.concat("content", F.lit("")).alias("__digest"), "__count")
-    return (
-        digested.withColumn("n_bytes", F.octet_length(whole_text(text)).cast("long"))
-        .join(counts, F.col(KEY) == F.col("__digest"), "left")
-        .withColumn("n_tokens", F.col("__count"))
-        .drop(KEY, "__digest", "__count")
+    measured = digested.select(ROW, KEY, F.octet_length("__text").cast("long").alias("n_bytes"))
+    return measured.join(counts, F.col(KEY) == F.col("__digest"), "left").select(
+        *row_columns(c for c in docs.columns if c not in ("n_bytes", "n_tokens")), "n_bytes", F.col("__count").alias("n_tokens")
     )
