@@ -122,3 +122,10 @@ def test_scores_are_returned(spark):
     docs = spark.createDataFrame([(1, "mail a@b.co or ssn 123-45-6789"), (2, None)], "doc_id long, text string")
     rows = {r.doc_id: r for r in pii.pii_digests(pii.find_pii(docs)).collect()}
     assert rows[1].spans == "email:5:11,ssn:19:30" and rows[1].scores == "1.0,0.7" and rows[2].scores == ""
+
+
+def test_secrets_need_a_context_word():
+    key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    found = lambda text: [(k, text[a:b]) for k, a, b, _ in pii.find_spans(text) if k == "secret"]
+    assert found(f'token = "{key}" x') == [("secret", key)] and found(f"commit {key}") == [] and found(f"token {key}z") == []
+    assert found("key " + "1" * 40) == [] and found(f"API_KEY={key.upper()}") == [("secret", key.upper())]

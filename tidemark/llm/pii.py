@@ -14,7 +14,7 @@ from tidemark.llm.frames import by_batch, whole_text
 
 # Fixed by the contract of the query, in its order.
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("iban", "ssn", "local_phone")
+ADDED_KINDS = ("iban", "ssn", "local_phone", "secret")
 KINDS = BASE_KINDS + ADDED_KINDS
 
 THRESHOLD = 0.6
@@ -27,10 +27,11 @@ CONTEXT = {
     "phone": {"phone", "tel", "call", "mobile", "fax", "telefon", "téléphone", "teléfono"},
     "iban": {"iban", "account", "bank", "konto", "compte", "cuenta"},
     "ssn": {"ssn", "social", "security"},
+    "secret": {"token", "key", "apikey", "api_key", "secret", "password", "passwd", "bearer", "credential"},
     "local_phone": {"phone", "tel", "call", "mobile", "cell", "fax", "telefon", "téléphone", "teléfono"},
 }
 # A checksum or a narrow form is enough alone; weaker forms need a context word.
-PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.9, "phone": 0.8, "iban": 0.9, "ssn": 0.4, "local_phone": 0.4}
+PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.9, "phone": 0.8, "iban": 0.9, "ssn": 0.4, "local_phone": 0.4, "secret": 0.4}
 BONUS = 0.3
 # An account number in small letters needs a context word as well as its checksum.
 SMALL_LETTERS = 0.5
@@ -44,6 +45,8 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])")
+# Keys as they are issued: long runs of hexadecimal digits, letters among them.
+_SECRET = re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _WORD = re.compile(r"\w+")
@@ -148,6 +151,7 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
         for kind, pattern, valid in (
             ("ip", _IP, _is_ip), ("card", _CARD, _is_card), ("phone", _PHONE, _is_phone),
             ("ssn", _SSN, _is_ssn), ("local_phone", _LOCAL_PHONE, _is_local_phone),
+            ("secret", _SECRET, lambda value: not value.isdigit()),
         ):
             by_kind[kind] = [m.span() for m in pattern.finditer(text) if valid(m[0])]
         by_kind["iban"] = _ibans(text)
@@ -229,7 +233,7 @@ def span_text(spans: Column) -> Column:
 
 
 def pii_digests(found: DataFrame) -> DataFrame:
-    """Counts of base spans, the hash of their list, all spans as text, and their scores in the same order."""
+    """Counts of base spans, the hash of their list, all spans as text, their scores in the same order, and their number."""
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
 
     def count(kind: str) -> Column:
@@ -239,4 +243,5 @@ def pii_digests(found: DataFrame) -> DataFrame:
         "doc_id", *map(count, BASE_KINDS),
         F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
         F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
