@@ -6,13 +6,16 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_point
+from tidemark.workload import QUERIES as registered
+from tidemark.workload import runnable
 
 FOLDER = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+# The queries that may have been removed have tests of their own.
+QUERIES = {name: runnable(q.build) for name, q in registered.items()}
+SQL = {name: sql for name, sql in entry_point.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -35,4 +38,5 @@ def test_entry_has_rows(spark):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+    assert set(registered) <= set(entry_point.queries())

@@ -134,7 +134,7 @@ def test_risk_rules_and_score(spark):
         + returned("roams", 1, region_name="C") + returned(None, 1)
     )
     facts = spark.createDataFrame(rows, RETURN_DDL)
-    profile = return_risk.profiles(return_risk.typed_returns(facts))
+    profile = return_risk.profiles(facts)
     people = spark.createDataFrame([("heavy", "H", "East", "Consumer"), ("heavy", "H", "West", "Consumer")],
                                    "customer_id string, customer_name string, region string, segment string")
     scores = return_risk.scored(return_risk.with_customers(profile, people))
@@ -160,7 +160,7 @@ def test_scores_stay_in_range_and_do_not_depend_on_partitions(spark):
     seen = set()
     for parts in ("2", "8"):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
-        scores = return_risk.scored(return_risk.profiles(return_risk.typed_returns(facts.repartition(int(parts)))))
+        scores = return_risk.scored(return_risk.profiles(facts.repartition(int(parts))))
         seen.add(tuple(sorted(map(str, scores.collect()))))
         assert scores.filter("anomaly_score NOT BETWEEN 0 AND 100").count() == 0
     spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -147,7 +147,7 @@ class Lakehouse:
         return self._replace("dq_audit_report", report)
 
     def report_risk(self, model: Model | None = None) -> DataFrame:
-        profile = return_risk.profiles(return_risk.typed_returns(self.table("fact_returns")))
+        profile = return_risk.profiles(self.table("fact_returns"))
         scores = return_risk.scored(return_risk.with_customers(profile, self.table("dim_customer")))
         return self._replace("flagged_return_customers", return_risk.flagged_customers(scores, model))
 

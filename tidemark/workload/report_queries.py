@@ -189,7 +189,7 @@ _RISK_NEEDS = ("fact_returns", "customers")
 
 def profiles(t: Tables) -> DataFrame:
     facts = gold.returns(t)
-    profile = return_risk.profiles(return_risk.typed_returns(facts))
+    profile = return_risk.profiles(facts)
     return return_risk.with_customers(profile, star.dim_customer(inputs.tidy_customers(t)))
 
 

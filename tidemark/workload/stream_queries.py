@@ -257,7 +257,7 @@ def lakehouse_monthly_revenue(t: Tables) -> DataFrame:
         star.fact_sales, rows, orders, customers, f"{root}/fact_sales", f"{root}/cp-fact"
     ).awaitTermination()
     sales = t.spark.read.parquet(f"{root}/fact_sales")
-    days = F.broadcast(star.dim_date(t.spark).select("date_key", "year", "month_num"))
+    days = star.dim_date(t.spark).select("date_key", "year", "month_num")
     return (
         sales.filter("date_key IS NOT NULL AND region_name IS NOT NULL")
         .join(days, "date_key")
