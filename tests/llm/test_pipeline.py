@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from test_mixing import size, targets
 from test_pii import plain as plain_spans
-from test_quality import plain as plain_counts
+from test_quality_rules import plain as plain_counts
 from test_simhash import plain_fingerprint, plain_groups
 from tokenizers import Tokenizer
 
