@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ CHUNK = 4 << 20
 NUMBERS = 1_000_000
 BATCH = 20_000
 
-# A byte that no text holds stands for the end of a piece.
-_END = b"\xff"
+# A mark that no word holds stands for the end of a piece.
+_END = b"."
 _ENDS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _END * 10)
 _RUNS = "kind int, lang string, phrase binary, n long"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -115,12 +116,13 @@ class HatTrie:
 
 
 class _Numbers(dict):
-    """Word ids of a task, given as words come; 0 is the end of a piece."""
+    """Word ids of a task, given as words come; 0 is the end of a piece, as is an empty word."""
 
     def __init__(self):
         self.words: list[bytes] = []
         self.hashes: list[int] = []
         self[_END]
+        self[b""] = 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.words)
@@ -158,14 +160,20 @@ def _hashed(phrases: DataFrame, size: int) -> DataFrame:
     return phrases.select("lang", F.col("phrase").cast("binary")).mapInArrow(run, "h long")
 
 
-def tokens(texts: list[bytes]) -> Iterator[list[bytes]]:
-    """Words of whole texts, A-Z lower-cased, with a mark where a piece ends; ``CHUNK`` bytes or so at a time."""
+def tokens(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Different words of whole texts, A-Z lower-cased, and the place of each token's word among them.
+
+    A mark, or an empty word, stands where a piece ends. About ``CHUNK`` bytes
+    are taken at a time; they are cut where a piece ends.
+    """
     whole = _END.join(texts).lower().translate(_ENDS)
     at = 0
     while at < len(whole):
         end = whole.find(_END, at + CHUNK)
         end = len(whole) if end < 0 else end
-        yield whole[at:end].replace(_END, b" " + _END + b" ").split()
+        part = pa.array([whole[at:end].replace(_END, b" " + _END + b" ")], pa.binary()).view(pa.string())
+        found = pc.ascii_split_whitespace(part).flatten().dictionary_encode()
+        yield found.dictionary.view(pa.binary()).to_pylist(), found.indices.to_numpy()
         at = end
 
 
@@ -176,21 +184,18 @@ def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
     yield from texts.items()
 
 
-def _batches(kind: int, rows: Iterator[tuple[str, bytes, int | None]]) -> Iterator[pa.RecordBatch]:
-    ready: list[tuple[str, bytes, int | None]] = []
+def _rows(kind: int, lang: str, phrases: pa.Array, counts: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows of one kind and language, ``BATCH`` at a time."""
+    size = len(phrases)
+    counts = pa.nulls(size, pa.int64()) if counts is None else counts
+    columns = [pa.array(np.full(size, kind, np.int32)), pa.array([lang] * size, pa.string()), phrases, counts]
+    yield from pa.Table.from_arrays(columns, ["kind", "lang", "phrase", "n"]).to_batches(BATCH)
 
-    def batch() -> pa.RecordBatch:
-        langs, texts, counts = zip(*ready, strict=True)
-        arrays = [pa.array([kind] * len(ready), pa.int32()), pa.array(langs, pa.string()), pa.array(texts, pa.binary()), pa.array(counts, pa.int64())]
-        return pa.RecordBatch.from_arrays(arrays, ["kind", "lang", "phrase", "n"])
 
-    for row in rows:
-        ready.append(row)
-        if len(ready) == BATCH:
-            yield batch()
-            ready = []
-    if ready:
-        yield batch()
+def _run(lang: str, phrases: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A sorted run of phrases and their counts."""
+    order = pc.sort_indices(phrases)
+    yield from _rows(1, lang, phrases.take(order), pa.array(counts).take(order))
 
 
 def _word_runs(texts: DataFrame) -> DataFrame:
@@ -200,13 +205,16 @@ def _word_runs(texts: DataFrame) -> DataFrame:
         counts: dict[str, Counter[bytes]] = defaultdict(Counter)
 
         def handed() -> Iterator[pa.RecordBatch]:
-            yield from _batches(1, ((lang, word, n) for lang, own in counts.items() for word, n in sorted(own.items()) if word != _END))
+            for lang, own in counts.items():
+                for no_word in (_END, b""):
+                    own.pop(no_word, None)
+                yield from _run(lang, pa.array(list(own), pa.binary()), np.fromiter(own.values(), np.int64, len(own)))
             counts.clear()
 
         for batch in batches:
             for lang, own in _by_lang(batch):
-                for words in tokens(own):
-                    counts[lang].update(words)
+                for words, places in tokens(own):
+                    counts[lang].update(dict(zip(words, np.bincount(places, minlength=len(words)).tolist(), strict=True)))
                     if sum(map(len, counts.values())) >= MEMORY:
                         yield from handed()
         yield from handed()
@@ -239,14 +247,17 @@ def _phrase_runs(texts: DataFrame, size: int, table: np.ndarray) -> DataFrame:
             if sum(map(len, tries.values())) <= most:
                 return
             for lang, trie in tries.items():
-                keep = len(trie) // 2 if most else 0
-                named = sorted((b" ".join([numbers.words[k] for k in phrase]), n) for phrase, n in trie.spill(keep))
-                yield from _batches(1, ((lang, phrase, n) for phrase, n in named))
+                run = list(trie.spill(len(trie) // 2 if most else 0))
+                if run:
+                    ids, counts = np.array([p for p, _ in run]), np.array([n for _, n in run])
+                    named = pa.array(numbers.words, pa.binary())
+                    parts = [named.take(pa.array(column)) for column in ids.T]
+                    yield from _run(lang, pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())), counts)
 
         for batch in batches:
             for lang, own in _by_lang(batch):
-                for words in tokens(own):
-                    ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+                for words, places in tokens(own):
+                    ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))[places]
                     hashes = np.concatenate([hashes, np.array(numbers.hashes[len(hashes) :], np.uint64)])
                     # A part may be frequent if the table knows it and no end of a piece lies in it.
                     part = may_hold(shared.value, phrase_hashes(lang, hashes[ids], size - 1))
@@ -257,7 +268,7 @@ def _phrase_runs(texts: DataFrame, size: int, table: np.ndarray) -> DataFrame:
                         continue
                     columns, counts = distinct_phrases(ids, at, size)
                     tries[lang].add_sorted(zip(*(c.tolist() for c in columns), strict=True), counts.tolist())
-                    yield from _batches(0, _stretches(lang, words, at, size))
+                    yield from _rows(0, lang, pa.array([stretches(pa.array(words, pa.binary()), places, at, size)], pa.binary()))
                     yield from spilled(MEMORY)
                     if len(numbers) >= NUMBERS:
                         yield from spilled(0)
@@ -267,15 +278,17 @@ def _phrase_runs(texts: DataFrame, size: int, table: np.ndarray) -> DataFrame:
     return texts.mapInArrow(run, _RUNS)
 
 
-def _stretches(lang: str, words: list[bytes], at: np.ndarray, size: int) -> Iterator[tuple[str, bytes, None]]:
+def stretches(words: pa.Array, tokens: np.ndarray, at: np.ndarray, size: int) -> bytes:
     """The words of the phrases that start at ``at``, with line ends where words between them are left out."""
-    covered = np.zeros(len(words), bool)
+    covered = np.zeros(len(tokens), bool)
     for k in range(size):
         covered[at + k] = True
     places = np.flatnonzero(covered)
     # Words that follow each other in the text stay neighbours; marks are never covered.
-    glue = np.where(np.diff(places, prepend=places[0]) > 1, "\n", " ").tolist()
-    yield lang, b"".join([g.encode() + words[p] for g, p in zip(glue, places.tolist(), strict=True)]), None
+    glue = pa.array([b" ", b"\n"], pa.binary()).take(pa.array((np.diff(places, prepend=places[0]) > 1).astype(np.int32)))
+    joined = pc.binary_join_element_wise(glue, words.take(pa.array(tokens[places])), pa.scalar(b"", pa.binary()))
+    # The values of an array lie one behind the other.
+    return joined.buffers()[2].to_pybytes()[: np.frombuffer(joined.buffers()[1], np.int32)[len(places)]]
 
 
 def _stored(df: DataFrame, purpose: str) -> DataFrame:
