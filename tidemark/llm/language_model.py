@@ -21,7 +21,7 @@ ADDED = 0.1
 SEGMENTS = 256
 SEGMENT_NGRAMS = 1 << 20
 # Segments go to the workers in groups of about so many bytes, one pass over the texts for each group.
-GROUP_BYTES = 64 << 20
+GROUP_BYTES = 96 << 20
 PROBES = 4
 BITS_FOR_ENTRY = 8
 # Share of the bigram estimate in a word's probability.
@@ -68,10 +68,14 @@ def bigrams(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return _mixed(hashes + before * _AGAIN + np.uint64(1))
 
 
+def ngrams(hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each distinct word and of each token's bigram; the lowest bit tells the order, so both are counted together."""
+    return _mixed(hashes) & ~np.uint64(1), bigrams(hashes[codes], starts) | np.uint64(1)
+
+
 def entries(hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct n-grams of a block, and the place of each distinct word and then of each token's bigram."""
-    # The lowest bit tells the order, so both orders are counted together.
-    return np.unique(np.concatenate([_mixed(hashes) & ~np.uint64(1), bigrams(hashes[codes], starts) | np.uint64(1)]), return_inverse=True)
+    return np.unique(np.concatenate(ngrams(hashes, codes, starts)), return_inverse=True)
 
 
 def segment_of(values: np.ndarray, segments: int | None = None) -> np.ndarray:
@@ -130,13 +134,15 @@ def _ngram_counts(blocks: DataFrame, segments: int) -> DataFrame:
         for batch in batches:
             for block in batch.to_pylist():
                 lengths, hashes, codes = _joined(block["lengths"], "<i8"), _joined(block["hashes"], "<u8"), _joined(block["codes"], "<i4")
-                values, place = entries(hashes, codes, np.cumsum(lengths) - lengths)
-                learned = np.repeat(np.frombuffer(block["learned"], np.uint8), lengths)
-                own = np.concatenate([np.bincount(codes, learned, len(hashes)), learned])
-                counts = np.bincount(place, own, len(values)).astype(np.int64)
-                values, counts = values[counts > 0], counts[counts > 0]
-                if not len(values):
+                learned = np.repeat(np.frombuffer(block["learned"], np.uint8), lengths) > 0
+                if not learned.any():
                     continue
+                own = np.bincount(codes[learned], minlength=len(hashes))
+                words, pairs = ngrams(hashes, codes, np.cumsum(lengths) - lengths)
+                pairs, both = np.unique(pairs[learned], return_counts=True)
+                values, counts = np.concatenate([words[own > 0], pairs]), np.concatenate([own[own > 0], both])
+                order = np.argsort(values)
+                values, counts = values[order], counts[order]
                 segment = segment_of(values, segments)
                 edges = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1], True])
                 small = np.minimum(counts, 255).astype(np.uint8)
@@ -272,10 +278,9 @@ SCORED = (
 )
 
 
-def _block_entries(block: dict) -> tuple[np.ndarray, ...]:
-    """Lengths of a block's texts, codes of its tokens, number of distinct words, and what ``entries`` finds."""
-    lengths, hashes, codes = _joined(block["lengths"], "<i8"), _joined(block["hashes"], "<u8"), _joined(block["codes"], "<i4")
-    return lengths, codes, len(hashes), *entries(hashes, codes, np.cumsum(lengths) - lengths)
+def _numbers(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths of a block's texts, hashes of its distinct words, and the word of each token."""
+    return _joined(block["lengths"], "<i8"), _joined(block["hashes"], "<u8"), _joined(block["codes"], "<i4")
 
 
 def _probed(blocks: DataFrame, model: FrequencyFilter) -> DataFrame:
@@ -285,7 +290,8 @@ def _probed(blocks: DataFrame, model: FrequencyFilter) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in batch.to_pylist():
-                values = _block_entries(block)[3]
+                lengths, hashes, codes = _numbers(block)
+                values = np.unique(np.concatenate(ngrams(hashes, codes, np.cumsum(lengths) - lengths)))
                 found = shared.value.levels(values[shared.value.share(values)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block["uid"]]), pa.array([shared.value.first], pa.int32()), pa.array([found.tobytes()], pa.binary())], ["block", "part", "levels"]
@@ -316,11 +322,12 @@ def _scores(blocks: DataFrame, earlier: DataFrame, model: FrequencyFilter, singl
         block, parts = None, []
 
         def out() -> pa.RecordBatch:
-            lengths, codes, words, values, place = _block_entries(block)
+            lengths, hashes, codes = _numbers(block)
+            starts, words = np.cumsum(lengths) - lengths, len(hashes)
+            values, place = entries(hashes, codes, starts)
             # Segments are ranges of the sorted hashes, so their answers follow each other.
             last = shared.value.levels(values[shared.value.share(values)])
             levels = np.concatenate([*(np.frombuffer(p, np.uint8) for p in parts), last])
-            starts = np.cumsum(lengths) - lengths
             own, pair = levels[place[:words]][codes], levels[place[words:]]
             before = np.empty(len(own))
             before[1:], before[starts] = np.exp2(own[:-1].astype(np.float64)) - 1, texts
@@ -454,7 +461,8 @@ def score_texts(docs: DataFrame, learn: Column | None = None, out: Column | None
         stats[r["at"]] = r["n"]
     single = level_means(stats)
     largest = filtered.agg(F.coalesce(F.max(F.octet_length("field")), F.lit(1))).first()[0]
-    group = max(1, GROUP_BYTES // largest)
+    passes = -(-segments // max(1, GROUP_BYTES // largest))
+    group = -(-segments // passes)
 
     def probes(first: int) -> FrequencyFilter:
         # Bounded: segments of GROUP_BYTES together, or a single one.
