@@ -276,6 +276,9 @@ def _clean(t: Tables, entity: str) -> DataFrame:
 
 # --- increments -----------------------------------------------------------------
 
+# The model is small; a bucket of a large table has to fit a task.
+BUCKETS = 4
+
 
 def _old_copies(orders: DataFrame) -> DataFrame:
     """The same orders as they were a day before, with another status, ship mode and vendor."""
@@ -290,8 +293,8 @@ def _old_copies(orders: DataFrame) -> DataFrame:
 
 def _kept(t: Tables, root: str) -> tuple[KeptTable, KeptTable]:
     """Look-ups after two increments: odd orders have an older copy in the first, even ones in the second."""
-    orders = facts.kept_orders(t.spark, f"{root}/orders", e.ORDERS, 16)
-    customers = facts.kept_customers(t.spark, f"{root}/customers", e.CUSTOMERS, 16)
+    orders = facts.kept_orders(t.spark, f"{root}/orders", e.ORDERS, BUCKETS)
+    customers = facts.kept_customers(t.spark, f"{root}/customers", e.CUSTOMERS, BUCKETS)
     good = inputs.tidy_orders(t)
     odd = F.col("order_id").cast("long") % 2 == 1
     customers.upsert(inputs.tidy_customers(t), 0)
@@ -345,7 +348,7 @@ def fact_returns_increments(t: Tables) -> DataFrame:
 def _kept_marts(t: Tables, sales: bool, returns: bool) -> deltas.KeptMarts:
     """Marts that took in all facts in two batches each, cut across orders, customers and vendors."""
     root = new_folder(t.spark, "kept-marts")
-    kept = deltas.KeptMarts(t.spark, root, 16)
+    kept = deltas.KeptMarts(t.spark, root, BUCKETS)
     if sales:
         days, people = star.dim_date(t.spark), gold.customers(t)
         _in_two(
