@@ -77,7 +77,9 @@ def test_spills_bursts_and_full_tables_change_no_count(spark, monkeypatch):
     plain = plain_counts([(r.lang, r.text) for r in docs.collect()], 5)
     assert whole[0] == sorted((g, " ".join(p), n, len(p)) for g, f in plain.items() for p, n in f.items() if n >= 10)
     assert counts(bits=7) == whole
-    for name, value in (("BURST", 4), ("MEMORY", 30), ("CHUNK", 50), ("NUMBERS", 20), ("BATCH", 7)):
+    monkeypatch.setattr(collocations, "PAIR_BITS", 17)
+    assert counts() == whole
+    for name, value in (("BURST", 4), ("MEMORY", 30), ("CHUNK", 50), ("GATHER", 300), ("NUMBERS", 20), ("BATCH", 7)):
         monkeypatch.setattr(collocations, name, value)
     assert counts() == whole
 
@@ -151,6 +153,23 @@ def test_tokens_of_texts_cut_into_chunks(monkeypatch):
     assert listed([]) == [] and [w for p in listed([b"", b"..", b" "]) for w in p] == []
 
 
+def test_pair_tables_miss_no_frequent_pair(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "PAIR_BITS", 18)
+    docs = corpus(spark, 9).repartition(5)
+    texts = docs.selectExpr("coalesce(lang, 'und') lang", "cast(text as binary) phrase")
+    for least in (10, 300):
+        table = collocations._pair_table(texts, np.full(1 << 23, 255, np.uint8), least)
+        plain = plain_counts([(r.lang, r.text) for r in docs.collect()], 2)
+        known = {}
+        for lang, own in plain.items():
+            for p, n in own.items():
+                if len(p) == 2:
+                    words = np.array([collocations.xxhash.xxh64_intdigest(w.encode(), 42) for w in p], np.uint64)
+                    known[lang, p] = n, bool(collocations.may_hold(table, collocations.phrase_hashes(lang, words, 2))[0])
+        assert all(held for n, held in known.values() if n >= least)
+        assert sum(held for n, held in known.values() if n < least) < 0.05 * len(known)
+
+
 def test_distinct_phrases():
     rng = np.random.default_rng(1)
     ids = rng.integers(0, 3, 400)

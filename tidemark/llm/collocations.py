@@ -27,8 +27,12 @@ COVER = 100
 # Entries of a bucket before it bursts, and of a task's tries before they spill.
 BURST = 4096
 MEMORY = 800_000
-# Bytes of text that a task numbers at once; longer texts are cut where a piece ends.
-CHUNK = 4 << 20
+# Bytes of text that a task numbers at once, and that it gathers by language first; longer texts are cut where a piece ends.
+CHUNK = 8 << 20
+GATHER = 16 << 20
+# Pairs are first counted by hash in a table of a fixed size: 2**24 numbers of a byte in a task, 2 MB of bits for all.
+PAIR_BITS = 24
+BLOCK_BITS = 16
 # Words that a task numbers before it hands all on and starts anew.
 NUMBERS = 1_000_000
 BATCH = 20_000
@@ -177,10 +181,17 @@ def tokens(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
         at = end
 
 
-def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """Texts of one language together, ``GATHER`` bytes of all languages at a time."""
     texts: dict[str, list[bytes]] = defaultdict(list)
-    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-        texts[lang].append(text)
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            texts[lang].append(text)
+            size += len(text)
+            if size >= GATHER:
+                yield from texts.items()
+                texts, size = defaultdict(list), 0
     yield from texts.items()
 
 
@@ -211,12 +222,11 @@ def _word_runs(texts: DataFrame) -> DataFrame:
                 yield from _run(lang, pa.array(list(own), pa.binary()), np.fromiter(own.values(), np.int64, len(own)))
             counts.clear()
 
-        for batch in batches:
-            for lang, own in _by_lang(batch):
-                for words, places in tokens(own):
-                    counts[lang].update(dict(zip(words, np.bincount(places, minlength=len(words)).tolist(), strict=True)))
-                    if sum(map(len, counts.values())) >= MEMORY:
-                        yield from handed()
+        for lang, own in _by_lang(batches):
+            for words, places in tokens(own):
+                counts[lang].update(dict(zip(words, np.bincount(places, minlength=len(words)).tolist(), strict=True)))
+                if sum(map(len, counts.values())) >= MEMORY:
+                    yield from handed()
         yield from handed()
 
     return texts.mapInArrow(run, _RUNS)
@@ -231,48 +241,111 @@ def distinct_phrases(ids: np.ndarray, at: np.ndarray, size: int) -> tuple[list[n
     return [ids[at[first] + k] for k in range(size)], counts
 
 
-def _phrase_runs(texts: DataFrame, size: int, table: np.ndarray) -> DataFrame:
+class _Places:
+    """Where phrases of ``size`` words may start: both parts of one word fewer may be frequent, and no piece ends within."""
+
+    def __init__(self, size: int, table: np.ndarray):
+        self.size, self.table = size, table
+        self.numbers, self.hashes = _Numbers(), np.empty(0, np.uint64)
+
+    def find(self, lang: str, words: list[bytes], places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all tokens, the hashes of their words, and the starts."""
+        ids = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))[places]
+        self.hashes = np.concatenate([self.hashes, np.array(self.numbers.hashes[len(self.hashes) :], np.uint64)])
+        hashes = self.hashes[ids]
+        part = may_hold(self.table, phrase_hashes(lang, hashes, self.size - 1))
+        for k in range(self.size - 1):
+            part &= ids[k : k + len(part)] != 0
+        return ids, hashes, np.flatnonzero(part[:-1] & part[1:])
+
+
+def _pair_table(texts: DataFrame, table: np.ndarray, least: int) -> np.ndarray:
+    """Bits of the pair hashes that occur ``least`` times; several pairs may share a bit, so none that is frequent is missed.
+
+    Each task counts in a table of its own, up to ``least`` at most, and sends
+    it block by block; a task sums each block.
+    """
+    spark = texts.sparkSession
+    shared, kind, size = spark.sparkContext.broadcast(table), np.uint8 if least < 256 else np.uint32, 1 << BLOCK_BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, seen = _Places(2, shared.value), np.zeros(1 << PAIR_BITS, kind)
+        for lang, own in _by_lang(batches):
+            for words, places in tokens(own):
+                _, hashes, at = found.find(lang, words, places)
+                place, n = np.unique(phrase_hashes(lang, hashes, 2)[at] >> np.uint64(64 - PAIR_BITS), return_counts=True)
+                seen[place] = np.minimum(seen[place] + n, least)
+                if len(found.numbers) >= NUMBERS:
+                    found = _Places(2, shared.value)
+        for block, part in enumerate(seen.reshape(-1, size)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "seen"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, seen = None, np.zeros(size, np.int64)
+
+        def bits() -> pa.RecordBatch:
+            packed = np.packbits(seen >= least, bitorder="little")
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([packed.tobytes()], pa.binary())], ["block", "seen"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["block"] != block:
+                    if block is not None:
+                        yield bits()
+                    block, seen = row["block"], np.zeros(size, np.int64)
+                seen += np.frombuffer(row["seen"], kind)
+        if block is not None:
+            yield bits()
+
+    schema = "block int, seen binary"
+    summed = texts.mapInArrow(run, schema).repartition("block").sortWithinPartitions("block").mapInArrow(total, schema)
+    # Bounded: 2**PAIR_BITS bits.
+    out = np.zeros((1 << (PAIR_BITS - BLOCK_BITS), size // 8), np.uint8)
+    for row in summed.collect():
+        out[row["block"]] = np.frombuffer(row["seen"], np.uint8)
+    return out.ravel()
+
+
+def _phrase_runs(texts: DataFrame, size: int, table: np.ndarray, whole: np.ndarray | None = None) -> DataFrame:
     """Counts of the phrases of ``size`` words whose two parts of one word fewer may be frequent.
 
+    ``whole`` is a bit table of the phrases themselves, where there is one.
     Rows of kind 1 are phrases in sorted runs, rows of kind 0 the stretches of
     text that can hold longer ones.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(table)
+    shared = texts.sparkSession.sparkContext.broadcast((table, whole))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, hashes = _Numbers(), np.empty(0, np.uint64)
+        table, whole = shared.value
+        found = _Places(size, table)
         tries: dict[str, HatTrie] = defaultdict(HatTrie)
 
         def spilled(most: int) -> Iterator[pa.RecordBatch]:
             if sum(map(len, tries.values())) <= most:
                 return
+            named = pa.array(found.numbers.words, pa.binary())
             for lang, trie in tries.items():
                 run = list(trie.spill(len(trie) // 2 if most else 0))
                 if run:
                     ids, counts = np.array([p for p, _ in run]), np.array([n for _, n in run])
-                    named = pa.array(numbers.words, pa.binary())
                     parts = [named.take(pa.array(column)) for column in ids.T]
                     yield from _run(lang, pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())), counts)
 
-        for batch in batches:
-            for lang, own in _by_lang(batch):
-                for words, places in tokens(own):
-                    ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))[places]
-                    hashes = np.concatenate([hashes, np.array(numbers.hashes[len(hashes) :], np.uint64)])
-                    # A part may be frequent if the table knows it and no end of a piece lies in it.
-                    part = may_hold(shared.value, phrase_hashes(lang, hashes[ids], size - 1))
-                    for k in range(size - 1):
-                        part &= ids[k : k + len(part)] != 0
-                    at = np.flatnonzero(part[:-1] & part[1:])
-                    if not len(at):
-                        continue
-                    columns, counts = distinct_phrases(ids, at, size)
-                    tries[lang].add_sorted(zip(*(c.tolist() for c in columns), strict=True), counts.tolist())
-                    yield from _rows(0, lang, pa.array([stretches(pa.array(words, pa.binary()), places, at, size)], pa.binary()))
-                    yield from spilled(MEMORY)
-                    if len(numbers) >= NUMBERS:
-                        yield from spilled(0)
-                        numbers, hashes = _Numbers(), np.empty(0, np.uint64)
+        for lang, own in _by_lang(batches):
+            for words, places in tokens(own):
+                ids, hashes, at = found.find(lang, words, places)
+                if whole is not None:
+                    at = at[may_hold(whole, phrase_hashes(lang, hashes, size)[at])]
+                if not len(at):
+                    continue
+                columns, counts = distinct_phrases(ids, at, size)
+                tries[lang].add_sorted(zip(*(c.tolist() for c in columns), strict=True), counts.tolist())
+                yield from _rows(0, lang, pa.array([stretches(pa.array(words, pa.binary()), places, at, size)], pa.binary()))
+                yield from spilled(MEMORY)
+                if len(found.numbers) >= NUMBERS:
+                    yield from spilled(0)
+                    found = _Places(size, table)
         yield from spilled(0)
 
     return texts.mapInArrow(run, _RUNS)
@@ -313,6 +386,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, b
     Sizes are counted in turn. A phrase can be frequent only if both its parts
     of one word fewer are, so each pass reads only the stretches of text that
     the last one left, and counts what a bit table of the last size lets pass.
+    Pairs, of which there are most, are counted by hash before: what stays
+    below ``least`` there is in no trie and no run.
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), whole_text().cast("binary").alias("phrase"))
     words = _stored(_merged(_stored(_word_runs(texts), "word-runs")), "words")
@@ -320,7 +395,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, b
     found = [_stored(words.where(F.col("n") >= least), "phrases-1")]
     for size in range(2, longest + 1):
         table = bit_table(_hashed(found[-1], size - 1), "h", bits)
-        runs = _stored(_phrase_runs(texts, size, table), "phrase-runs")
+        pairs = _pair_table(texts, table, least) if size == 2 else None
+        runs = _stored(_phrase_runs(texts, size, table, pairs), "phrase-runs")
         found.append(_stored(_merged(runs).where(F.col("n") >= least), f"phrases-{size}"))
         texts = runs.where("kind = 0").select("lang", "phrase")
     whole = found[0].withColumn("size", F.lit(1))
