@@ -239,6 +239,22 @@ def test_an_increment_does_not_read_earlier_facts(spark, tmp_path):
     assert {r.vendor_id: r.orders for r in groups.read().collect()} == {"v0": 7, "v1": 7, "v2": 6}
 
 
+def test_new_pairs_are_written_beside_the_old_ones(spark, tmp_path):
+    groups = deltas.KeptGroups(spark, str(tmp_path), deltas.vendor_sold_groups(), 2)
+    schema = "vendor_id string, order_id string, sales_amount double"
+    for n in range(20):
+        before = set(groups.seen.read().inputFiles())
+        rows = [("v1", f"o{i}", 1.0) for i in range(n * 5, n * 5 + 10)] + [(None, "o1", 1.0)]
+        groups.add(spark.createDataFrame(rows, schema), n)
+        after = groups.seen.read()
+        if n < 10:
+            assert before <= set(after.inputFiles())
+        assert after.count() == 5 * n + 11
+    # A bucket does not lie in ever more folders.
+    assert all(len(found) <= 17 for found in groups.seen._places().values())
+    assert {r.vendor_id: (float(r.revenue), r.orders) for r in groups.read().collect()} == {"v1": (200.0, 105), None: (20.0, 1)}
+
+
 # --- refresh and order ------------------------------------------------------------------------
 
 

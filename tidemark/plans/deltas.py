@@ -2,15 +2,16 @@
 
 Sums, counts and maxima of two batches add up. Distinct orders do not, so a
 second table keeps the orders of each group, and only those that it does not
-hold yet count. Both tables are kept by key buckets: a batch reads and rewrites
-the buckets of its own groups and orders, and never the facts before it.
+hold yet count. Both tables are kept by key buckets: a batch rewrites the
+buckets of its own groups, reads those of its orders and writes the new orders
+beside them, and never reads the facts before it. Measures are summed straight
+into their groups; only the pairs of group and order are shuffled one by one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,11 @@ from tidemark.sources.scratch import new_folder, remove
 
 EXACT = "decimal(38,6)"
 FRESH = "orders"
+# Columns of the facts that the marts take in.
+SALES_COLUMNS = (
+    "order_id", "customer_id", "vendor_id", "product_id", "region_name", "date_key", "sales_amount", "quantity", "profit", "discount",
+)
+RETURNS_COLUMNS = ("order_id", "customer_id", "vendor_id", "refund_amount", "days_to_return", "is_approved", "return_date")
 
 
 @dataclass(frozen=True)
@@ -54,10 +60,6 @@ class Groups:
         return [*self.keys, *self.sums, *self.maxima, *([FRESH] if self.once else [])]
 
 
-def _same(left: str, right: str, keys: list[str]) -> Column:
-    return reduce(Column.__and__, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
-
-
 @dataclass
 class KeptGroups:
     """The stored sums and counts of :class:`Groups` under ``root``."""
@@ -72,34 +74,44 @@ class KeptGroups:
         self.totals = KeptTable(
             self.spark, f"{self.root}/totals", g._schema(g.columns()), tuple(keys), lambda rows: g._totals(rows, keys), self.buckets
         )
-        self.seen = None
+        self.seen = self.pairs = None
         if g.once:
             pair = (*keys, g.once)
-            self.seen = KeptTable(self.spark, f"{self.root}/seen", g._schema(list(pair)), pair, lambda rows: rows.distinct(), self.buckets)
+            self.seen = self.pairs = KeptTable(self.spark, f"{self.root}/seen", g._schema(list(pair)), pair, None, self.buckets)
+
+    def holds(self, batch: int) -> bool:
+        """Whether the batch has been taken in."""
+        return self.totals.holds(batch) and (self.seen is None or self.seen.holds(batch))
 
     def add(self, facts: DataFrame, batch: int) -> None:
-        """Take in the facts of a batch; a repeated batch changes nothing."""
+        """Take in the facts of a batch, which are read more than once; a repeated batch changes nothing."""
+        if self.holds(batch):
+            return
         g, keys = self.groups, list(self.groups.keys)
-        if self.totals.holds(batch) and (self.seen is None or self.seen.holds(batch)):
+        measures = [how.cast(kind).alias(n) for n, (kind, how) in {**g.sums, **g.maxima}.items()]
+        rows = facts.select(*keys, *measures)
+        if self.pairs is None:
+            self.totals.upsert(g._totals(rows, keys), batch)
             return
-        grain = [*keys, *([g.once] if g.once else [])]
-        measures = {n: how.cast(kind) for n, (kind, how) in {**g.sums, **g.maxima}.items()}
-        # One pass over the new facts; what follows reads their sums.
-        folder = new_folder(self.spark, "delta")
-        g._totals(facts.select(*grain, *[m.alias(n) for n, m in measures.items()]), grain).write.parquet(folder)
-        partial = self.spark.read.parquet(folder)
-        delta = partial
-        if self.seen is not None:
-            pairs = partial.select(*grain)
-            known = self.seen.matching(pairs).withColumn("__known", F.lit(True))
-            joined = partial.alias("n").join(known.alias("k"), _same("n", "k", grain), "left")
-            delta = joined.select("n.*", (F.col("__known").isNull() & F.col(f"n.{g.once}").isNotNull()).cast("long").alias(FRESH))
+        folder = new_folder(self.spark, "fresh")
+        fresh = self.pairs.write(self._fresh(facts), folder)
+        counted = fresh.select(*keys, F.lit(1).cast("long").alias(FRESH))
+        both = rows.withColumn(FRESH, F.lit(0).cast("long")).unionByName(counted, allowMissingColumns=True)
         # The totals go first: until the pairs are stored as well, a repeated batch finds them as they were.
-        self.totals.upsert(g._totals(delta, keys), batch)
-        if self.seen is not None:
-            self.seen.upsert(partial.select(*grain).where(F.col(g.once).isNotNull()), batch)
+        # Their merge adds up the facts themselves, beside the old sums.
+        self.totals.upsert(both, batch, folder)
+        self.seen.upsert(fresh, batch, folder)
         remove(self.spark, folder)
 
+    def _fresh(self, facts: DataFrame) -> DataFrame:
+        """The pairs of group and order that are not stored yet, each once."""
+        grain = [*self.groups.keys, self.groups.once]
+        typed = [F.col(n).cast(self.groups.keys.get(n, "string")).alias(n) for n in grain]
+        pairs = facts.where(F.col(self.groups.once).isNotNull()).select(*typed)
+        known = self.seen.matching(pairs).select(*grain, F.lit(True).alias("__known"))
+        both = pairs.withColumn("__known", F.lit(False)).unionByName(known)
+        return both.groupBy(*grain).agg(F.max("__known").alias("__known")).where(~F.col("__known")).select(*grain)
+
     def read(self) -> DataFrame:
         return self.totals.read()
 
@@ -167,6 +179,8 @@ class KeptMarts:
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark = spark
+
         def kept(name: str, groups: Groups) -> KeptGroups:
             return KeptGroups(spark, f"{root}/{name}", groups, buckets)
 
@@ -179,11 +193,18 @@ class KeptMarts:
     def add_sales(self, facts: DataFrame, dim_date: DataFrame, customers: DataFrame, batch: int) -> None:
         """Take in new sales; ``customers`` has one row for each id of theirs, more do not matter."""
         placed = facts.filter("date_key IS NOT NULL AND region_name IS NOT NULL")
-        dated = placed.join(dim_date.select("date_key", "full_date", "year", "month_num", "month_name", "quarter"), "date_key")
-        homes = customers.select("customer_id", "country")
-        self.months.add(lookup_join(dated, homes, "customer_id", "inner").select("e.*", "o.country"), batch)
+        days = dim_date.select("date_key", "full_date", "year", "month_num", "month_name", "quarter")
+        if not self.months.holds(batch):
+            # The join to the customers is made once; what follows reads its rows. Days are added behind its shuffle.
+            homes, folder = customers.select("customer_id", "country"), new_folder(self.spark, "placed")
+            measures = ("order_id", "sales_amount", "quantity", "profit", "discount")
+            sold = placed.select("customer_id", "date_key", "region_name", *measures)
+            at_home = lookup_join(sold, homes, "customer_id", "inner").select("e.*", "o.country")
+            at_home.drop("customer_id").write.option("compression", "zstd").parquet(folder)
+            self.months.add(self.spark.read.parquet(folder).join(days, "date_key"), batch)
+            remove(self.spark, folder)
         self.sold.add(facts, batch)
-        self.products.add(dated, batch)
+        self.products.add(placed.join(days, "date_key"), batch)
 
     def add_returns(self, facts: DataFrame, batch: int) -> None:
         self.customers.add(facts.filter("customer_id IS NOT NULL"), batch)

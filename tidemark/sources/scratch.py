@@ -58,6 +58,15 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Give a folder that this library wrote another place in the same store."""
+    files, place = _store(spark, path)
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    files.mkdirs(to.getParent())
+    if not files.rename(place, to):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"

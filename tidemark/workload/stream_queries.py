@@ -22,7 +22,7 @@ from tidemark.plans import entities as e
 from tidemark.plans import silver as silver_plans
 from tidemark.plans import star
 from tidemark.sources.kept import KeptTable
-from tidemark.sources.scratch import new_folder
+from tidemark.sources.scratch import exists, move, new_folder
 from tidemark.streaming import bronze, facts, silver
 from tidemark.workload import gold_queries as gold
 from tidemark.workload import inputs
@@ -303,13 +303,29 @@ def _kept(t: Tables, root: str) -> tuple[KeptTable, KeptTable]:
     return orders, customers
 
 
+_LATER = "__later"
+
+
 def _in_two(rows: DataFrame, second: Column, root: str, run: Callable[[DataFrame], StreamingQuery]) -> None:
-    """Stream ``rows`` in two runs, those for which ``second`` holds later; a third run finds nothing new."""
-    source = f"{root}/in"
-    for part in (rows.where(~second), rows.where(second)):
-        part.write.mode("append").parquet(source)
-        run(rows.sparkSession.readStream.schema(rows.schema).parquet(source)).awaitTermination()
-    run(rows.sparkSession.readStream.schema(rows.schema).parquet(source)).awaitTermination()
+    """Stream ``rows`` in two runs, those for which ``second`` holds later; a third run finds nothing new.
+
+    ``rows`` are computed and written once, as two folders; each is moved to the source when its run comes.
+    """
+    spark, source, staged = rows.sparkSession, f"{root}/in", f"{root}/parts"
+    rows.withColumn(_LATER, second).write.partitionBy(_LATER).option("compression", "zstd").parquet(staged)
+
+    def stream() -> None:
+        # The parts are plain folders in the source, not partitions.
+        read = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true")
+        run(read.parquet(source)).awaitTermination()
+
+    for part in ("false", "true"):
+        if exists(spark, f"{staged}/{_LATER}={part}"):
+            move(spark, f"{staged}/{_LATER}={part}", f"{source}/{part}")
+        else:
+            spark.createDataFrame([], rows.schema).write.parquet(f"{source}/{part}")
+        stream()
+    stream()
 
 
 def _sales_in_increments(t: Tables) -> str:
@@ -352,12 +368,12 @@ def _kept_marts(t: Tables, sales: bool, returns: bool) -> deltas.KeptMarts:
     if sales:
         days, people = star.dim_date(t.spark), gold.customers(t)
         _in_two(
-            t.stored("fact_sales", gold.all_sales), F.coalesce(F.col("quantity") % 2 == 1, F.lit(False)), f"{root}/sales",
+            gold.all_sales(t).select(*deltas.SALES_COLUMNS), F.coalesce(F.col("quantity") % 2 == 1, F.lit(False)), f"{root}/sales",
             lambda stream: deltas.follow(stream, lambda new, n: kept.add_sales(new, days, people, n), f"{root}/sales/cp"),
         )
     if returns:
         _in_two(
-            t.stored("fact_returns", gold.returns), F.coalesce(F.col("days_to_return") % 2 == 1, F.lit(False)), f"{root}/returns",
+            gold.returns(t).select(*deltas.RETURNS_COLUMNS), F.coalesce(F.col("days_to_return") % 2 == 1, F.lit(False)), f"{root}/returns",
             lambda stream: deltas.follow(stream, kept.add_returns, f"{root}/returns/cp"),
         )
     return kept
