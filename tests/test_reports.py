@@ -134,3 +134,21 @@ def test_record_hash_sees_every_column_but_the_stamps(spark):
     df = spark.createDataFrame(rows, [*names, "_load_timestamp", "list"])
     hashes = [r[0] for r in df.select(quality_report.row_hash(df)).collect()]
     assert len(set(hashes)) == 3 and hashes[0] == hashes[3]
+
+
+def test_weights_shuffle_texts_and_not_their_words(spark):
+    import math
+
+    from tidemark.plans import term_search
+
+    rows = [(1, "red red fish"), (1, "Blue"), (2, "one fish"), (3, None), (None, "red"), (4, "one blue one")]
+    docs = spark.createDataFrame(rows, "k int, t string")
+    weights, _ = term_search.document_weights(docs, "k", "t")
+    found = {(r.k, r.term): float(r.weight) for r in weights.collect()}
+    counts = {1: {"red": 2, "fish": 1, "blue": 1}, 2: {"one": 1, "fish": 1}, None: {"red": 1}, 4: {"one": 2, "blue": 1}}
+    idf = {term: math.log(len(rows) / sum(term in c for c in counts.values())) for c in counts.values() for term in c}
+    raw = {(k, term): (1 + math.log(n)) * idf[term] for k, c in counts.items() if k for term, n in c.items()}
+    length = {k: math.sqrt(sum(w * w for (j, _), w in raw.items() if j == k)) for k in counts}
+    assert found == {(k, term): round(w / length[k], 9) for (k, term), w in raw.items()}
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in plan and ", term#" not in "".join(x for x in plan.split("\n") if "Exchange hashpartitioning(k" in x)

@@ -8,7 +8,7 @@ can be checked.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import lookup_join
@@ -21,9 +21,16 @@ WEIGHT = "decimal(10,9)"
 
 
 def term_counts(df: DataFrame, key: str, column: str) -> DataFrame:
-    """``key, term, tf``: how often each text holds each word, without case. Rows of a key count as one text."""
+    """``key, term, tf``: how often each text holds each word, without case. Rows of a key count as one text.
+
+    Texts are dealt by key before they are split, as a text is much shorter
+    than its rows of words. What is grouped by key behind this stays in place.
+    """
     words = F.explode(F.split(F.lower(F.col(column)), BETWEEN_WORDS))
-    return df.select(key, words.alias("term")).where("term <> ''").groupBy(key, "term").agg(F.count("*").alias("tf"))
+    # As many parts as a shuffle has: merged to the size of the texts they would be too large for the words.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.select(key, column).repartition(parts, F.col(key))
+    return dealt.select(key, words.alias("term")).where("term <> ''").groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def rarity(counts: DataFrame, key: str, documents: DataFrame) -> DataFrame:
@@ -36,10 +43,11 @@ def rarity(counts: DataFrame, key: str, documents: DataFrame) -> DataFrame:
 
 def term_weights(counts: DataFrame, key: str, idf: DataFrame) -> DataFrame:
     """``key, term, weight``: unit vectors over the terms that ``idf`` knows."""
-    raw = lookup_join(counts, idf, "term", "inner").select(f"e.{key}", "e.term", ((1 + F.log("e.tf")) * F.col("o.idf")).alias("__raw"))
-    length = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("__raw") * F.col("__raw"))).alias("__length")).withColumnRenamed(key, "__key")
-    joined = raw.join(length, F.col(key) == F.col("__key"))
-    return joined.select(key, "term", F.round(F.col("__raw") / F.col("__length"), 9).cast(WEIGHT).alias("weight"))
+    known = counts.where(F.col(key).isNotNull())
+    raw = lookup_join(known, idf, "term", "inner").select(f"e.{key}", "e.term", ((1 + F.log("e.tf")) * F.col("o.idf")).alias("__raw"))
+    # A window, not a join to the lengths, so that the rows are made and dealt by key once.
+    length = F.sqrt(F.sum(F.col("__raw") * F.col("__raw")).over(Window.partitionBy(key)))
+    return raw.select(key, "term", F.round(F.col("__raw") / length, 9).cast(WEIGHT).alias("weight"))
 
 
 def document_weights(documents: DataFrame, key: str, column: str) -> tuple[DataFrame, DataFrame]:
