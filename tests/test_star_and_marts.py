@@ -165,3 +165,29 @@ def test_scores_stay_in_range_and_do_not_depend_on_partitions(spark):
         assert scores.filter("anomaly_score NOT BETWEEN 0 AND 100").count() == 0
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert len(seen) == 1
+
+
+def test_marts_of_stored_sales_count_orders_apart_from_sums(spark):
+    rows = [
+        ("o1", "c1", 20180101, "East", "v1", "p1", 1.5, 1), ("o1", "c1", 20180101, "East", "v1", "p1", 2.0, 3),
+        ("o2", "c1", 20180103, "East", "v1", "p1", None, None), (None, None, 20180104, "West", None, "p1", 4.0, 2),
+        ("o3", "c2", None, None, "v2", "p2", 1 / 3, 1), (None, None, None, None, "v3", "p2", 9.0, 1),
+    ]
+    sales = spark.createDataFrame(
+        rows, "order_id string, customer_id string, date_key int, region_name string, vendor_id string, product_id string, sales_amount double, quantity int")
+    returns = spark.createDataFrame([("o1", "v1", 1.0, 3)], "order_id string, vendor_id string, refund_amount double, days_to_return int")
+    vendors = spark.createDataFrame([(f"v{i}", f"V{i}") for i in range(5)], "vendor_id string, vendor_name string")
+    products = spark.createDataFrame([("p1", "n", "a", "b", "c")], "product_id string, product_name string, category string, sub_category string, brand string")
+    regions = spark.createDataFrame([("East", "US"), ("West", "US")], "region_name string, country string")
+    days, today = star.dim_date(spark, "2018-01-01", "2018-12-31"), F.lit("2018-06-01").cast("date")
+
+    def both(build):
+        once, twice = (sorted(map(tuple, build(stored).collect()), key=repr) for stored in (False, True))
+        assert once == twice and once
+        return build(True)
+
+    both(lambda stored: marts.vendor_return_rate(sales, returns, vendors, stored))
+    slow = both(lambda stored: marts.slow_moving_products(sales, days, products, regions, today, stored=stored))
+    # No sums are shuffled for a pair of group and order.
+    plan = slow._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert not [x for x in plan if "Aggregate(keys=[product_id" in x and "order_id" in x and "sum(" in x]

@@ -139,13 +139,31 @@ def customer_history_of(per_customer: DataFrame, customers: DataFrame) -> DataFr
     return names.join(measures, "customer_id")
 
 
+def _with_orders(rows: DataFrame, keys: list[str], measures: list[Column], stored: bool) -> DataFrame:
+    """Groups with their measures and ``orders``, the number of distinct orders.
+
+    One pass over the rows shuffles the sums of every pair of group and order.
+    ``stored`` rows are read twice instead, so the pairs carry no sums and the
+    sums go straight into their groups.
+    """
+    if not stored:
+        return rows.groupBy(*keys).agg(F.count_distinct("order_id").alias("orders"), *measures)
+    sums = rows.groupBy(*keys).agg(*measures)
+    pairs = rows.where("order_id IS NOT NULL").select(*keys, "order_id").distinct()
+    counts = pairs.groupBy(*keys).agg(F.count("*").alias("orders"))
+    both = sums.withColumn("orders", F.lit(0).cast("long")).unionByName(counts, allowMissingColumns=True)
+    # A group has one row of sums and one count at most.
+    return both.groupBy(*keys).agg(*[F.max(n).alias(n) for n in both.columns if n not in keys])
+
+
 def vendor_return_rate(
-    fact_sales: DataFrame, fact_returns: DataFrame, dim_vendor: DataFrame
+    fact_sales: DataFrame, fact_returns: DataFrame, dim_vendor: DataFrame, stored: bool = False
 ) -> DataFrame:
-    """Sales and returns of each vendor. The rate is NULL for a vendor without sales."""
-    sold = fact_sales.groupBy("vendor_id").agg(
-        F.count_distinct("order_id").alias("orders"), total(F.col("sales_amount")).alias("revenue")
-    )
+    """Sales and returns of each vendor. The rate is NULL for a vendor without sales.
+
+    ``stored`` says that the sales are a table, cheap to read twice.
+    """
+    sold = _with_orders(fact_sales, ["vendor_id"], [total(F.col("sales_amount")).alias("revenue")], stored)
     back = fact_returns.groupBy("vendor_id").agg(
         F.count("order_id").alias("returns"),
         total(F.col("refund_amount")).alias("refund"),
@@ -197,23 +215,22 @@ def slow_moving_products(
     dim_region: DataFrame,
     as_of: Column | None = None,
     include_unsold: bool = False,
+    stored: bool = False,
 ) -> DataFrame:
     """Products by region with few units or no recent sale.
 
     Pairs that never sold are left out unless ``include_unsold`` asks for the
-    whole grid of products and regions.
+    whole grid of products and regions. ``stored`` says that the sales are a
+    table, cheap to read twice.
     """
-    sold = (
-        fact_sales.filter("date_key IS NOT NULL AND region_name IS NOT NULL")
-        .join(dim_date.select("date_key", "full_date"), "date_key")
-        .groupBy("product_id", "region_name")
-        .agg(
-            F.count_distinct("order_id").alias("orders"),
-            F.sum("quantity").alias("units"),
-            total(F.col("sales_amount")).alias("revenue"),
-            F.max("full_date").alias("last_sale_date"),
-        )
-    )
+    placed = fact_sales.filter("date_key IS NOT NULL AND region_name IS NOT NULL")
+    dated = placed.join(dim_date.select("date_key", "full_date"), "date_key")
+    measures = [
+        F.sum("quantity").alias("units"),
+        total(F.col("sales_amount")).alias("revenue"),
+        F.max("full_date").alias("last_sale_date"),
+    ]
+    sold = _with_orders(dated, ["product_id", "region_name"], measures, stored)
     return slow_products_of(sold, dim_product, dim_region, as_of, include_unsold)
 
 

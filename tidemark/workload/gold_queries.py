@@ -174,6 +174,7 @@ def slow_movers(t: Tables, include_unsold: bool = False, sales: DataFrame | None
         star.dim_region(inputs.tidy_customers(t)),
         F.lit(AS_OF).cast("date"),
         include_unsold,
+        stored=sales is not None,
     )
 
 

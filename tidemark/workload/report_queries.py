@@ -19,7 +19,7 @@ from tidemark.operators.profile import null_profile
 from tidemark.operators.replies import ReplyStore
 from tidemark.operators.scoring import score_prompts
 from tidemark.plans import entities as e
-from tidemark.plans import insights, marts, quality_report, retrieval, return_risk, star, term_search
+from tidemark.plans import deltas, insights, marts, quality_report, retrieval, return_risk, star, term_search
 from tidemark.sources import tables
 from tidemark.sources.scratch import new_folder
 from tidemark.workload import gold_queries as gold
@@ -188,7 +188,8 @@ _RISK_NEEDS = ("fact_returns", "customers")
 
 
 def profiles(t: Tables) -> DataFrame:
-    facts = gold.returns(t)
+    # Read twice, for the latest day and for the profiles.
+    facts = kept_returns(t)
     profile = return_risk.profiles(facts)
     return return_risk.with_customers(profile, star.dim_customer(inputs.tidy_customers(t)))
 
@@ -249,7 +250,13 @@ _DOC_NEEDS = ("fact_sales", "dim_date", "products")
 
 
 def kept_sales(t: Tables) -> DataFrame:
-    return t.stored("fact_sales", gold.all_sales)
+    """Sales with the columns that the marts take in."""
+    return t.stored("fact_sales", lambda t: gold.all_sales(t).select(*deltas.SALES_COLUMNS))
+
+
+def kept_returns(t: Tables) -> DataFrame:
+    """Returns for queries that read them more than once."""
+    return t.stored("fact_returns", gold.returns)
 
 
 def monthly(t: Tables) -> DataFrame:
@@ -259,10 +266,10 @@ def monthly(t: Tables) -> DataFrame:
     return t.stored("monthly_revenue", build)
 
 
-def vendor_rates(t: Tables) -> DataFrame:
+def vendor_rates(t: Tables, returns: DataFrame | None = None) -> DataFrame:
     def build(t: Tables) -> DataFrame:
         vendors = star.dim_vendor(inputs.tidy_vendors(t))
-        return marts.vendor_return_rate(kept_sales(t), gold.returns(t), vendors)
+        return marts.vendor_return_rate(kept_sales(t), gold.returns(t) if returns is None else returns, vendors, stored=True)
 
     return t.stored("vendor_return_rate", build)
 
@@ -807,15 +814,17 @@ _RANKED_KEYS = {
 
 
 def _ranked_tables(t: Tables) -> dict[str, DataFrame]:
+    returns = kept_returns(t)
+    rates = vendor_rates(t, returns)
     payloads = {
         "revenue_performance": insights.revenue_kpis(monthly(t)),
-        "vendor_return_rate": insights.vendor_kpis(vendor_rates(t)),
+        "vendor_return_rate": insights.vendor_kpis(rates),
         "slow_moving_inventory": insights.slow_inventory_kpis(slow_movers(t)),
     }
     return {
         "mv_monthly_revenue_by_region": monthly(t),
-        "mv_customer_return_history": marts.customer_return_history(gold.returns(t), gold.customers(t)),
-        "mv_vendor_return_rate": vendor_rates(t),
+        "mv_customer_return_history": marts.customer_return_history(returns, gold.customers(t)),
+        "mv_vendor_return_rate": rates,
         "mv_slow_moving_products": slow_movers(t),
         "dq_audit_report": quality_report.audit_report(quality_report.grouped_report(stored_rejects(t))),
         "flagged_return_customers": return_risk.flagged_customers(scores(t)),
