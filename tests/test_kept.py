@@ -82,6 +82,16 @@ def test_a_repeated_batch_changes_nothing_and_a_failed_one_neither(spark, tmp_pa
     assert {(r.id, r.note) for r in table.read().collect()} == {("a", "5"), ("b", "x")}
 
 
+def test_a_bucket_is_not_written_by_one_task(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table = kept(spark, tmp_path / "t", 1)
+        table.upsert(batch(spark, [(f"k{i}", 1, "a") for i in range(100)]), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(table.read().inputFiles()) > 1 and table.read().count() == 100
+
+
 def test_an_empty_table_and_an_empty_batch(spark, tmp_path):
     table = kept(spark, tmp_path / "t")
     assert table.read().count() == 0 and table.matching(batch(spark, [("a", 1, "")])).count() == 0
