@@ -150,6 +150,19 @@ def test_facts_of_increments_read_only_touched_buckets(spark, tmp_path):
     assert sorted(star.sales_rows(new, found).collect(), key=repr) == sorted(whole.collect(), key=repr)
 
 
+def test_orders_are_dropped_before_the_shuffle_only_if_that_drops_enough(spark, tmp_path):
+    orders, customers = lookups(spark, tmp_path)
+    customers.upsert(some_customers(spark, customers, [("c1", "East", "US"), ("c2", "West", "CA")]), 0)
+    orders.upsert(some_orders(spark, orders, [(f"o{i}", f"c{i % 3}", "v1", "First Class", "delivered", "2018-01-01") for i in range(40)]), 0)
+    few = spark.createDataFrame([sale("o1"), sale("none")], TXN)
+    many = spark.createDataFrame([sale(f"o{i % 30}", f"p{i}") for i in range(60)] + [sale(None), sale("none")], TXN)
+    for rows, dropped in ((few, True), (many, False)):
+        found = facts.found_orders(rows, orders, customers)
+        assert ("LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()) == dropped
+        whole = star.fact_sales(rows, orders.read(), customers.read())
+        assert sorted(star.sales_rows(rows, found).collect(), key=repr) == sorted(whole.collect(), key=repr)
+
+
 def test_fact_stream_over_two_increments_equals_a_rebuild(spark, tmp_path):
     orders, customers = lookups(spark, tmp_path)
     customers.upsert(some_customers(spark, customers, [("c1", "East", "US"), ("c2", "West", "CA")]), 0)

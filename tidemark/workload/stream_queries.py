@@ -295,11 +295,13 @@ def _kept(t: Tables, root: str) -> tuple[KeptTable, KeptTable]:
     """Look-ups after two increments: odd orders have an older copy in the first, even ones in the second."""
     orders = facts.kept_orders(t.spark, f"{root}/orders", e.ORDERS, BUCKETS)
     customers = facts.kept_customers(t.spark, f"{root}/customers", e.CUSTOMERS, BUCKETS)
-    good = inputs.tidy_orders(t)
+    # Both increments read the same orders, which are computed and written once.
+    inputs.tidy_orders(t).write.option("compression", "zstd").parquet(f"{root}/good-orders")
+    good = t.spark.read.parquet(f"{root}/good-orders")
     odd = F.col("order_id").cast("long") % 2 == 1
     customers.upsert(inputs.tidy_customers(t), 0)
-    orders.upsert(_old_copies(good.where(odd)).unionByName(good.where(~odd)), 0)
-    orders.upsert(good.where(odd).unionByName(_old_copies(good.where(~odd))), 1)
+    orders.upsert(_old_copies(good.where(odd)).unionByName(good.where(~odd)), 0, f"{root}/good-orders")
+    orders.upsert(good.where(odd).unionByName(_old_copies(good.where(~odd))), 1, f"{root}/good-orders")
     return orders, customers
 
 
