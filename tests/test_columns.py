@@ -43,10 +43,13 @@ CASES = [
     (c.money, "$12.50", 12.5),
     (c.money, "4.5", 4.5),
     (c.money, "abc", None),
+    (c.money, "$$1$2$", 12.0),
+    (c.money, "", None),
     (c.percent, "40%", 40.0),
     (c.percent, "0.2", 20.0),
     (c.percent, None, None),
     (c.percent, "abc", None),
+    (c.percent, "4%0%", 40.0),
     (lambda v: c.text_or(v, "credit_card", "?"), None, "credit_card"),
     (lambda v: c.text_or(v, "credit_card", "?"), "?", "credit_card"),
     (lambda v: c.text_or(v, "credit_card", "?"), "cash", "cash"),

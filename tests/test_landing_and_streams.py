@@ -13,6 +13,7 @@ from tidemark.plans import star
 from tidemark.sources import landing, tables
 from tidemark.sources.scratch import new_folder
 from tidemark.streaming import bronze, facts, silver
+from tidemark.workload import inputs
 
 
 def put(path, text):
@@ -205,3 +206,13 @@ def test_standardise_runs_on_a_stream_schema(spark, entity):
     out = silver_plans.STANDARDISE[entity.name](empty)
     assert len({c.lower() for c in out.columns}) == len(out.columns)
     assert out.filter(F.lit(True)).count() == 0
+
+
+def test_a_raw_price_is_made_once(spark, tmp_path):
+    """Two columns hold it; the text of a decimal is costly."""
+    line = (1, 2, 3, 4, 5.0, 12.345, 0.04, 0.0, "R", "F")
+    names = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus"
+    spark.createDataFrame([line, (7, None, 3, 1, None, None, None, None, None, None)], names.split()).write.parquet(f"{tmp_path}/lineitem.parquet")
+    raw = inputs.raw_transactions(inputs.Tables(spark, str(tmp_path)))
+    assert raw._jdf.queryExecution().optimizedPlan().toString().count("cast(l_extendedprice") == 1
+    assert {(r.Sales, r.profit) for r in raw.collect()} == {("$12.35", "12.35"), (None, None)}

@@ -88,7 +88,7 @@ def null_if(value: Column, *sentinels: str) -> Column:
 
 def money(value: Column) -> Column:
     """``$12.50`` to 12.5; text that is no number gives NULL."""
-    return F.translate(value.cast("string"), "$", "").try_cast("double")
+    return F.replace(value.cast("string"), F.lit("$"), F.lit("")).try_cast("double")
 
 
 def strip_marks(value: Column, marks: str = "?") -> Column:
@@ -98,7 +98,7 @@ def strip_marks(value: Column, marks: str = "?") -> Column:
 
 def percent(value: Column) -> Column:
     """``40%`` to 40.0 and ``0.2`` to 20.0."""
-    number = F.translate(value, "%", "").try_cast("double")
+    number = F.replace(value, F.lit("%"), F.lit("")).try_cast("double")
     return F.when(value.contains("%"), number).otherwise(value.try_cast("double") * F.lit(100.0))
 
 

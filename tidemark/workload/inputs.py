@@ -275,13 +275,15 @@ def raw_transactions(t: Tables) -> DataFrame:
     order, product = _text("l_orderkey"), p.cast("string")
     quantity = F.col("l_quantity").cast("int").cast("string")
     share = F.col("l_discount").cast("decimal(18,2)")
-    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    # Two columns use the price, so its text is made once, in a step of its own.
+    rows = t.lineitem.withColumn("__price", F.col("l_extendedprice").cast("decimal(18,2)").cast("string"))
+    price = F.col("__price")
     lost_ids, lost_quantity = p % 5 == 0, p % 5 == 1
     rescued = (
         F.when(lost_ids, F.concat(F.lit('{"Order_id":"'), order, F.lit('","Product_id":"'), product, F.lit('"}')))
         .when(lost_quantity, F.concat(F.lit('{"Quantity":"'), quantity, F.lit('"}')))
     )
-    return t.lineitem.select(
+    return rows.select(
         F.when(~lost_ids, order).alias("Order_ID"),
         F.when(~lost_ids & (p % 37 != 0), product).alias("Product_ID"),
         F.when(p % 23 == 0, "abc").otherwise(F.concat(F.lit("$"), price)).alias("Sales"),
