@@ -1,6 +1,7 @@
 """Held-out accuracy, plain recomputation of features and scores, and reruns."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -53,6 +54,28 @@ def test_several_learners(spark, monkeypatch):
     assert {r.doc_id: r.score for r in again} == {r.doc_id: r.score for r in rows}
 
 
+def test_rounds_leave_nothing_in_the_driver(spark, monkeypatch):
+    """States are destroyed, not only taken from the executors, and learners' rows do not come as pickled rows."""
+    monkeypatch.setattr(quality_model, "SHARD", 150)
+    made, largest = [], [0]
+    broadcast, collect = type(spark.sparkContext).broadcast, type(spark.range(0)).collect
+
+    def noted(context, value):
+        made.append(broadcast(context, value))
+        return made[-1]
+
+    def weighed(df):
+        rows = collect(df)
+        largest.extend(len(v) for r in rows for v in r if isinstance(v, (bytes, bytearray)))
+        return rows
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", noted)
+    monkeypatch.setattr(type(spark.range(0)), "collect", weighed)
+    quality_model.train(*corpus(spark))
+    assert len(made) == quality_model.ROUNDS and max(largest) == 0
+    assert not any(os.path.exists(b._path) for b in made)
+
+
 def test_labels_of_held_out_rows_are_not_read(spark):
     docs, labels = corpus(spark)
     f = quality_model.F

@@ -214,14 +214,15 @@ def _round(rows: DataFrame, z: np.ndarray, n: np.ndarray, weight: dict[int, floa
         if learner is not None:
             yield moved()
 
-    # Bounded: one row for each learner, of at most BUCKETS features of 20 bytes.
-    found = sorted(rows.mapInArrow(run, "shard int, at binary, z binary, n binary").collect(), key=lambda r: r["shard"])
-    state.unpersist()
+    # Bounded: one row for each learner, of at most BUCKETS features of 20 bytes. Arrow batches pass the driver's JVM as
+    # they are, and the state is destroyed there too, so rounds do not add up.
+    found = rows.mapInArrow(run, "shard int, at binary, z binary, n binary").toArrow()
+    state.destroy()
     change_z, change_n, met = np.zeros_like(z), np.zeros_like(n), np.zeros(len(z))
-    for r in found:
-        at = np.frombuffer(r["at"], np.int32)
-        change_z[at] += np.frombuffer(r["z"])
-        change_n[at] += np.frombuffer(r["n"])
+    for k in np.argsort(found.column("shard").to_numpy()).tolist():
+        at, own_z, own_n = (np.frombuffer(found.column(c)[k].as_buffer(), t) for c, t in (("at", np.int32), ("z", np.float64), ("n", np.float64)))
+        change_z[at] += own_z
+        change_n[at] += own_n
         met[at] += 1
     met = np.maximum(met, 1)
     return z + change_z / met, n + change_n / met
