@@ -1,6 +1,7 @@
 """Exact scores against counting, and the filter against true counts."""
 
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -135,6 +136,31 @@ def test_scores_follow_from_all_counts(spark, monkeypatch, chunk, ngrams, group)
     assert [f[2] for f in found] == pytest.approx([w[2] for w in sorted(wanted)])
 
 
+def test_groups_do_not_add_up_in_the_driver(spark, monkeypatch):
+    """Segments do not come as pickled rows, and of all groups broadcast only the last, which the result reads, is left."""
+    for name, value in (("SEGMENTS", 3), ("GROUP_BYTES", 1)):
+        monkeypatch.setattr(lm, name, value)
+    made, long = [], []
+    broadcast, collect = type(spark.sparkContext).broadcast, type(spark.range(0)).collect
+
+    def noted(context, value):
+        made.append((broadcast(context, value), isinstance(value, lm.FrequencyFilter)))
+        return made[-1][0]
+
+    def weighed(df):
+        rows = collect(df)
+        long.extend(v for r in rows for v in r if isinstance(v, (bytes, bytearray)))
+        return rows
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", noted)
+    monkeypatch.setattr(type(spark.range(0)), "collect", weighed)
+    docs = odd_docs(spark)
+    assert lm.score_texts(docs).count() == docs.count()
+    groups = [b for b, is_filter in made if is_filter]
+    assert len(groups) == 3 and not long
+    assert [os.path.exists(b._path) for b in groups] == [False, False, True]
+
+
 def test_chances_after_every_context_sum_to_one_at_most(spark, monkeypatch):
     """Over the vocabulary and one unseen word; the counts are those that once summed to 1.15."""
     monkeypatch.setattr(lm, "BITS_FOR_ENTRY", 256)

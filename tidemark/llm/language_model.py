@@ -9,6 +9,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -283,9 +284,16 @@ def _numbers(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _joined(block["lengths"], "<i8"), _joined(block["hashes"], "<u8"), _joined(block["codes"], "<i4")
 
 
-def _probed(blocks: DataFrame, model: FrequencyFilter) -> DataFrame:
+def _shared(filtered: DataFrame, first: int, last: int, segments: int) -> Broadcast[FrequencyFilter]:
+    """Some stored segments, broadcast. Arrow batches pass the driver's JVM one by one, not as rows that are all held there."""
+    found = filtered.where(F.col("segment").between(first, last - 1)).select("segment", "field").toArrow()
+    fields = (f for chunk in found.column("field").chunks for f in chunk)
+    rows = [{"segment": k, "field": f.as_buffer()} for k, f in zip(found.column("segment").to_pylist(), fields, strict=True)]
+    return filtered.sparkSession.sparkContext.broadcast(FrequencyFilter(rows, first, last, segments))
+
+
+def _probed(blocks: DataFrame, shared: Broadcast[FrequencyFilter]) -> DataFrame:
     """``block, part, levels``: what some segments, broadcast, answer to each block's n-grams of their hash range."""
-    shared = blocks.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,9 +322,8 @@ def chances(own: np.ndarray, pair: np.ndarray, before: np.ndarray, single: np.nd
     return (1 - share) * alone + share * np.minimum(1.0, least / np.maximum(before, 1.0))
 
 
-def _scores(blocks: DataFrame, earlier: DataFrame, model: FrequencyFilter, single: np.ndarray, texts: int, space: float) -> DataFrame:
+def _scores(blocks: DataFrame, earlier: DataFrame, shared: Broadcast[FrequencyFilter], single: np.ndarray, texts: int, space: float) -> DataFrame:
     """``uid`` and ``score`` of each text, from the last segments, probed here, and the answers of those before."""
-    shared = blocks.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, parts = None, []
@@ -372,7 +379,8 @@ def score_texts(docs: DataFrame, learn: Column | None = None, out: Column | None
     the n-grams of one segment of bounded size. Scoring reads the stored
     segments alone: groups of them, ``GROUP_BYTES`` large, are broadcast one
     after another, and workers probe them with the n-grams of every text, in
-    one pass over the texts for each group.
+    one pass over the texts for each group. A group is destroyed after its
+    pass, so groups do not add up in the driver.
 
     ``n_known`` and ``base_score`` are exact: counts of the most frequent
     words, 100,000 at most and of 40 bytes at most, go to all tasks (bounded);
@@ -392,7 +400,8 @@ def score_texts(docs: DataFrame, learn: Column | None = None, out: Column | None
     total = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(F.max(F.when(F.length("word") == 0, F.col("c"))), F.lit(0)).alias("texts")).first()
     n, v, texts = total["n"], total["v"], total["texts"]
     # Bounded: 100,000 words of at most 40 bytes.
-    hot = spark.sparkContext.broadcast({bytes(r["word"]): r["c"] for r in _frequent(vocabulary).collect()})
+    frequent = _frequent(vocabulary).toArrow()
+    hot = spark.sparkContext.broadcast(dict(zip(frequent.column("word").to_pylist(), frequent.column("c").to_pylist(), strict=True)))
     space = n + ADDED * (v + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -464,16 +473,17 @@ def score_texts(docs: DataFrame, learn: Column | None = None, out: Column | None
     passes = -(-segments // max(1, GROUP_BYTES // largest))
     group = -(-segments // passes)
 
-    def probes(first: int) -> FrequencyFilter:
+    def probes(first: int) -> Broadcast[FrequencyFilter]:
         # Bounded: segments of GROUP_BYTES together, or a single one.
-        last = min(first + group, segments)
-        return FrequencyFilter(filtered.where(F.col("segment").between(first, last - 1)).select("segment", "field").collect(), first, last, segments)
+        return _shared(filtered, first, min(first + group, segments), segments)
 
     firsts = list(range(0, segments, group))
     answers = new_folder(spark, "answers")
     spark.createDataFrame([], "block long, part int, levels binary").write.parquet(answers)
     for first in firsts[:-1]:
-        _probed(blocks, probes(first)).write.mode("append").option("compression", "zstd").parquet(answers)
+        shared = probes(first)
+        _probed(blocks, shared).write.mode("append").option("compression", "zstd").parquet(answers)
+        shared.destroy()
     earlier = spark.read.schema("block long, part int, levels binary").parquet(answers)
     scores = _scores(blocks, earlier, probes(firsts[-1]), single, texts, space)
     counts = vocabulary.select(F.concat("word", F.lit(b"")).alias("__word"), "c")
